@@ -1,0 +1,277 @@
+"""Named queries over the driver tables: one per operator group of SURVEY section 2.
+
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; column names
+match the oracle SQL in :mod:`turnmeter.plans.oracle`. Doubles that come
+from sums or divisions are rounded to 9 places on both sides; wall-clock
+columns of the reference (``Date.now()`` stamps) are left out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import tokens as tk
+from ..operators import messages as msg
+from ..operators import relevance as rel
+from ..operators import summary as sm
+from ..operators import tools
+from ..operators.upsert import keep_last, union_evolved
+from ..sources import bindings as b
+from ..sources.tables import epoch_ms, read_table
+
+DIGITS = 9
+
+
+def _r(col: str, digits: int = DIGITS):
+    return F.round(F.col(col), digits).alias(col)
+
+
+# ---- P1-P8, P11, P13 -------------------------------------------------------
+
+def token_count_heuristic(spark: SparkSession, d: str) -> DataFrame:
+    docs = b.documents(spark, d).select("doc_id", "text", b.model_for("doc_id").alias("model_id"))
+    m, t = F.col("model_id"), F.col("text")
+    return docs.select("doc_id", "model_id", tk.model_family(m).alias("family"),
+                       tk.token_ratio(m).alias("ratio"), tk.utf8_bytes(t).cast("bigint").alias("n_bytes"),
+                       tk.estimate_tokens(t, m).alias("token_count"), tk.token_method(t, m).alias("method"),
+                       tk.token_warning(t, m).alias("warning"))
+
+
+def cost_estimate(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                           "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    u = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                  F.floor("l_extendedprice").alias("input_tokens"),
+                  F.floor(F.col("l_quantity") * 40).alias("output_tokens"),
+                  (F.col("l_linenumber") * 10).cast("bigint").alias("reasoning_tokens"),
+                  F.floor(F.col("l_extendedprice") * F.col("l_discount")).alias("cache_read_tokens"),
+                  F.floor(F.col("l_extendedprice") * F.col("l_tax")).alias("cache_write_tokens"))
+    r = {k: F.lit(v) for k, v in b.RATES.items()}
+    return u.select("*",
+                    tk.total_tokens("input_tokens", "output_tokens", "reasoning_tokens", "cache_read_tokens",
+                                    "cache_write_tokens").alias("total_tokens"),
+                    F.round(tk.estimate_cost("input_tokens", "output_tokens", "cache_read_tokens",
+                                             "cache_write_tokens", r["input"], r["output"], r["cache_read"],
+                                             r["cache_write"]), DIGITS).alias("estimated_cost"))
+
+
+def large_output_flag(spark: SparkSession, d: str) -> DataFrame:
+    docs = b.documents(spark, d)
+    m = b.model_for("doc_id")
+    return docs.select("doc_id", tk.utf8_bytes("text").cast("bigint").alias("output_size_bytes"),
+                       tk.is_large_output("text").alias("output_compressed"),
+                       tk.estimate_tokens("text", m).alias("output_estimated_tokens"))
+
+
+# ---- P9, P10, U2, S5 -------------------------------------------------------
+
+def system_prompt_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return msg.system_prompts(b.system_prompt_events(spark, d))
+
+
+# ---- S4 / W4 ---------------------------------------------------------------
+
+def tool_calls_upsert(spark: SparkSession, d: str) -> DataFrame:
+    return keep_last(b.lineitem_rows(spark, d), ["l_orderkey", "l_linenumber"], ["ship_ms"])
+
+
+# ---- J1, P11-P15, P23 ------------------------------------------------------
+
+def tool_call_pairing(spark: SparkSession, d: str) -> DataFrame:
+    return tools.tool_calls(b.tool_start_events(spark, d), b.tool_end_events(spark, d))
+
+
+# ---- J2, S10, F3 -----------------------------------------------------------
+
+def tool_latency_total(spark: SparkSession, d: str) -> DataFrame:
+    return tools.tool_latency_total(b.tool_hook_events(spark, d))
+
+
+# ---- J3, W2, O1 ------------------------------------------------------------
+
+def latest_model_asof(spark: SparkSession, d: str) -> DataFrame:
+    looked = tools.latest_params_asof(b.non_param_events(spark, d), b.chat_params(spark, d),
+                                      ["id", "model_id", "context_limit"])
+    return looked.select("event_id", "session_id", "event_type", F.col("ts_ms").alias("timestamp"),
+                         F.col("asof.id").alias("params_id"), F.col("asof.model_id").alias("model_id"),
+                         F.col("asof.context_limit").alias("context_limit"))
+
+
+# ---- W1, J5, A13, F1, F5 ---------------------------------------------------
+
+def cost_share(spark: SparkSession, d: str) -> DataFrame:
+    li = tool_calls_upsert(spark, d)
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_orderpriority"])
+    calls = (li.join(o, li.l_orderkey == o.o_orderkey)
+             .select(F.concat(F.col("l_orderkey").cast("string"), F.lit(":"),
+                              F.col("l_linenumber").cast("string")).alias("call_id"),
+                     F.col("l_orderkey").cast("string").alias("message_id"),
+                     F.when(F.col("l_linestatus") == "F", F.lit("completed")).otherwise(F.lit("pending")).alias("status"),
+                     F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("bigint"))
+                     .otherwise(F.floor("l_quantity")).alias("output_size_bytes")))
+    shares = tools.cost_shares(calls, b.orders_steps(spark, d))
+    # (bytes / total) * cost is the same IEEE operation sequence in the oracle: no rounding
+    return shares.select("call_id", "message_id", "status", "output_size_bytes", "cost_share")
+
+
+# ---- T2, T3, W3, J8, F4, F6 (batch twin) -----------------------------------
+
+def streaming_milestones(spark: SparkSession, d: str) -> DataFrame:
+    parts, completions = b.part_events(spark, d)
+    return msg.streaming_timing(parts, completions)
+
+
+# ---- U1, P8 ----------------------------------------------------------------
+
+def token_estimates(spark: SparkSession, d: str) -> DataFrame:
+    requests, finished = b.token_events(spark, d)
+    return msg.token_estimates(requests, finished).withColumn("estimated_cost", _r("estimated_cost"))
+
+
+# ---- T4, S4 (batch twin) ---------------------------------------------------
+
+def step_metrics_upsert(spark: SparkSession, d: str) -> DataFrame:
+    return msg.step_metrics(b.step_events(spark, d)).withColumn("cost", _r("cost"))
+
+
+# ---- A9, P19, P20 ----------------------------------------------------------
+
+def context_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    snaps, parts = b.context_inputs(spark, d)
+    out = msg.context_snapshots(snaps, parts).drop("timestamp")
+    return out.select(*[_r(c) if c.endswith("_pct") or c == "context_utilization" else F.col(c)
+                        for c in out.columns])
+
+
+# ---- A10-A12, J4, J7, P16-P18, F2, F7, F9, F10 -----------------------------
+
+def _relevance(spark: SparkSession, d: str, method: str) -> DataFrame:
+    scored = rel.score_tool_calls(b.finished_conversations(spark, d), b.conversation_calls(spark, d), method)
+    return scored.drop("timestamp").withColumn("relevance_ratio", _r("relevance_ratio"))
+
+
+def line_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return _relevance(spark, d, "line-overlap")
+
+
+def substring_match(spark: SparkSession, d: str) -> DataFrame:
+    return _relevance(spark, d, "substring-match")
+
+
+def relevance_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return _relevance(spark, d, "auto")
+
+
+# ---- A1-A8, J6 -------------------------------------------------------------
+
+def _facts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {
+        "step_metrics": step_metrics_upsert(spark, d),
+        "tool_calls": tool_call_pairing(spark, d),
+        "relevance": relevance_scoring(spark, d),
+        "streaming_timing": streaming_milestones(spark, d),
+        "latency": tool_latency_total(spark, d),
+    }
+
+
+def session_totals(spark: SparkSession, d: str) -> DataFrame:
+    return sm.step_totals(step_metrics_upsert(spark, d)).withColumn("total_cost", _r("total_cost"))
+
+
+def tool_aggregates(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.text import js_round
+    t = sm.tool_totals(tool_call_pairing(spark, d))
+    return t.select("session_id", "total_calls", "total_fetched",
+                    js_round(F.col("avg_dur")).cast("bigint").alias("avg_tool_duration_ms"))
+
+
+def relevance_aggregates(spark: SparkSession, d: str) -> DataFrame:
+    return sm.relevance_totals(relevance_scoring(spark, d)).withColumn("avg_relevance", _r("avg_relevance"))
+
+
+def precision(spark: SparkSession, d: str) -> DataFrame:
+    t = sm.tool_totals(tool_call_pairing(spark, d)).select("session_id", "total_fetched")
+    r = sm.relevance_totals(relevance_scoring(spark, d)).select("session_id", "total_referenced")
+    j = t.join(r, "session_id", "left").withColumn(
+        "total_referenced", F.coalesce(F.col("total_referenced"), F.lit(0).cast("bigint")))
+    return j.select("session_id", "total_fetched", "total_referenced",
+                    F.round(sm.precision(F.col("total_fetched"), F.col("total_referenced")), DIGITS)
+                    .alias("precision_score"))
+
+
+def ttft_and_wall(spark: SparkSession, d: str) -> DataFrame:
+    t = sm.timing_totals(streaming_milestones(spark, d))
+    from ..functions.text import js_round
+    return t.select("session_id", js_round(F.col("avg_ttft")).cast("bigint").alias("avg_ttft_ms"),
+                    (F.col("last_done") - F.col("first_sent")).alias("total_session_ms"))
+
+
+def latency_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return sm.latency_stats(tool_latency_total(spark, d)).select(
+        "session_id", "n_queries", "avg_query_ms", "p50_query_ms", "p95_query_ms")
+
+
+def benchmark_run_summary(spark: SparkSession, d: str) -> DataFrame:
+    f = _facts(spark, d)
+    runs = sm.benchmark_runs(b.benchmark_requests(spark, d), f["step_metrics"], f["tool_calls"],
+                             f["relevance"], f["streaming_timing"], f["latency"])
+    return runs.select(*[_r(c) if c in ("total_cost", "precision_score", "avg_relevance") else F.col(c)
+                         for c in runs.columns])
+
+
+# ---- S9 --------------------------------------------------------------------
+
+def benchmark_task_upsert(spark: SparkSession, d: str) -> DataFrame:
+    docs = b.documents(spark, d)
+    tasks = docs.select(F.col("source").alias("id"), F.col("text").alias("description"),
+                        F.nullif(F.col("lang"), F.lit("en")).alias("expected_output_hint"),
+                        F.col("doc_id").alias("created_at"), F.col("doc_id").alias("seq"))
+    return keep_last(tasks, ["id"], ["created_at", "seq"]).drop("seq")
+
+
+# ---- S8 --------------------------------------------------------------------
+
+SCHEMA_CUTOVER = "1995-01-01"
+
+
+def schema_evolution_union(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                        "o_orderdate", "o_orderpriority"])
+    o = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                 epoch_ms("o_orderdate").alias("order_ms"), "o_orderpriority", "o_orderdate")
+    cut = F.lit(SCHEMA_CUTOVER).cast("timestamp_ntz")
+    v1 = o.where(F.col("o_orderdate") < cut).drop("o_orderpriority", "o_orderdate")
+    v2 = o.where(F.col("o_orderdate") >= cut).drop("o_orderdate")
+    return union_evolved([v1, v2])
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "token_count_heuristic": token_count_heuristic,
+    "cost_estimate": cost_estimate,
+    "system_prompt_dedup": system_prompt_dedup,
+    "large_output_flag": large_output_flag,
+    "tool_calls_upsert": tool_calls_upsert,
+    "tool_call_pairing": tool_call_pairing,
+    "tool_latency_total": tool_latency_total,
+    "latest_model_asof": latest_model_asof,
+    "cost_share": cost_share,
+    "streaming_milestones": streaming_milestones,
+    "token_estimates": token_estimates,
+    "step_metrics_upsert": step_metrics_upsert,
+    "context_snapshot": context_snapshot,
+    "line_overlap": line_overlap,
+    "substring_match": substring_match,
+    "relevance_scoring": relevance_scoring,
+    "session_totals": session_totals,
+    "tool_aggregates": tool_aggregates,
+    "relevance_aggregates": relevance_aggregates,
+    "precision": precision,
+    "ttft_and_wall": ttft_and_wall,
+    "latency_percentiles": latency_percentiles,
+    "benchmark_run_summary": benchmark_run_summary,
+    "benchmark_task_upsert": benchmark_task_upsert,
+    "schema_evolution_union": schema_evolution_union,
+}

@@ -1,0 +1,495 @@
+"""DuckDB SQL twins of :mod:`turnmeter.plans.catalog` (the correctness oracle).
+
+Each statement reads the pre-registered driver views and computes the same
+columns with plain SQL: window functions where the Spark side uses grouped
+struct aggregates, list lambdas where it uses higher-order functions, and
+RE2 ``\\b`` patterns where the JVM needs explicit ASCII look-arounds.
+"""
+
+from __future__ import annotations
+
+from ..functions import text as tx
+from ..functions import tokens as tk
+from ..sources import bindings as b
+
+D = 9  # rounding digits, as in the catalog
+
+# JavaScript trim set, spelled with chr() so the SQL text stays ASCII.
+WS = "||".join(f"chr({ord(c)})" for c in tx.JS_WHITESPACE)
+NL = "chr(10)"
+
+# Token patterns in RE2 form: \b is ASCII there, as in JavaScript.
+PATH_RE2 = r"\b([\w./-]{4,}\.(?:ts|js|py|go|rs|md|json|yaml|yml|sh))\b"
+IDENT_RE2 = r"\b([a-zA-Z][a-zA-Z0-9_]{5,})\b"
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def model_for(key: str) -> str:
+    arms = " ".join(f"WHEN {i} THEN {q(m)}" for i, m in enumerate(b.MODEL_IDS))
+    return f"(CASE (({key}) % {len(b.MODEL_IDS)}) {arms} END)"
+
+
+def family(m: str) -> str:
+    mm = f"coalesce({m}, '')"
+    arms = [f"WHEN regexp_matches(lower({mm}), {q(tk.OPENAI_RE)}) THEN 'openai'"]
+    arms += [f"WHEN regexp_matches({mm}, {q(p)}) THEN {q(n)}" for n, p in tk.FAMILY_RULES]
+    return "(CASE " + " ".join(arms) + " ELSE 'unknown' END)"
+
+
+def fallback_ratio(m: str) -> str:
+    mm = f"coalesce({m}, '')"
+    arms = " ".join(f"WHEN regexp_matches({mm}, {q(p)}) THEN {r}::DOUBLE" for p, r in tk.FALLBACK_RATIOS)
+    return f"(CASE {arms} ELSE {tk.DEFAULT_RATIO}::DOUBLE END)"
+
+
+def ratio(m: str) -> str:
+    fam = family(m)
+    arms = " ".join(f"WHEN {q(n)} THEN {r}::DOUBLE" for n, r in tk.FAMILY_RATIOS.items())
+    return f"(CASE {fam} {arms} ELSE {fallback_ratio(m)} END)"
+
+
+def tokens(t: str, m: str) -> str:
+    return f"(CASE WHEN ({t}) IS NULL OR ({t}) = '' THEN 0::BIGINT ELSE CAST(ceil(strlen({t}) / {ratio(m)}) AS BIGINT) END)"
+
+
+def jstrim(x: str) -> str:
+    return f"trim({x}, {WS})"
+
+
+def u16(x: str) -> str:
+    return f"(length({x}) + length(regexp_replace({x}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
+
+
+def to_lines(x: str) -> str:
+    return f"list_filter(list_transform(string_split({x}, {NL}), lambda z: {jstrim('z')}), lambda z: z <> '')"
+
+
+def ms(c: str) -> str:
+    # truncating, like Spark's unix_millis (DuckDB's epoch_ms rounds)
+    return f"(epoch_us({c}) // 1000)"
+
+
+def jround(x: str) -> str:
+    return f"floor(({x}) + 0.5)"
+
+
+def week_msg(user: str, ts: str) -> str:
+    return f"(CAST({user} AS VARCHAR) || ':' || CAST(CAST(floor({ms(ts)} / {b.WEEK_MS}) AS BIGINT) AS VARCHAR))"
+
+
+# ---- building blocks (CTE bodies) -----------------------------------------
+
+LINEITEM_DEDUP = """
+SELECT l_orderkey, l_linenumber, ship_ms, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+       l_discount, l_tax, l_returnflag, l_linestatus
+FROM (SELECT *, (epoch_us(l_shipdate) // 1000) AS ship_ms,
+             row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                ORDER BY (epoch_us(l_shipdate) // 1000) DESC, l_partkey DESC, l_suppkey DESC,
+                                         l_quantity DESC, l_extendedprice DESC, l_discount DESC,
+                                         l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+      FROM lineitem) WHERE rn = 1
+"""
+
+TOOL_CALLS = f"""
+WITH s AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS call_id, {ms('o_orderdate')} AS ts, 0::BIGINT AS seq,
+         CAST(o_custkey AS VARCHAR) AS session_id, CAST(o_orderkey AS VARCHAR) AS message_id,
+         CASE o_orderstatus WHEN 'F' THEN 'read' WHEN 'O' THEN 'grep' ELSE 'bash' END AS tool,
+         {model_for('o_custkey')} AS model_id,
+         '{{"priority":"' || o_orderpriority || '"}}' AS input_json
+  FROM orders),
+e AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS call_id, {ms('l_shipdate')} AS ts, CAST(l_linenumber AS BIGINT) AS seq,
+         'completed' AS status, repeat(l_returnflag || l_linestatus, CAST(l_quantity AS INTEGER)) AS output_text,
+         NULL::VARCHAR AS title, l_returnflag = 'R' AS truncated
+  FROM lineitem),
+e2 AS (
+  SELECT e.*, row_number() OVER (PARTITION BY e.call_id ORDER BY e.ts DESC, e.seq DESC, e.status DESC,
+                                 e.output_text DESC, e.title DESC NULLS LAST, e.truncated DESC) AS rn
+  FROM e JOIN s ON e.call_id = s.call_id
+  WHERE e.ts > s.ts OR (e.ts = s.ts AND e.seq > s.seq))
+SELECT s.call_id AS id, s.session_id, s.message_id, s.tool, s.ts AS timestamp_start,
+       e2.ts AS timestamp_end, e2.ts - s.ts AS duration_ms,
+       CASE WHEN e2.ts IS NOT NULL THEN e2.status ELSE 'pending' END AS status,
+       s.input_json, CAST(strlen(s.input_json) AS BIGINT) AS input_size_bytes,
+       {tokens('s.input_json', 's.model_id')} AS input_estimated_tokens,
+       e2.output_text,
+       CASE WHEN e2.ts IS NOT NULL THEN strlen(e2.output_text) >= {tk.COMPRESS_THRESHOLD_BYTES} ELSE false END
+         AS output_compressed,
+       CAST(strlen(e2.output_text) AS BIGINT) AS output_size_bytes,
+       CASE WHEN e2.ts IS NOT NULL THEN {tokens('e2.output_text', 's.model_id')} END AS output_estimated_tokens,
+       e2.title,
+       CASE WHEN e2.ts IS NOT NULL THEN coalesce(e2.truncated, false) ELSE false END AS truncated,
+       CASE WHEN e2.ts IS NOT NULL THEN {tokens('e2.output_text', 's.model_id')} END AS next_turn_token_impact
+FROM s LEFT JOIN e2 ON s.call_id = e2.call_id AND e2.rn = 1
+"""
+
+LATENCY = """
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS call_id,
+         CASE event_type WHEN 'click' THEN 'before' ELSE 'after' END AS kind,
+         (epoch_us(ts) // 1000) AS ts, event_id AS seq
+  FROM events WHERE event_type IN ('click', 'view')),
+l AS (
+  SELECT *, lag(kind) OVER w AS pk, lag(ts) OVER w AS pts
+  FROM ev WINDOW w AS (PARTITION BY call_id ORDER BY ts, seq))
+SELECT call_id AS tool_call_id, call_id AS session_id, 'total' AS phase, ts - pts AS duration_ms,
+       NULL::VARCHAR AS metadata_json, ts AS timestamp
+FROM l WHERE kind = 'after' AND pk = 'before'
+"""
+
+TIMING = f"""
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS session_id, {week_msg('user_id', 'ts')} AS message_id,
+         event_type, (epoch_us(ts) // 1000) AS ts, event_id AS seq
+  FROM events),
+parts AS (SELECT * FROM ev WHERE event_type <> 'error'),
+seed AS (
+  SELECT message_id, session_id, ts AS s_ts, seq AS s_seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ts, seq) AS rn FROM parts) WHERE rn = 1),
+ft AS (
+  SELECT message_id, ts AS f_ts, seq AS f_seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ts, seq) AS rn
+    FROM parts WHERE event_type = 'view') WHERE rn = 1),
+tl AS (SELECT message_id, min(ts) AS first_tool FROM parts WHERE event_type = 'click' GROUP BY message_id),
+cmp AS (
+  SELECT c.message_id, c.ts, c.seq FROM ev c JOIN seed s ON c.message_id = s.message_id
+  WHERE c.event_type = 'error' AND (c.ts > s.s_ts OR (c.ts = s.s_ts AND c.seq > s.s_seq))),
+done AS (SELECT message_id, min(ts) AS completed FROM cmp GROUP BY message_id),
+lastc AS (
+  SELECT message_id, ts AS l_ts, seq AS l_seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ts DESC, seq DESC) AS rn FROM cmp) WHERE rn = 1)
+SELECT s.message_id, s.session_id, s.s_ts AS request_sent, s.s_ts AS first_part_received,
+       ft.f_ts AS first_text_received, tl.first_tool AS first_tool_call, done.completed AS message_completed,
+       CASE WHEN done.completed IS NOT NULL AND ft.f_ts IS NOT NULL
+                 AND (ft.f_ts < lastc.l_ts OR (ft.f_ts = lastc.l_ts AND ft.f_seq < lastc.l_seq))
+            THEN ft.f_ts - s.s_ts END AS time_to_first_token_ms,
+       CASE WHEN done.completed IS NOT NULL THEN done.completed - s.s_ts END AS total_streaming_ms
+FROM seed s LEFT JOIN ft USING (message_id) LEFT JOIN tl USING (message_id)
+     LEFT JOIN done USING (message_id) LEFT JOIN lastc USING (message_id)
+"""
+
+
+def _value_tokens(v: str) -> str:
+    return (f"CAST(floor({v} * 100) AS BIGINT) AS tokens_input, CAST(floor({v} * 10) AS BIGINT) AS tokens_output, "
+            f"CAST(floor({v}) AS BIGINT) AS tokens_reasoning, CAST(floor({v} * 50) AS BIGINT) AS tokens_cache_read, "
+            f"CAST(floor({v} * 5) AS BIGINT) AS tokens_cache_write")
+
+
+STEPS = f"""
+SELECT id, session_id, message_id, timestamp, reason, round(cost, {D}) AS cost, tokens_input, tokens_output,
+       tokens_reasoning, tokens_cache_read, tokens_cache_write
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp DESC, seq DESC) AS rn FROM (
+    SELECT CAST(user_id AS VARCHAR) || ':' || CAST(CAST(floor((epoch_us(ts) // 1000) / {b.DAY_MS}) AS BIGINT) AS VARCHAR) AS id,
+           CAST(user_id AS VARCHAR) AS session_id, {week_msg('user_id', 'ts')} AS message_id,
+           (epoch_us(ts) // 1000) AS timestamp, event_id AS seq,
+           CASE WHEN value >= 50 THEN 'tool-calls' ELSE 'stop' END AS reason, value / 1000 AS cost,
+           {_value_tokens('value')}
+    FROM events WHERE event_type = 'purchase'))
+WHERE rn = 1
+"""
+
+CONV_CALLS = f"""
+SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS tool_call_id,
+       CAST(conv_id AS VARCHAR) AS message_id, CAST(conv_id AS VARCHAR) AS session_id,
+       CASE WHEN contains(text, {NL}) THEN 'read' ELSE 'grep' END AS tool,
+       text AS output_text, {model_for('conv_id')} AS model_id,
+       {tokens('text', model_for('conv_id'))} AS output_estimated_tokens
+FROM conversations WHERE role <> 'assistant' AND text IS NOT NULL AND text <> ''
+"""
+
+CONV_FINISHED = f"""
+SELECT CAST(conv_id AS VARCHAR) AS message_id,
+       coalesce(string_agg(CASE WHEN role = 'assistant' THEN coalesce(text, '') END, {NL} ORDER BY turn), '')
+         AS response_text
+FROM conversations GROUP BY conv_id
+"""
+
+
+def _line_overlap_cols(out: str, resp: str, m: str) -> dict[str, str]:
+    lines = to_lines(out)
+    matched = f"list_filter({lines}, lambda l: {u16('l')} >= 4 AND contains({resp}, l))"
+    ref_tok = f"(CASE WHEN len({matched}) > 0 THEN {tokens(f'array_to_string({matched}, {NL})', m)} ELSE 0 END)"
+    fetched = tokens(out, m)
+    return {
+        "referenced_tokens": ref_tok,
+        "referenced_lines": f"CAST(len({matched}) AS BIGINT)",
+        "relevance_ratio": f"(CASE WHEN {fetched} > 0 THEN least(1.0, {ref_tok} / {fetched}) ELSE 0.0 END)",
+    }
+
+
+def _substring_cols(out: str, resp: str, m: str) -> dict[str, str]:
+    toks = (f"list_distinct(list_concat(list_transform(regexp_extract_all({out}, {q(tx.QUOTED_RE)}, 1), "
+            f"lambda z: {jstrim('z')}), regexp_extract_all({out}, {q(PATH_RE2)}, 1), "
+            f"regexp_extract_all({out}, {q(IDENT_RE2)}, 1)))")
+    fetched = tokens(out, m)
+    total = f"coalesce(list_sum(list_transform({toks}, lambda t: {u16('t')})), 0)"
+    matched = f"coalesce(list_sum(list_transform(list_filter({toks}, lambda t: contains({resp}, t)), lambda t: {u16('t')})), 0)"
+    mr = f"(CASE WHEN {total} > 0 THEN {matched} / {total} ELSE 0.0 END)"
+    empty = f"(len({toks}) = 0 OR {fetched} = 0)"
+    return {
+        "referenced_tokens": f"(CASE WHEN {empty} THEN 0 ELSE CAST({jround(f'{fetched} * {mr}')} AS BIGINT) END)",
+        "referenced_lines": "NULL::BIGINT",
+        "relevance_ratio": f"(CASE WHEN {empty} THEN 0.0 ELSE least(1.0, {mr}) END)",
+    }
+
+
+def relevance_sql(method: str) -> str:
+    lo = _line_overlap_cols("c.output_text", "f.response_text", "c.model_id")
+    sb = _substring_cols("c.output_text", "f.response_text", "c.model_id")
+    file_read = f"regexp_matches(c.tool, {q(tx.FILE_READ_TOOL_RE)})"
+
+    def pick(col: str) -> str:
+        if method == "line-overlap":
+            return lo[col]
+        if method == "substring-match":
+            return sb[col]
+        return f"(CASE WHEN {file_read} THEN {lo[col]} ELSE {sb[col]} END)"
+
+    if method == "line-overlap":
+        meth = "'line-overlap'"
+    elif method == "substring-match":
+        meth = "'substring-match'"
+    else:
+        meth = f"(CASE WHEN {file_read} THEN 'line-overlap' ELSE 'substring-match' END)"
+    return f"""
+WITH c AS ({CONV_CALLS}), f AS ({CONV_FINISHED})
+SELECT c.session_id, c.message_id, c.tool_call_id, c.tool,
+       coalesce(c.output_estimated_tokens, {tokens('c.output_text', 'c.model_id')}) AS fetched_tokens,
+       CAST(len({to_lines('c.output_text')}) AS BIGINT) AS fetched_lines,
+       {pick('referenced_tokens')} AS referenced_tokens,
+       {pick('referenced_lines')} AS referenced_lines,
+       round({pick('relevance_ratio')}, {D}) AS relevance_ratio,
+       {meth} AS scoring_method
+FROM f JOIN c ON f.message_id = c.message_id
+WHERE {jstrim('f.response_text')} <> ''
+"""
+
+
+# ---- per-query SQL ---------------------------------------------------------
+
+def _sql() -> dict[str, str]:
+    s: dict[str, str] = {}
+    s["token_count_heuristic"] = f"""
+WITH d AS (SELECT doc_id, text, {model_for('doc_id')} AS model_id FROM documents)
+SELECT doc_id, model_id, {family('model_id')} AS family, {ratio('model_id')} AS ratio,
+       CAST(strlen(text) AS BIGINT) AS n_bytes, {tokens('text', 'model_id')} AS token_count,
+       CASE WHEN text IS NULL OR text = '' THEN 'exact' ELSE 'heuristic' END AS method,
+       CASE WHEN text IS NULL OR text = '' THEN NULL
+            WHEN {family('model_id')} = 'glm' THEN {q(tk.GLM_WARNING)} END AS warning
+FROM d"""
+
+    r = b.RATES
+    s["cost_estimate"] = f"""
+WITH u AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         CAST(floor(l_extendedprice) AS BIGINT) AS input_tokens,
+         CAST(floor(l_quantity * 40) AS BIGINT) AS output_tokens,
+         CAST(l_linenumber * 10 AS BIGINT) AS reasoning_tokens,
+         CAST(floor(l_extendedprice * l_discount) AS BIGINT) AS cache_read_tokens,
+         CAST(floor(l_extendedprice * l_tax) AS BIGINT) AS cache_write_tokens
+  FROM lineitem)
+SELECT *, input_tokens + output_tokens + reasoning_tokens + cache_read_tokens + cache_write_tokens AS total_tokens,
+       round(input_tokens * {r['input']!r} + output_tokens * {r['output']!r}
+             + cache_read_tokens * {r['cache_read']!r} + cache_write_tokens * {r['cache_write']!r}, {D})
+         AS estimated_cost
+FROM u"""
+
+    s["large_output_flag"] = f"""
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS output_size_bytes,
+       strlen(text) >= {tk.COMPRESS_THRESHOLD_BYTES} AS output_compressed,
+       {tokens('text', model_for('doc_id'))} AS output_estimated_tokens
+FROM documents"""
+
+    s["system_prompt_dedup"] = f"""
+WITH ev AS (
+  SELECT coalesce(lang, '') AS session_id, coalesce({model_for('doc_id')}, 'unknown') AS model_id,
+         doc_id AS timestamp, doc_id AS seq,
+         array_to_string(string_split(text, {NL} || {NL}), {NL} || {NL}) AS content
+  FROM documents),
+r AS (
+  SELECT *, sha256(content) AS content_hash,
+         row_number() OVER (PARTITION BY session_id, sha256(content) ORDER BY timestamp, seq) AS rn
+  FROM ev WHERE content <> '')
+SELECT session_id, model_id, timestamp, content_hash, content, {tokens('content', 'model_id')} AS token_count
+FROM r WHERE rn = 1"""
+
+    s["tool_calls_upsert"] = LINEITEM_DEDUP
+    s["tool_call_pairing"] = TOOL_CALLS
+    s["tool_latency_total"] = LATENCY
+
+    s["latest_model_asof"] = f"""
+WITH u AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS session_id, event_type, (epoch_us(ts) // 1000) AS ts, event_id AS seq,
+         CASE WHEN event_type = 'signup' THEN CAST(event_id AS VARCHAR) END AS p_id,
+         CASE WHEN event_type = 'signup' THEN {model_for('CAST(floor(value) AS BIGINT)')} END AS p_model,
+         CASE WHEN event_type = 'signup' THEN CAST((floor(value) + 1) * 1000 AS BIGINT) END AS p_limit
+  FROM events),
+f AS (
+  SELECT *, last_value(p_id IGNORE NULLS) OVER w AS params_id,
+         last_value(p_model IGNORE NULLS) OVER w AS model_id,
+         last_value(p_limit IGNORE NULLS) OVER w AS context_limit
+  FROM u WINDOW w AS (PARTITION BY session_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_id, session_id, event_type, ts AS timestamp, params_id, model_id, context_limit
+FROM f WHERE event_type <> 'signup'"""
+
+    s["cost_share"] = f"""
+WITH li AS ({LINEITEM_DEDUP}),
+c AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) AS call_id,
+         CAST(l_orderkey AS VARCHAR) AS message_id,
+         CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'pending' END AS status,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(floor(l_quantity) AS BIGINT) END AS output_size_bytes
+  FROM li JOIN orders ON l_orderkey = o_orderkey),
+t AS (SELECT message_id, CAST(sum(coalesce(output_size_bytes, 0)) AS BIGINT) AS tb, count(*) AS n
+      FROM c WHERE status = 'completed' GROUP BY message_id),
+st AS (
+  SELECT message_id, cost FROM (
+    SELECT CAST(o_orderkey AS VARCHAR) AS message_id, o_totalprice AS cost,
+           row_number() OVER (PARTITION BY o_orderkey ORDER BY (epoch_us(o_orderdate) // 1000) DESC, o_totalprice DESC) AS rn
+    FROM orders WHERE o_totalprice > 0) WHERE rn = 1)
+SELECT c.call_id, c.message_id, c.status, c.output_size_bytes,
+       CASE WHEN c.status = 'completed' AND st.cost IS NOT NULL THEN
+         CASE WHEN t.tb = 0 THEN st.cost / t.n
+              ELSE (coalesce(c.output_size_bytes, 0) / t.tb) * st.cost END END AS cost_share
+FROM c LEFT JOIN t USING (message_id) LEFT JOIN st USING (message_id)"""
+
+    s["streaming_milestones"] = TIMING
+
+    s["token_estimates"] = f"""
+WITH req AS (
+  SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(user_id AS VARCHAR) AS session_id,
+         'char-ratio' AS approach, {model_for('CAST(floor(value) AS BIGINT)')} AS model_id,
+         0::BIGINT AS input_tokens, 0::BIGINT AS output_tokens, 0::BIGINT AS cache_read_tokens,
+         0::BIGINT AS cache_write_tokens, 0::BIGINT AS total_tokens, 0.0::DOUBLE AS estimated_cost,
+         (epoch_us(ts) // 1000) AS timestamp, event_id AS seq
+  FROM events WHERE event_type = 'signup'),
+fin AS (
+  SELECT {week_msg('user_id', 'ts')} AS message_id, CAST(user_id AS VARCHAR) AS session_id,
+         'opencode' AS approach, {model_for('CAST(floor(value) AS BIGINT)')} AS model_id,
+         tokens_input AS input_tokens, tokens_output AS output_tokens, tokens_cache_read AS cache_read_tokens,
+         tokens_cache_write AS cache_write_tokens,
+         tokens_input + tokens_output + tokens_reasoning + tokens_cache_read + tokens_cache_write AS total_tokens,
+         value / 100 AS estimated_cost, (epoch_us(ts) // 1000) AS timestamp, event_id AS seq
+  FROM (SELECT *, {_value_tokens('value')} FROM events WHERE event_type = 'error')),
+u AS (SELECT * FROM req UNION ALL SELECT * FROM fin)
+SELECT message_id, session_id, approach, model_id, input_tokens, output_tokens, cache_read_tokens,
+       cache_write_tokens, total_tokens, round(estimated_cost, {D}) AS estimated_cost, timestamp
+FROM (SELECT *, row_number() OVER (PARTITION BY message_id, approach ORDER BY timestamp DESC, seq DESC) AS rn FROM u)
+WHERE rn = 1"""
+
+    s["step_metrics_upsert"] = STEPS
+
+    s["context_snapshot"] = f"""
+WITH c AS (SELECT conv_id, role, text, {model_for('conv_id')} AS model_id FROM conversations),
+agg AS (
+  SELECT conv_id, count(*) AS message_count, count(*) AS total_parts,
+         count(*) FILTER (WHERE role = 'user') AS tool_parts,
+         count(*) FILTER (WHERE role = 'assistant') AS text_parts,
+         coalesce(sum(CASE WHEN role = 'user' THEN {tokens('text', 'model_id')} END), 0) AS tool_tok,
+         coalesce(sum(CASE WHEN role = 'assistant' THEN {tokens('text', 'model_id')} END), 0) AS conv_tok
+  FROM c GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS session_id,
+       CAST(message_count AS BIGINT) AS message_count, CAST(total_parts AS BIGINT) AS total_parts,
+       CAST(tool_parts AS BIGINT) AS tool_parts, CAST(text_parts AS BIGINT) AS text_parts,
+       CAST(tool_tok + conv_tok AS BIGINT) AS estimated_tokens,
+       round(CASE WHEN conv_id + 1000 > 0 THEN (tool_tok + conv_tok) / (conv_id + 1000) END, {D}) AS context_utilization,
+       NULL::DOUBLE AS system_token_pct,
+       round(tool_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS tool_output_token_pct,
+       round(conv_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS conversation_token_pct
+FROM agg"""
+
+    s["line_overlap"] = relevance_sql("line-overlap")
+    s["substring_match"] = relevance_sql("substring-match")
+    s["relevance_scoring"] = relevance_sql("auto")
+
+    s["session_totals"] = f"""
+SELECT session_id, CAST(coalesce(sum(tokens_input), 0) AS BIGINT) AS total_input,
+       CAST(coalesce(sum(tokens_output), 0) AS BIGINT) AS total_output,
+       round(coalesce(sum(cost), 0.0), {D}) AS total_cost
+FROM ({STEPS}) GROUP BY session_id"""
+
+    tool_totals = f"""
+SELECT session_id, count(*) AS total_calls,
+       CAST(coalesce(sum(output_estimated_tokens), 0) AS BIGINT) AS total_fetched, avg(duration_ms) AS avg_dur
+FROM ({TOOL_CALLS}) WHERE status = 'completed' GROUP BY session_id"""
+    s["tool_aggregates"] = f"""
+SELECT session_id, total_calls, total_fetched, CAST({jround('avg_dur')} AS BIGINT) AS avg_tool_duration_ms
+FROM ({tool_totals})"""
+
+    rel_totals = f"""
+SELECT session_id, CAST(coalesce(sum(referenced_tokens), 0) AS BIGINT) AS total_referenced,
+       avg(relevance_ratio) AS avg_relevance
+FROM ({relevance_sql('auto')}) GROUP BY session_id"""
+    s["relevance_aggregates"] = f"""
+SELECT session_id, total_referenced, round(avg_relevance, {D}) AS avg_relevance FROM ({rel_totals})"""
+
+    s["precision"] = f"""
+WITH t AS ({tool_totals}), r AS ({rel_totals})
+SELECT t.session_id, t.total_fetched, coalesce(r.total_referenced, 0) AS total_referenced,
+       round(CASE WHEN t.total_fetched > 0 THEN least(1.0, coalesce(r.total_referenced, 0) / t.total_fetched) END, {D})
+         AS precision_score
+FROM t LEFT JOIN r USING (session_id)"""
+
+    timing_totals = f"""
+SELECT session_id, avg(time_to_first_token_ms) AS avg_ttft, min(request_sent) AS first_sent,
+       max(message_completed) AS last_done
+FROM ({TIMING}) GROUP BY session_id"""
+    s["ttft_and_wall"] = f"""
+SELECT session_id, CAST({jround('avg_ttft')} AS BIGINT) AS avg_ttft_ms, last_done - first_sent AS total_session_ms
+FROM ({timing_totals})"""
+
+    lat = f"""
+SELECT session_id, count(*) AS n_queries, CAST({jround('avg(duration_ms)')} AS BIGINT) AS avg_query_ms,
+       quantile_disc(duration_ms, 0.5) AS p50_query_ms, quantile_disc(duration_ms, 0.95) AS p95_query_ms
+FROM ({LATENCY}) WHERE phase = 'total' GROUP BY session_id"""
+    s["latency_percentiles"] = lat
+
+    s["benchmark_run_summary"] = f"""
+WITH req AS (
+  SELECT 'task-' || CAST(c_nationkey AS VARCHAR) AS task_id, CAST(c_custkey AS VARCHAR) AS session_id,
+         lower(c_mktsegment) AS strategy FROM customer
+  UNION ALL
+  SELECT 'task-' || CAST(c_nationkey AS VARCHAR), '-' || CAST(c_custkey AS VARCHAR), 'baseline' FROM customer),
+st AS (
+  SELECT session_id, CAST(coalesce(sum(tokens_input), 0) AS BIGINT) AS total_input,
+         CAST(coalesce(sum(tokens_output), 0) AS BIGINT) AS total_output, coalesce(sum(cost), 0.0) AS total_cost
+  FROM ({STEPS}) GROUP BY session_id),
+tt AS ({tool_totals}),
+rt AS ({rel_totals}),
+tm AS ({timing_totals}),
+lt AS ({lat})
+SELECT req.task_id, req.session_id, req.strategy,
+       coalesce(st.total_input, 0) AS total_input_tokens, coalesce(st.total_output, 0) AS total_output_tokens,
+       round(coalesce(st.total_cost, 0.0), {D}) AS total_cost,
+       CAST(coalesce(tt.total_calls, 0) AS BIGINT) AS total_tool_calls,
+       nullif(coalesce(tt.total_fetched, 0), 0) AS total_fetched_tokens,
+       nullif(coalesce(rt.total_referenced, 0), 0) AS total_referenced_tokens,
+       round(CASE WHEN coalesce(tt.total_fetched, 0) > 0
+                  THEN least(1.0, coalesce(rt.total_referenced, 0) / tt.total_fetched) END, {D}) AS precision_score,
+       round(rt.avg_relevance, {D}) AS avg_relevance,
+       CAST({jround('tm.avg_ttft')} AS BIGINT) AS avg_ttft_ms,
+       CAST({jround('tt.avg_dur')} AS BIGINT) AS avg_tool_duration_ms,
+       tm.last_done - tm.first_sent AS total_session_ms,
+       lt.avg_query_ms, lt.p50_query_ms, lt.p95_query_ms
+FROM req LEFT JOIN st USING (session_id) LEFT JOIN tt USING (session_id) LEFT JOIN rt USING (session_id)
+     LEFT JOIN tm USING (session_id) LEFT JOIN lt USING (session_id)"""
+
+    s["benchmark_task_upsert"] = """
+SELECT id, description, expected_output_hint, created_at FROM (
+  SELECT source AS id, text AS description, nullif(lang, 'en') AS expected_output_hint, doc_id AS created_at,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn
+  FROM documents) WHERE rn = 1"""
+
+    s["schema_evolution_union"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, (epoch_us(o_orderdate) // 1000) AS order_ms,
+       CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders"""
+    return s
+
+
+ORACLE_SQL: dict[str, str] = _sql()
