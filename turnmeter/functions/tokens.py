@@ -8,8 +8,9 @@ tokenizer in through :func:`tokenizer_udf` (X1).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,10 +160,8 @@ def tokenizer_udf(load: Callable[[], dict[str, Callable[[str], int]]]):
     tokenizer exists for the family, so callers can ``coalesce`` with
     :func:`estimate_tokens`.
     """
-    import pandas as pd
-
     @F.pandas_udf(T.LongType())
-    def _count(batches):
+    def _count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         encoders = load()
         for text, family in batches:
             out = []

@@ -68,6 +68,46 @@ def streaming_timing(parts: DataFrame, completions: DataFrame) -> DataFrame:
     )
 
 
+TIMING_FIELDS = ["first_part_received", "first_text_received", "first_tool_call", "message_completed"]
+
+
+def timing_from_updates(starts: DataFrame, updates: DataFrame) -> DataFrame:
+    """``streaming_timing`` from explicit row starts and field updates.
+
+    ``starts``: message_id, session_id, ts_ms, seq -- the first start of a
+    message inserts the row with request_sent = ts_ms (later ones are ignored).
+    ``updates``: message_id, field, ts_ms, seq -- ``SET field = ts WHERE
+    field IS NULL``; updates arriving before the row exists change nothing.
+    Each ``message_completed`` update recomputes the derived columns from the
+    fields present at that moment, so the last completion decides them.
+    """
+    seeds = starts.groupBy("message_id").agg(F.min(F.struct("ts_ms", "seq", "session_id")).alias("_seed"))
+    anchors = seeds.select("message_id", F.col("_seed.ts_ms").alias("_s_ts"), F.col("_seed.seq").alias("_s_seq"))
+    at_or_after = (F.col("ts_ms") > F.col("_s_ts")) | \
+        ((F.col("ts_ms") == F.col("_s_ts")) & (F.col("seq") >= F.col("_s_seq")))
+    first = {f: F.min(F.when(F.col("field") == f, F.struct("ts_ms", "seq"))).alias(f) for f in TIMING_FIELDS}
+    u = (updates.select("message_id", "field", "ts_ms", "seq").join(anchors, "message_id").where(at_or_after)
+         .groupBy("message_id")
+         .agg(*first.values(),
+              F.max(F.when(F.col("field") == "message_completed", F.struct("ts_ms", "seq"))).alias("_last_done")))
+    j = seeds.join(u, "message_id", "left")
+
+    def before_last(f: str):
+        a, b_ = F.col(f), F.col("_last_done")
+        return a.isNotNull() & ((a["ts_ms"] < b_["ts_ms"]) | ((a["ts_ms"] == b_["ts_ms"]) & (a["seq"] < b_["seq"])))
+
+    done = F.col("message_completed").isNotNull()
+    sent = F.col("_seed.ts_ms")
+    return j.select(
+        "message_id", F.col("_seed.session_id").alias("session_id"), sent.alias("request_sent"),
+        *[F.col(f"{f}.ts_ms").alias(f) for f in TIMING_FIELDS],
+        F.when(done & before_last("first_text_received"),
+               F.col("first_text_received.ts_ms") - sent).alias("time_to_first_token_ms"),
+        F.when(done & before_last("first_part_received"),
+               F.col("message_completed.ts_ms") - F.col("first_part_received.ts_ms")).alias("total_streaming_ms"),
+    )
+
+
 def finished_messages(messages: DataFrame) -> DataFrame:
     """Assistant messages with a truthy finish reason."""
     return messages.where((F.col("role") == "assistant") & F.col("finish").isNotNull()

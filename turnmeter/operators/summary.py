@@ -95,18 +95,14 @@ def benchmark_runs(requests: DataFrame, step_metrics: DataFrame, tool_calls: Dat
                    relevance: DataFrame, streaming_timing: DataFrame,
                    latency: DataFrame) -> DataFrame:
     """One ``benchmark_runs`` row per requested (task_id, session_id, strategy)."""
-    sessions = requests.select("session_id").distinct()
-
-    def facts(df: DataFrame) -> DataFrame:
-        # aggregate only the requested sessions (semi join prunes before grouping)
-        return df.join(sessions, "session_id", "left_semi")
-
+    # each fact collapses to one row per session (partial + final aggregation)
+    # before it meets the request list, so the joins only move small rows
     j = (requests
-         .join(step_totals(facts(step_metrics)), "session_id", "left")
-         .join(tool_totals(facts(tool_calls)), "session_id", "left")
-         .join(relevance_totals(facts(relevance)), "session_id", "left")
-         .join(timing_totals(facts(streaming_timing)), "session_id", "left")
-         .join(latency_stats(facts(latency)), "session_id", "left"))
+         .join(step_totals(step_metrics), "session_id", "left")
+         .join(tool_totals(tool_calls), "session_id", "left")
+         .join(relevance_totals(relevance), "session_id", "left")
+         .join(timing_totals(streaming_timing), "session_id", "left")
+         .join(latency_stats(latency), "session_id", "left"))
     zero_l = F.lit(0).cast("bigint")
     fetched = F.coalesce(F.col("total_fetched"), zero_l)
     referenced = F.coalesce(F.col("total_referenced"), zero_l)
