@@ -119,6 +119,11 @@ ESTIMATE_COLUMNS = ["message_id", "session_id", "approach", "model_id", "input_t
                     "estimated_cost", "timestamp"]
 
 
+def token_estimate_rows(requests: DataFrame, finished: DataFrame) -> DataFrame:
+    """All ``token_estimates`` writes (with ``seq``) before the unique-key rule."""
+    return _estimate_rows(requests, finished)
+
+
 def token_estimates(requests: DataFrame, finished: DataFrame) -> DataFrame:
     """``token_estimates`` (U1, P8): unique (message_id, approach), last wins.
 
@@ -128,6 +133,11 @@ def token_estimates(requests: DataFrame, finished: DataFrame) -> DataFrame:
     tokens_output, tokens_reasoning, tokens_cache_read, tokens_cache_write,
     cost -- the host's own counts ('opencode') per finished message.
     """
+    return keep_last(_estimate_rows(requests, finished), ["message_id", "approach"],
+                     ["timestamp", "seq"]).select(*ESTIMATE_COLUMNS)
+
+
+def _estimate_rows(requests: DataFrame, finished: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     placeholder = requests.select(
         "message_id", "session_id", F.lit("char-ratio").alias("approach"), "model_id",
@@ -142,8 +152,7 @@ def token_estimates(requests: DataFrame, finished: DataFrame) -> DataFrame:
         tk.total_tokens("tokens_input", "tokens_output", "tokens_reasoning", "tokens_cache_read",
                         "tokens_cache_write").alias("total_tokens"),
         F.col("cost").cast("double").alias("estimated_cost"), F.col("ts_ms").alias("timestamp"), "seq")
-    both = placeholder.unionByName(actual)
-    return keep_last(both, ["message_id", "approach"], ["timestamp", "seq"]).select(*ESTIMATE_COLUMNS)
+    return placeholder.unionByName(actual)
 
 
 STEP_COLUMNS = ["id", "session_id", "message_id", "timestamp", "reason", "cost", "tokens_input",

@@ -37,8 +37,9 @@ def _s(col: str) -> Column:
 
 # ---- events table: sessions = users ---------------------------------------
 
-def events(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+def events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    """The events table (or a stream with its schema, ``raw``) as telemetry events."""
+    e = raw if raw is not None else read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     return e.select("event_id", _s("user_id").alias("session_id"), "event_type", "value",
                     epoch_ms("ts").alias("ts_ms"), F.col("event_id").alias("seq"))
 
@@ -48,10 +49,10 @@ def message_of(session: str = "session_id", ts_ms: str = "ts_ms") -> Column:
     return F.concat(F.col(session), F.lit(":"), F.floor(F.col(ts_ms) / F.lit(WEEK_MS)).cast("string"))
 
 
-def part_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def part_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(parts, completions): view = text part, click = pending tool part,
     signup/purchase = other parts; error = finished assistant message."""
-    e = events(spark, d).withColumn("message_id", message_of())
+    e = events(spark, d, raw).withColumn("message_id", message_of())
     parts = (e.where(F.col("event_type") != "error")
              .select("message_id", "session_id", "ts_ms", "seq",
                      F.when(F.col("event_type") == "view", F.lit("text"))
@@ -63,9 +64,9 @@ def part_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return parts, completions
 
 
-def tool_hook_events(spark: SparkSession, d: str) -> DataFrame:
+def tool_hook_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """click = tool.execute.before, view = tool.execute.after; call = user."""
-    e = events(spark, d).where(F.col("event_type").isin("click", "view"))
+    e = events(spark, d, raw).where(F.col("event_type").isin("click", "view"))
     return e.select(F.col("session_id").alias("call_id"), "session_id",
                     F.when(F.col("event_type") == "click", F.lit("before")).otherwise(F.lit("after")).alias("kind"),
                     "ts_ms", "seq")
@@ -77,23 +78,23 @@ def _value_tokens(v: Column) -> dict[str, Column]:
             "tokens_cache_write": F.floor(v * 5)}
 
 
-def chat_params(spark: SparkSession, d: str) -> DataFrame:
+def chat_params(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """signup = chat.params of the session: model and limits from the value."""
-    e = events(spark, d).where(F.col("event_type") == "signup")
+    e = events(spark, d, raw).where(F.col("event_type") == "signup")
     level = F.floor(F.col("value"))
     return e.select(F.col("event_id").cast("string").alias("id"), "session_id", "ts_ms", "seq",
                     model_for(level).alias("model_id"),
                     ((level + 1) * 1000).cast("bigint").alias("context_limit"))
 
 
-def non_param_events(spark: SparkSession, d: str) -> DataFrame:
-    e = events(spark, d).where(F.col("event_type") != "signup")
+def non_param_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    e = events(spark, d, raw).where(F.col("event_type") != "signup")
     return e.select("event_id", "session_id", "event_type", "ts_ms", "seq")
 
 
-def token_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def token_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(requests, finished): signup = request placeholder, error = finished message."""
-    e = events(spark, d)
+    e = events(spark, d, raw)
     model = model_for(F.floor(F.col("value")))
     requests = (e.where(F.col("event_type") == "signup")
                 .select(F.col("event_id").cast("string").alias("message_id"), "session_id",
@@ -106,9 +107,9 @@ def token_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return requests, finished
 
 
-def step_events(spark: SparkSession, d: str) -> DataFrame:
+def step_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """purchase = step-finish part; step id = (user, day)."""
-    e = events(spark, d).where(F.col("event_type") == "purchase")
+    e = events(spark, d, raw).where(F.col("event_type") == "purchase")
     toks = _value_tokens(F.col("value"))
     return e.select(
         F.concat(F.col("session_id"), F.lit(":"), F.floor(F.col("ts_ms") / F.lit(DAY_MS)).cast("string")).alias("id"),
@@ -207,13 +208,13 @@ def context_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 # ---- documents ---------------------------------------------------------------
 
-def documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents", ["doc_id", "text", "lang", "source"])
+def documents(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    return raw if raw is not None else read_table(spark, d, "documents", ["doc_id", "text", "lang", "source"])
 
 
-def system_prompt_events(spark: SparkSession, d: str) -> DataFrame:
+def system_prompt_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """Each document is a system-prompt hook call of session = lang."""
-    doc = documents(spark, d)
+    doc = documents(spark, d, raw)
     return doc.select(F.col("lang").alias("session_id"), model_for("doc_id").alias("model_id"),
                       F.col("doc_id").alias("ts_ms"), F.col("doc_id").alias("seq"),
                       F.split(F.col("text"), "\n\n").alias("system"))

@@ -1,0 +1,167 @@
+"""Custom per-key state for the streaming operators.
+
+Each processor is a ``StatefulProcessor`` for ``transformWithStateInPandas``:
+Spark shuffles rows by key, keeps the state in the RocksDB state store
+(checkpointed, so a lost executor replays from the last commit) and calls the
+processor with the key's rows of one micro-batch. Rows inside a batch arrive
+in no particular order; every processor sorts them by (ts_ms, seq) first, so
+a replayed or re-split input gives the same result. A state TTL (T8) can be
+passed as ``ttl_ms``; it needs ``timeMode="ProcessingTime"``, which the
+registered twins do not use because their ``availableNow`` runs end anyway.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+# The processors travel by value inside the query plan, so Python workers
+# (and the driver-side runner of transformWithStateInPandas) need no install
+# of this package; the module imports only pandas and pyspark.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+DEFAULT_TTL_MS = None  # see module docstring: TTL needs processing-time mode
+
+TIMING_OUT = ("message_id string, session_id string, request_sent long, first_part_received long, "
+              "first_text_received long, first_tool_call long, message_completed long, "
+              "time_to_first_token_ms long, total_streaming_ms long")
+LATENCY_OUT = ("tool_call_id string, session_id string, phase string, duration_ms long, "
+               "metadata_json string, timestamp long")
+ASOF_OUT = ("event_id long, session_id string, event_type string, timestamp long, params_id string, "
+            "model_id string, context_limit long")
+
+
+def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    frames = list(rows)
+    df = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+    return df.sort_values(["ts_ms", "seq"], kind="stable")
+
+
+def _opt(v):
+    return None if v is None or (isinstance(v, float) and pd.isna(v)) else int(v)
+
+
+class MilestoneProcessor(StatefulProcessor):
+    """``streaming_timing`` per message.
+
+    Input rows: message_id, session_id, ts_ms, seq, kind ('part' | 'done'),
+    part_type, tool_status. The first part seeds the row exactly once; first
+    text / first pending tool fill once; a completion before the seed is a
+    no-op, otherwise it sets message_completed once and recomputes the
+    derived timings. Emits the current row of every key touched in a batch.
+    """
+
+    FIELDS = ["session_id", "request_sent", "first_text_received", "first_tool_call",
+              "message_completed", "time_to_first_token_ms", "total_streaming_ms"]
+    SCHEMA = StructType([StructField("session_id", StringType())]
+                        + [StructField(f, LongType()) for f in FIELDS[1:]])
+
+    def __init__(self, ttl_ms: int = DEFAULT_TTL_MS):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = handle.getValueState("timing", self.SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        st = dict(zip(self.FIELDS, self.row.get())) if self.row.exists() else None
+        for r in _sorted(rows).itertuples(index=False):
+            ts = int(r.ts_ms)
+            if r.kind == "part":
+                if st is None:
+                    st = dict.fromkeys(self.FIELDS)
+                    st["session_id"], st["request_sent"] = r.session_id, ts
+                if r.part_type == "text" and st["first_text_received"] is None:
+                    st["first_text_received"] = ts
+                if r.part_type == "tool" and r.tool_status == "pending" and st["first_tool_call"] is None:
+                    st["first_tool_call"] = ts
+            elif st is not None:  # completion of a seeded message
+                if st["message_completed"] is None:
+                    st["message_completed"] = ts
+                ft = st["first_text_received"]
+                st["time_to_first_token_ms"] = None if ft is None else ft - st["request_sent"]
+                st["total_streaming_ms"] = st["message_completed"] - st["request_sent"]
+        if st is None:
+            return
+        self.row.update(tuple(st[f] for f in self.FIELDS))
+        out = {"message_id": [key[0]], "session_id": [st["session_id"]],
+               "request_sent": [st["request_sent"]], "first_part_received": [st["request_sent"]]}
+        for f in self.FIELDS[2:]:
+            out[f] = [st[f]]
+        yield pd.DataFrame(out).astype({c: "Int64" for c in out if c not in ("message_id", "session_id")})
+
+    def close(self) -> None:
+        pass
+
+
+class CallPairingProcessor(StatefulProcessor):
+    """'total' latency per tool call (T5): a start is kept until the next end consumes it."""
+
+    SCHEMA = StructType([StructField("start_ms", LongType())])
+
+    def __init__(self, ttl_ms: int = DEFAULT_TTL_MS):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.start = handle.getValueState("start", self.SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        start = self.start.get()[0] if self.start.exists() else None
+        out = []
+        for r in _sorted(rows).itertuples(index=False):
+            if r.kind == "before":
+                start = int(r.ts_ms)
+            elif start is not None:
+                out.append((key[0], r.session_id, "total", int(r.ts_ms) - start, None, int(r.ts_ms)))
+                start = None
+        if start is None:
+            self.start.clear()
+        else:
+            self.start.update((start,))
+        if out:
+            yield pd.DataFrame(out, columns=["tool_call_id", "session_id", "phase", "duration_ms",
+                                             "metadata_json", "timestamp"])
+
+    def close(self) -> None:
+        pass
+
+
+class LatestParamsProcessor(StatefulProcessor):
+    """Latest chat params per session, attached to each later event.
+
+    Input rows: event_id, session_id, event_type, ts_ms, seq, is_params,
+    params_id, model_id, context_limit. An 'idle' event type clears nothing
+    here: the reference keeps the model cache across idle, so results are
+    the same either way (T7 only resets deduplication, which is implicit).
+    """
+
+    SCHEMA = StructType([StructField("params_id", StringType()), StructField("model_id", StringType()),
+                         StructField("context_limit", LongType())])
+
+    def __init__(self, ttl_ms: int = DEFAULT_TTL_MS):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", self.SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        cur = self.latest.get() if self.latest.exists() else (None, None, None)
+        out = []
+        for r in _sorted(rows).itertuples(index=False):
+            if r.is_params:
+                cur = (r.params_id, r.model_id, _opt(r.context_limit))
+            else:
+                out.append((int(r.event_id), key[0], r.event_type, int(r.ts_ms), cur[0], cur[1], cur[2]))
+        if cur[0] is not None:
+            self.latest.update(cur)
+        if out:
+            df = pd.DataFrame(out, columns=["event_id", "session_id", "event_type", "timestamp", "params_id",
+                                            "model_id", "context_limit"])
+            yield df.astype({"context_limit": "Int64"})
+
+    def close(self) -> None:
+        pass
