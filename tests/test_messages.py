@@ -96,3 +96,21 @@ def test_system_prompts_dedup(spark):
     got = rows(msg.system_prompts(ev), "session_id", "model_id", "timestamp", "content")
     assert got == [("s1", "gpt-4o", 1, "Line one.\n\nLine two."), ("s2", "unknown", 3, "Line one.\n\nLine two.")]
     assert F is not None
+
+
+def test_chat_params_flatten_and_last_wins(spark):
+    schema = ("message_id string, session_id string, ts_ms long, seq long, model struct<id:string, "
+              "cost:struct<input:double,output:double,cache:struct<read:double,write:double>>, "
+              "limit:struct<context:bigint,output:bigint>>, provider_id string, agent string, temperature double, "
+              "top_p double, top_k double, max_output_tokens bigint, options map<string,string>")
+    model = ("claude-x", (1e-6, 2e-6, (3e-7, 4e-7)), (200000, 8192))
+    reqs = spark.createDataFrame(
+        [("m1", "s", 1, 1, model, None, "build", 0.5, None, None, None, {}),
+         ("m1", "s", 2, 2, model, "anthropic", "build", 0.7, 0.9, None, 1024, {"reasoning": "high"}),
+         ("m2", "s", 3, 3, None, None, None, None, None, None, None, None)], schema)
+    got = {r.id: r for r in msg.chat_params_table(reqs).collect()}
+    r = got["m1"]
+    assert (r.temperature, r.top_p, r.provider_id, r.max_output_tokens) == (0.7, 0.9, "anthropic", 1024)
+    assert (r.model_context_limit, r.cost_cache_write, r.options_json) == (200000, 4e-7, '{"reasoning":"high"}')
+    e = got["m2"]
+    assert e.provider_id == "" and e.options_json is None and e.model_id is None

@@ -80,3 +80,15 @@ def test_cost_shares_last_positive_step_wins(spark):
     calls = spark.createDataFrame([("c1", "m", "completed", 1)], CALLS)
     steps = spark.createDataFrame([("m", 1, 0, 2.0), ("m", 2, 1, 5.0), ("m", 3, 2, 0.0)], STEPS)
     assert tools.cost_shares(calls, steps).first()["cost_share"] == 5.0
+
+
+def test_truncated_flag_requires_json_true(spark):
+    df = spark.createDataFrame([('{"truncated": true}',), ('{"truncated": "true"}',), ('{"truncated": 1}',),
+                                ('{"truncated": false}',), ("{}",), (None,), ("not json",)], "m string")
+    got = [r["t"] for r in df.select(tools.truncated_from_metadata("m").alias("t")).collect()]
+    assert got == [True, False, False, False, False, False, False]
+
+
+def test_args_json(spark):
+    df = spark.createDataFrame([({"path": "src/index.ts"},)], "a map<string,string>")
+    assert df.select(tools.args_json("a").alias("j")).first()["j"] == '{"path":"src/index.ts"}'

@@ -74,9 +74,12 @@ def fallback_ratio(model) -> Column:
     return expr.otherwise(F.lit(float(DEFAULT_RATIO)))
 
 
-def token_ratio(model) -> Column:
-    """Bytes per token used for the heuristic count of ``model``."""
-    fam = model_family(model)
+def token_ratio(model, family=None) -> Column:
+    """Bytes per token used for the heuristic count of ``model``.
+
+    Pass an already computed ``family`` column to skip re-matching the id.
+    """
+    fam = model_family(model) if family is None else _c(family)
     expr = None
     for name, ratio in FAMILY_RATIOS.items():
         cond = fam == name
@@ -91,8 +94,17 @@ def utf8_bytes(text) -> Column:
 
 def estimate_tokens(text, model) -> Column:
     """Heuristic token count (P2/P6): 0 for NULL or empty text."""
+    return tokens_at_ratio(text, token_ratio(model))
+
+
+def tokens_at_ratio(text, ratio) -> Column:
+    """Token count for a precomputed bytes-per-token ``ratio`` column.
+
+    Operators that count several texts of one row compute the ratio once
+    (a column) and reuse it, so the model-id matching runs once per row.
+    """
     t = _c(text)
-    count = F.ceil(F.octet_length(t) / token_ratio(model)).cast("bigint")
+    count = F.ceil(F.octet_length(t) / _c(ratio)).cast("bigint")
     return F.when(t.isNull() | (t == ""), F.lit(0).cast("bigint")).otherwise(count)
 
 

@@ -108,6 +108,34 @@ def timing_from_updates(starts: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+CHAT_PARAMS_COLUMNS = ["id", "session_id", "timestamp", "model_id", "provider_id", "agent", "temperature",
+                       "top_p", "top_k", "max_output_tokens", "model_context_limit", "model_output_limit",
+                       "cost_input", "cost_output", "cost_cache_read", "cost_cache_write", "options_json"]
+
+
+def chat_params_table(requests: DataFrame) -> DataFrame:
+    """``chat_params`` (S3, S4): nested request fields flattened, last wins per id.
+
+    ``requests``: message_id, session_id, ts_ms, seq, model struct<id,
+    cost struct<input, output, cache struct<read, write>>, limit
+    struct<context, output>>, provider_id, agent, temperature, top_p, top_k,
+    max_output_tokens, options map. Provider defaults to ''; options become
+    JSON only when the map is non-empty.
+    """
+    opts = F.col("options")
+    flat = requests.select(
+        F.col("message_id").alias("id"), "session_id", F.col("ts_ms").alias("timestamp"), "seq",
+        F.col("model.id").alias("model_id"), F.coalesce(F.col("provider_id"), F.lit("")).alias("provider_id"),
+        "agent", "temperature", "top_p", "top_k", "max_output_tokens",
+        F.col("model.limit.context").alias("model_context_limit"),
+        F.col("model.limit.output").alias("model_output_limit"),
+        F.col("model.cost.input").alias("cost_input"), F.col("model.cost.output").alias("cost_output"),
+        F.col("model.cost.cache.read").alias("cost_cache_read"),
+        F.col("model.cost.cache.write").alias("cost_cache_write"),
+        F.when(opts.isNotNull() & (F.size(opts) > 0), F.to_json(opts)).alias("options_json"))
+    return keep_last(flat, ["id"], ["timestamp", "seq"]).select(*CHAT_PARAMS_COLUMNS)
+
+
 def finished_messages(messages: DataFrame) -> DataFrame:
     """Assistant messages with a truthy finish reason."""
     return messages.where((F.col("role") == "assistant") & F.col("finish").isNotNull()
@@ -196,16 +224,17 @@ def context_snapshots(snapshots: DataFrame, parts: DataFrame) -> DataFrame:
     ``parts``: snapshot_key, part_type, text, tool_output -- one row per part.
     Counters are summed per snapshot with map-side partial aggregation.
     """
-    model = snapshots.select("snapshot_key", "model_id")
-    p = parts.join(model, "snapshot_key")
+    # the bytes-per-token ratio is matched once per snapshot, not per part
+    ratio = snapshots.select("snapshot_key", tk.token_ratio("model_id").alias("_ratio"))
+    p = parts.join(ratio, "snapshot_key")
     is_tool = F.col("part_type") == "tool"
     is_text = F.col("part_type") == "text"
     counts = (p.groupBy("snapshot_key")
               .agg(F.count(F.lit(1)).alias("total_parts"),
                    F.count_if(is_tool).alias("tool_parts"),
                    F.count_if(is_text).alias("text_parts"),
-                   F.sum(F.when(is_tool, tk.estimate_tokens("tool_output", "model_id"))).alias("_tool_tok"),
-                   F.sum(F.when(is_text, tk.estimate_tokens("text", "model_id"))).alias("_conv_tok")))
+                   F.sum(F.when(is_tool, tk.tokens_at_ratio("tool_output", "_ratio"))).alias("_tool_tok"),
+                   F.sum(F.when(is_text, tk.tokens_at_ratio("text", "_ratio"))).alias("_conv_tok")))
     j = snapshots.join(counts, "snapshot_key", "left")
     zero = F.lit(0).cast("bigint")
     tool_tok = F.coalesce(F.col("_tool_tok"), zero)

@@ -19,7 +19,8 @@ RELEVANCE_COLUMNS = ["session_id", "message_id", "tool_call_id", "tool", "fetche
                      "scoring_method", "timestamp"]
 
 
-def line_overlap(output: Column, response: Column, model: Column) -> Column:
+def line_overlap(output: Column, response: Column, model: Column | None = None,
+                 ratio: Column | None = None) -> Column:
     """Struct(fetched_lines, referenced_lines, referenced_tokens, relevance_ratio) (A10).
 
     Output lines (trimmed, non-empty) of at least 4 UTF-16 units count as
@@ -27,11 +28,12 @@ def line_overlap(output: Column, response: Column, model: Column) -> Column:
     fetched. Referenced tokens are the count of the matched lines joined by
     newline; the ratio is against the count of the whole output, capped at 1.
     """
+    ratio = tk.token_ratio(model) if ratio is None else ratio
     lines = tx.to_lines(output)
     matched = F.filter(lines, lambda l: tx.utf16_len_at_least(l, 4) & F.contains(response, l))
     ref_tokens = F.when(F.size(matched) > 0,
-                        tk.estimate_tokens(F.array_join(matched, "\n"), model)).otherwise(F.lit(0).cast("bigint"))
-    fetched = tk.estimate_tokens(output, model)
+                        tk.tokens_at_ratio(F.array_join(matched, "\n"), ratio)).otherwise(F.lit(0).cast("bigint"))
+    fetched = tk.tokens_at_ratio(output, ratio)
     ratio = F.when(fetched > 0, F.least(F.lit(1.0), ref_tokens / fetched)).otherwise(F.lit(0.0))
     return F.struct(F.size(lines).cast("bigint").alias("fetched_lines"),
                     F.size(matched).cast("bigint").alias("referenced_lines"),
@@ -39,15 +41,17 @@ def line_overlap(output: Column, response: Column, model: Column) -> Column:
                     ratio.alias("relevance_ratio"))
 
 
-def substring_match(output: Column, response: Column, model: Column) -> Column:
+def substring_match(output: Column, response: Column, model: Column | None = None,
+                    ratio: Column | None = None) -> Column:
     """Struct(referenced_tokens, fetched_tokens, relevance_ratio).
 
     Tokens (quoted strings, paths, identifiers) are extracted from the tool
     output; the share of their UTF-16 length found in the response scales the
     output's token count (rounded half up).
     """
+    ratio = tk.token_ratio(model) if ratio is None else ratio
     toks = tx.extract_tokens(output)
-    fetched = tk.estimate_tokens(output, model)
+    fetched = tk.tokens_at_ratio(output, ratio)
     zero = F.lit(0).cast("bigint")
     total_chars = F.aggregate(toks, zero, lambda acc, t: acc + tx.utf16_len(t))
     matched_chars = F.aggregate(F.filter(toks, lambda t: F.contains(response, t)), zero,
@@ -82,22 +86,22 @@ def score_tool_calls(finished: DataFrame, calls: DataFrame, method: str = "auto"
     ``method``: 'auto' (line overlap for file-read tools, else substring
     match), 'line-overlap' or 'substring-match'.
     """
-    pairs = scorable_pairs(finished, calls)
-    out, resp, model = F.col("output_text"), F.col("response_text"), F.col("model_id")
-    fetched_tokens = F.coalesce(F.col("output_estimated_tokens"), tk.estimate_tokens(out, model))
+    pairs = scorable_pairs(finished, calls).withColumn("_ratio", tk.token_ratio("model_id"))
+    out, resp, ratio = F.col("output_text"), F.col("response_text"), F.col("_ratio")
+    fetched_tokens = F.coalesce(F.col("output_estimated_tokens"), tk.tokens_at_ratio(out, ratio))
     head = ["session_id", "message_id", "tool_call_id", "tool", fetched_tokens.alias("fetched_tokens"),
             F.size(tx.to_lines(out)).cast("bigint").alias("fetched_lines")]
     tail = F.col("ts_ms").alias("timestamp")
 
     def by_lines(df: DataFrame) -> DataFrame:
-        lo = line_overlap(out, resp, model)
+        lo = line_overlap(out, resp, ratio=ratio)
         return df.select(*head, lo["referenced_tokens"].alias("referenced_tokens"),
                          lo["referenced_lines"].alias("referenced_lines"),
                          lo["relevance_ratio"].alias("relevance_ratio"),
                          F.lit("line-overlap").alias("scoring_method"), tail)
 
     def by_substrings(df: DataFrame) -> DataFrame:
-        sm = substring_match(out, resp, model)
+        sm = substring_match(out, resp, ratio=ratio)
         return df.select(*head, sm["referenced_tokens"].alias("referenced_tokens"),
                          F.lit(None).cast("bigint").alias("referenced_lines"),
                          sm["relevance_ratio"].alias("relevance_ratio"),

@@ -14,6 +14,23 @@ from .sequence import DEFAULT_BUCKET_MS, carry_last_non_null, previous_row
 from .upsert import keep_last
 
 
+def args_json(args) -> "F.Column":
+    """Tool arguments serialised to JSON text."""
+    return F.to_json(F.col(args) if isinstance(args, str) else args)
+
+
+def truncated_from_metadata(meta_json) -> "F.Column":
+    """``metadata.truncated === true`` from JSON text.
+
+    Only a JSON boolean true counts: the string "true" or the number 1 do
+    not, so the value's variant type is checked before reading it.
+    """
+    m = F.col(meta_json) if isinstance(meta_json, str) else meta_json
+    v = F.variant_get(F.try_parse_json(m), "$.truncated", "variant")
+    is_bool = F.schema_of_variant(v) == F.lit("BOOLEAN")
+    return F.coalesce(is_bool & F.variant_get(v, "$", "boolean"), F.lit(False))
+
+
 def _after(ts, seq, ref_ts, ref_seq):
     """(ts, seq) strictly after (ref_ts, ref_seq) in arrival order."""
     return (F.col(ts) > F.col(ref_ts)) | ((F.col(ts) == F.col(ref_ts)) & (F.col(seq) > F.col(ref_seq)))
@@ -44,12 +61,14 @@ def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
     e = keep_last(e, ["call_id"], ["ts_ms", "seq"])
     e = e.select("call_id", *[F.col(c).alias(f"end_{c}") for c in e.columns if c != "call_id"])
 
-    j = s.join(e, "call_id", "left")
+    j = s.join(e, "call_id", "left").withColumn("_in_ratio", tk.token_ratio("model_id"))
     has_end = F.col("end_ts_ms").isNotNull()
-    model = F.coalesce(F.col("end_model_id"), F.col("model_id")) if "end_model_id" in j.columns \
-        else F.col("model_id")
+    if "end_model_id" in j.columns:
+        out_ratio = F.when(F.col("end_model_id").isNull(), F.col("_in_ratio")).otherwise(tk.token_ratio("end_model_id"))
+    else:
+        out_ratio = F.col("_in_ratio")
     out_text = F.col("end_output_text")
-    out_tokens = F.when(has_end, tk.estimate_tokens(out_text, model))
+    out_tokens = F.when(has_end, tk.tokens_at_ratio(out_text, out_ratio))
     return j.select(
         F.col("call_id").alias("id"),
         "session_id", "message_id", "tool",
@@ -59,7 +78,7 @@ def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
         F.when(has_end, F.col("end_status")).otherwise(F.lit("pending")).alias("status"),
         "input_json",
         tk.utf8_bytes("input_json").cast("bigint").alias("input_size_bytes"),
-        tk.estimate_tokens("input_json", "model_id").alias("input_estimated_tokens"),
+        tk.tokens_at_ratio("input_json", "_in_ratio").alias("input_estimated_tokens"),
         out_text.alias("output_text"),
         F.when(has_end, tk.is_large_output(out_text)).otherwise(F.lit(False)).alias("output_compressed"),
         tk.utf8_bytes(out_text).cast("bigint").alias("output_size_bytes"),

@@ -32,11 +32,12 @@ def _r(col: str, digits: int = DIGITS):
 # ---- P1-P8, P11, P13 -------------------------------------------------------
 
 def token_count_heuristic(spark: SparkSession, d: str) -> DataFrame:
-    docs = b.documents(spark, d).select("doc_id", "text", b.model_for("doc_id").alias("model_id"))
+    docs = (b.documents(spark, d).select("doc_id", "text", b.model_for("doc_id").alias("model_id"))
+            .withColumn("family", tk.model_family("model_id"))
+            .withColumn("ratio", tk.token_ratio("model_id", "family")))
     m, t = F.col("model_id"), F.col("text")
-    return docs.select("doc_id", "model_id", tk.model_family(m).alias("family"),
-                       tk.token_ratio(m).alias("ratio"), tk.utf8_bytes(t).cast("bigint").alias("n_bytes"),
-                       tk.estimate_tokens(t, m).alias("token_count"), tk.token_method(t, m).alias("method"),
+    return docs.select("doc_id", "model_id", "family", "ratio", tk.utf8_bytes(t).cast("bigint").alias("n_bytes"),
+                       tk.tokens_at_ratio(t, "ratio").alias("token_count"), tk.token_method(t, m).alias("method"),
                        tk.token_warning(t, m).alias("warning"))
 
 
@@ -100,6 +101,12 @@ def latest_model_asof(spark: SparkSession, d: str) -> DataFrame:
                          F.col("asof.context_limit").alias("context_limit"))
 
 
+# ---- S3, S4 ----------------------------------------------------------------
+
+def chat_params_upsert(spark: SparkSession, d: str) -> DataFrame:
+    return msg.chat_params_table(b.chat_requests(spark, d)).withColumn("temperature", _r("temperature"))
+
+
 # ---- W1, J5, A13, F1, F5 ---------------------------------------------------
 
 def cost_share(spark: SparkSession, d: str) -> DataFrame:
@@ -257,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tool_call_pairing": tool_call_pairing,
     "tool_latency_total": tool_latency_total,
     "latest_model_asof": latest_model_asof,
+    "chat_params_upsert": chat_params_upsert,
     "cost_share": cost_share,
     "streaming_milestones": streaming_milestones,
     "token_estimates": token_estimates,

@@ -337,6 +337,24 @@ f AS (
 SELECT event_id, session_id, event_type, ts AS timestamp, params_id, model_id, context_limit
 FROM f WHERE event_type <> 'signup'"""
 
+    s["chat_params_upsert"] = f"""
+WITH r AS (
+  SELECT CAST(user_id AS VARCHAR) || ':' || CAST(CAST(floor({ms('ts')} / {b.DAY_MS}) AS BIGINT) AS VARCHAR) AS id,
+         CAST(user_id AS VARCHAR) AS session_id, {ms('ts')} AS timestamp, event_id AS seq,
+         {model_for('CAST(floor(value) AS BIGINT)')} AS model_id,
+         coalesce(CASE WHEN floor(value) >= 100 THEN {family(model_for('CAST(floor(value) AS BIGINT)'))} END, '')
+           AS provider_id,
+         'build' AS agent, round(value / 100, {D}) AS temperature, NULL::DOUBLE AS top_p, NULL::DOUBLE AS top_k,
+         CAST(floor(value) * 10 AS BIGINT) AS max_output_tokens,
+         CAST((floor(value) + 1) * 1000 AS BIGINT) AS model_context_limit, 4096::BIGINT AS model_output_limit,
+         {r['input']!r}::DOUBLE AS cost_input, {r['output']!r}::DOUBLE AS cost_output,
+         {r['cache_read']!r}::DOUBLE AS cost_cache_read, {r['cache_write']!r}::DOUBLE AS cost_cache_write,
+         CASE WHEN props IS NULL OR CAST(json(props) AS VARCHAR) = '{{}}' THEN NULL
+              ELSE CAST(json(props) AS VARCHAR) END AS options_json
+  FROM events WHERE event_type = 'signup')
+SELECT * EXCLUDE (seq, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp DESC, seq DESC) AS rn FROM r) WHERE rn = 1"""
+
     s["cost_share"] = f"""
 WITH li AS ({LINEITEM_DEDUP}),
 c AS (

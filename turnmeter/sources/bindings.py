@@ -87,6 +87,35 @@ def chat_params(spark: SparkSession, d: str, raw: DataFrame | None = None) -> Da
                     ((level + 1) * 1000).cast("bigint").alias("context_limit"))
 
 
+def chat_requests(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    """signup = chat.params hook call with nested model info (S3 input).
+
+    The request's message id is (user, day), so repeated requests of one
+    message exercise last-wins; ``props`` JSON is the options map.
+    """
+    e = (raw if raw is not None else read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type",
+                                                                      "value", "props"]))
+    e = e.where(F.col("event_type") == "signup")
+    level = F.floor(F.col("value"))
+    ts_ms = epoch_ms("ts")
+    model = F.struct(
+        model_for(level).alias("id"),
+        F.struct(F.lit(RATES["input"]).alias("input"), F.lit(RATES["output"]).alias("output"),
+                 F.struct(F.lit(RATES["cache_read"]).alias("read"),
+                          F.lit(RATES["cache_write"]).alias("write")).alias("cache")).alias("cost"),
+        F.struct(((level + 1) * 1000).cast("bigint").alias("context"),
+                 F.lit(4096).cast("bigint").alias("output")).alias("limit"))
+    from ..functions.tokens import model_family
+    return e.select(
+        F.concat(_s("user_id"), F.lit(":"), F.floor(ts_ms / F.lit(DAY_MS)).cast("string")).alias("message_id"),
+        _s("user_id").alias("session_id"), ts_ms.alias("ts_ms"), F.col("event_id").alias("seq"), model.alias("model"),
+        F.when(level >= 100, model_family(model_for(level))).alias("provider_id"),
+        F.lit("build").alias("agent"), (F.col("value") / 100).alias("temperature"),
+        F.lit(None).cast("double").alias("top_p"), F.lit(None).cast("double").alias("top_k"),
+        (level * 10).cast("bigint").alias("max_output_tokens"),
+        F.from_json(F.col("props"), "map<string,bigint>").alias("options"))
+
+
 def non_param_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     e = events(spark, d, raw).where(F.col("event_type") != "signup")
     return e.select("event_id", "session_id", "event_type", "ts_ms", "seq")
