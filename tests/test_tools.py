@@ -92,3 +92,33 @@ def test_truncated_flag_requires_json_true(spark):
 def test_args_json(spark):
     df = spark.createDataFrame([({"path": "src/index.ts"},)], "a map<string,string>")
     assert df.select(tools.args_json("a").alias("j")).first()["j"] == '{"path":"src/index.ts"}'
+
+
+ST = "call_id string, message_id string, ts_ms long, seq long"
+EN = "call_id string, ts_ms long, seq long, output_size_bytes long"
+
+
+def _asof(spark, starts, ends, steps):
+    out = tools.cost_shares_asof(spark.createDataFrame(starts, ST), spark.createDataFrame(ends, EN),
+                                 spark.createDataFrame(steps, STEPS), bucket_ms=100)
+    return {r.call_id: r.cost_share for r in out.collect()}
+
+
+def test_cost_share_asof_completed_by_step_only(spark):
+    # c1 ends before the step, c2 after it: only c1 shares; c2 stays NULL
+    got = _asof(spark, [("c1", "m", 0, 1), ("c2", "m", 0, 2)],
+                [("c1", 10, 3, 100), ("c2", 60, 5, 300)], [("m", 50, 4, 2.0)])
+    assert got == {"c1": 2.0, "c2": None}
+
+
+def test_cost_share_asof_restart_after_step_resets_but_counts(spark):
+    # both completed at the step (1:3 bytes); c2 restarts later -> NULL, c1 keeps 0.25 * cost
+    got = _asof(spark, [("c1", "m", 0, 1), ("c2", "m", 0, 2), ("c2", "m", 300, 9)],
+                [("c1", 10, 3, 100), ("c2", 20, 4, 300)], [("m", 150, 5, 4.0), ("m", 200, 6, 0.0)])
+    assert got["c1"] == pytest.approx(1.0) and got["c2"] is None
+
+
+def test_cost_share_asof_last_positive_step_and_equal_split(spark):
+    got = _asof(spark, [("a", "m", 0, 1), ("b", "m", 0, 2)],
+                [("a", 10, 3, 0), ("b", 20, 4, None)], [("m", 30, 5, 1.0), ("m", 250, 6, 3.0)])
+    assert got == {"a": 1.5, "b": 1.5}

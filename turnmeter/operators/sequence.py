@@ -31,32 +31,39 @@ def _bucket(ts_ms: str, bucket_ms: int) -> Column:
 
 
 def carry_last_non_null(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str,
-                        value: str, out: str, bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                        value: str | Sequence[str], out: str | Sequence[str],
+                        bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """Add ``out`` = last non-NULL ``value`` at or before each row, per key.
 
     Order is (``ts_ms``, ``seq``); ``value`` may be any type (use a struct to
-    carry several fields). Equivalent to ``last(value, ignorenulls)`` over
+    carry several fields together). Several independent columns can be
+    carried in one pass by giving lists for ``value`` and ``out``.
+    Equivalent to ``last(value, ignorenulls)`` over
     ``partitionBy(keys).orderBy(ts_ms, seq)`` with an unbounded-preceding
     frame.
     """
     keys = list(keys)
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     b = "_bucket"
     d = df.withColumn(b, _bucket(ts_ms, bucket_ms))
     w_in = (Window.partitionBy(*keys, b).orderBy(ts_ms, seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_in", F.last(F.col(value), ignorenulls=True).over(w_in))
-
-    # one row per (key, bucket) that has rows; NULL when the bucket has no value
-    has_value = F.col(value).isNotNull()
-    summary = (d.groupBy(*keys, b)
-               .agg(F.max_by(F.col(value),
-                             F.when(has_value, F.struct(F.col(ts_ms), F.col(seq)))).alias("_last")))
+    for i, v in enumerate(values):
+        d = d.withColumn(f"_in{i}", F.last(F.col(v), ignorenulls=True).over(w_in))
+
+    # one row per (key, bucket) that has rows; NULL where the bucket has no value
+    order = F.struct(F.col(ts_ms), F.col(seq))
+    summary = d.groupBy(*keys, b).agg(*[
+        F.max_by(F.col(v), F.when(F.col(v).isNotNull(), order)).alias(f"_last{i}")
+        for i, v in enumerate(values)])
     w_b = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summary.withColumn("_carry", F.last("_last", ignorenulls=True).over(w_b))
-             .select(*keys, b, "_carry"))
-    return (d.join(carry, [*keys, b], "left")
-            .withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
-            .drop("_in", "_carry", b))
+    carry = summary.select(*keys, b, *[F.last(f"_last{i}", ignorenulls=True).over(w_b).alias(f"_carry{i}")
+                                       for i in range(len(values))])
+    d = d.join(carry, [*keys, b], "left")
+    for i, o in enumerate(outs):
+        d = d.withColumn(o, F.coalesce(F.col(f"_in{i}"), F.col(f"_carry{i}")))
+    return d.drop(b, *[f"_in{i}" for i in range(len(values))], *[f"_carry{i}" for i in range(len(values))])
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str,

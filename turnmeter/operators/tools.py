@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import tokens as tk
 from .sequence import DEFAULT_BUCKET_MS, carry_last_non_null, previous_row
@@ -151,3 +152,66 @@ def cost_shares(calls: DataFrame, steps: DataFrame) -> DataFrame:
         .otherwise((bytes_ / F.col("_total_bytes")) * F.col("_cost"))
     return j.withColumn("cost_share", F.when(done & F.col("_cost").isNotNull(), share)) \
         .drop("_total_bytes", "_n", "_cost")
+
+
+def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame,
+                     bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+    """Cost shares replayed against the tool-call table as it was at each step (W1, J5, trap 5).
+
+    ``starts``: call_id, message_id, ts_ms, seq; ``ends``: call_id, ts_ms,
+    seq, output_size_bytes; ``steps``: message_id, ts_ms, seq, cost.
+
+    The last positive-cost step T of a message overwrites the shares of the
+    calls that, at T, belong to the message and are completed: the call's
+    latest start before T names the message, and an end between that start
+    and T completes it (its bytes are the latest such end's). A start after T
+    resets the row, so the share survives only if the call's final start is
+    the one that was current at T. Returns call_id, message_id (of the final
+    start), cost_share.
+
+    Each call's events and its "probes" (one per message it started under,
+    at that message's T) form one timeline; the latest start and latest end
+    before every probe come from the bucketed carry-forward scan, so a call
+    or message holding a third of all rows is still split across tasks.
+    """
+    last_step = (keep_last(steps.where(F.col("cost") > 0).select("message_id", "ts_ms", "seq", "cost"),
+                           ["message_id"], ["ts_ms", "seq"]))
+    probes = (starts.select("call_id", "message_id").distinct()
+              .join(last_step, "message_id")
+              .select("call_id", "ts_ms", "seq", F.col("message_id").alias("probe_msg"), "cost"))
+    start_t = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()),
+                            T.StructField("message_id", T.StringType())])
+    end_t = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()),
+                          T.StructField("bytes", T.LongType())])
+    none = {"start": F.lit(None).cast(start_t), "end": F.lit(None).cast(end_t),
+            "probe_msg": F.lit(None).cast("string"), "cost": F.lit(None).cast("double")}
+    cols = ["call_id", "ts_ms", "seq", "start", "end", "probe_msg", "cost"]
+    tl = (starts.select("call_id", "ts_ms", "seq",
+                        F.struct("ts_ms", "seq", "message_id").cast(start_t).alias("start"),
+                        none["end"].alias("end"), none["probe_msg"].alias("probe_msg"), none["cost"].alias("cost"))
+          .unionByName(ends.select("call_id", "ts_ms", "seq", none["start"].alias("start"),
+                                   F.struct("ts_ms", "seq", F.col("output_size_bytes").alias("bytes"))
+                                   .cast(end_t).alias("end"),
+                                   none["probe_msg"].alias("probe_msg"), none["cost"].alias("cost")))
+          .unionByName(probes.select("call_id", "ts_ms", "seq", none["start"].alias("start"),
+                                     none["end"].alias("end"), "probe_msg", "cost"))
+          .select(*cols))
+    tl = carry_last_non_null(tl, ["call_id"], "ts_ms", "seq", ["start", "end"], ["_ls", "_le"], bucket_ms)
+    ls, le = F.col("_ls"), F.col("_le")
+    end_after_start = (le["ts_ms"] > ls["ts_ms"]) | ((le["ts_ms"] == ls["ts_ms"]) & (le["seq"] > ls["seq"]))
+    at_t = (tl.where(F.col("probe_msg").isNotNull())
+            .where((ls["message_id"] == F.col("probe_msg")) & le.isNotNull() & end_after_start)
+            .select("call_id", F.col("probe_msg").alias("message_id"), "cost",
+                    le["bytes"].alias("bytes"), ls.alias("current_start")))
+    totals = at_t.groupBy("message_id").agg(F.sum(F.coalesce(F.col("bytes"), F.lit(0))).alias("_tb"),
+                                            F.count(F.lit(1)).alias("_n"))
+    b_ = F.coalesce(F.col("bytes"), F.lit(0))
+    shares = (at_t.join(totals, "message_id")
+              .select("call_id", "message_id", "current_start",
+                      F.when(F.col("_tb") == 0, F.col("cost") / F.col("_n"))
+                      .otherwise((b_ / F.col("_tb")) * F.col("cost")).alias("cost_share")))
+    final = keep_last(starts.select("call_id", "ts_ms", "seq", "message_id"), ["call_id"], ["ts_ms", "seq"])
+    final = final.select("call_id", "message_id",
+                         F.struct("ts_ms", "seq", "message_id").cast(start_t).alias("current_start"))
+    return (final.join(shares, ["call_id", "message_id", "current_start"], "left")
+            .select("call_id", "message_id", "cost_share"))

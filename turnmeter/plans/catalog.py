@@ -124,6 +124,11 @@ def cost_share(spark: SparkSession, d: str) -> DataFrame:
     return shares.select("call_id", "message_id", "status", "output_size_bytes", "cost_share")
 
 
+def cost_share_asof(spark: SparkSession, d: str) -> DataFrame:
+    starts, ends, steps = b.session_cost_events(spark, d)
+    return tools.cost_shares_asof(starts, ends, steps)
+
+
 # ---- T2, T3, W3, J8, F4, F6 (batch twin) -----------------------------------
 
 def streaming_milestones(spark: SparkSession, d: str) -> DataFrame:
@@ -266,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_model_asof": latest_model_asof,
     "chat_params_upsert": chat_params_upsert,
     "cost_share": cost_share,
+    "cost_share_asof": cost_share_asof,
     "streaming_milestones": streaming_milestones,
     "token_estimates": token_estimates,
     "step_metrics_upsert": step_metrics_upsert,

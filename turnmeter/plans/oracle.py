@@ -376,6 +376,50 @@ SELECT c.call_id, c.message_id, c.status, c.output_size_bytes,
               ELSE (coalesce(c.output_size_bytes, 0) / t.tb) * st.cost END END AS cost_share
 FROM c LEFT JOIN t USING (message_id) LEFT JOIN st USING (message_id)"""
 
+    s["cost_share_asof"] = f"""
+WITH st AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS call_id, CAST(o_custkey AS VARCHAR) AS message_id,
+         {ms('o_orderdate')} AS ts, 0::BIGINT AS seq FROM orders),
+en AS (
+  SELECT call_id, ts, seq, max(bytes) AS bytes FROM (
+    SELECT CAST(l_orderkey AS VARCHAR) AS call_id, {ms('l_shipdate')} AS ts, CAST(l_linenumber AS BIGINT) AS seq,
+           CAST(floor(l_quantity) * 2 AS BIGINT) AS bytes FROM lineitem) GROUP BY call_id, ts, seq),
+sp AS (
+  SELECT message_id, ts, seq, cost FROM (
+    SELECT CAST(o_custkey AS VARCHAR) AS message_id, {ms('o_orderdate')} AS ts, 100::BIGINT AS seq,
+           o_totalprice AS cost,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY {ms('o_orderdate')} DESC, o_totalprice DESC) AS rn
+    FROM orders WHERE o_totalprice > 0) WHERE rn = 1),
+pr AS (SELECT DISTINCT st.call_id, st.message_id AS probe_msg, sp.ts, sp.seq, sp.cost
+       FROM st JOIN sp ON st.message_id = sp.message_id),
+ls AS (
+  SELECT call_id, probe_msg, cost, s_msg, s_ts, s_seq FROM (
+    SELECT pr.call_id, pr.probe_msg, pr.cost, st.message_id AS s_msg, st.ts AS s_ts, st.seq AS s_seq,
+           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg
+                              ORDER BY st.ts DESC, st.seq DESC, st.message_id DESC) AS rn
+    FROM pr JOIN st ON st.call_id = pr.call_id AND (st.ts < pr.ts OR (st.ts = pr.ts AND st.seq < pr.seq)))
+  WHERE rn = 1),
+le AS (
+  SELECT call_id, probe_msg, e_ts, e_seq, bytes FROM (
+    SELECT pr.call_id, pr.probe_msg, en.ts AS e_ts, en.seq AS e_seq, en.bytes,
+           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg ORDER BY en.ts DESC, en.seq DESC) AS rn
+    FROM pr JOIN en ON en.call_id = pr.call_id AND (en.ts < pr.ts OR (en.ts = pr.ts AND en.seq < pr.seq)))
+  WHERE rn = 1),
+at_t AS (
+  SELECT ls.call_id, ls.probe_msg AS message_id, ls.cost, ls.s_ts, ls.s_seq, le.bytes
+  FROM ls JOIN le ON ls.call_id = le.call_id AND ls.probe_msg = le.probe_msg
+  WHERE ls.s_msg = ls.probe_msg AND (le.e_ts > ls.s_ts OR (le.e_ts = ls.s_ts AND le.e_seq > ls.s_seq))),
+tot AS (SELECT message_id, CAST(sum(coalesce(bytes, 0)) AS BIGINT) AS tb, count(*) AS n FROM at_t GROUP BY message_id),
+fin AS (
+  SELECT call_id, message_id, ts, seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY ts DESC, seq DESC, message_id DESC) AS rn FROM st)
+  WHERE rn = 1)
+SELECT fin.call_id, fin.message_id,
+       CASE WHEN tot.tb = 0 THEN a.cost / tot.n ELSE (coalesce(a.bytes, 0) / tot.tb) * a.cost END AS cost_share
+FROM fin LEFT JOIN at_t a ON a.call_id = fin.call_id AND a.message_id = fin.message_id
+                         AND a.s_ts = fin.ts AND a.s_seq = fin.seq
+     LEFT JOIN tot ON tot.message_id = a.message_id"""
+
     s["streaming_milestones"] = TIMING
 
     s["token_estimates"] = f"""

@@ -179,6 +179,24 @@ def tool_end_events(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("string").alias("title"), (F.col("l_returnflag") == "R").alias("truncated"))
 
 
+def session_cost_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(starts, ends, steps) with message = customer: each order is a tool call
+    started at its order date, its lineitems are the call's end events, and
+    every order is also a step of the customer's message costing its price.
+    At equal timestamps a start precedes ends, which precede steps."""
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"])
+    starts = o.select(_s("o_orderkey").alias("call_id"), _s("o_custkey").alias("message_id"),
+                      epoch_ms("o_orderdate").alias("ts_ms"), F.lit(0).cast("bigint").alias("seq"))
+    ends = (li.select(_s("l_orderkey").alias("call_id"), epoch_ms("l_shipdate").alias("ts_ms"),
+                      F.col("l_linenumber").cast("bigint").alias("seq"),
+                      (F.floor("l_quantity") * 2).alias("output_size_bytes"))
+            .groupBy("call_id", "ts_ms", "seq").agg(F.max("output_size_bytes").alias("output_size_bytes")))
+    steps = o.select(_s("o_custkey").alias("message_id"), epoch_ms("o_orderdate").alias("ts_ms"),
+                     F.lit(100).cast("bigint").alias("seq"), F.col("o_totalprice").alias("cost"))
+    return starts, ends, steps
+
+
 def orders_steps(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
     return o.select(_s("o_orderkey").alias("message_id"), epoch_ms("o_orderdate").alias("ts_ms"),
