@@ -195,18 +195,17 @@ WHERE rn = 1
 
 CONV_CALLS = f"""
 SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS tool_call_id,
-       CAST(conv_id AS VARCHAR) AS message_id, CAST(conv_id AS VARCHAR) AS session_id,
+       CAST(conv_id AS VARCHAR) || ':' || CAST(turn + 1 AS VARCHAR) AS message_id,
+       CAST(conv_id AS VARCHAR) AS session_id,
        CASE WHEN contains(text, {NL}) THEN 'read' ELSE 'grep' END AS tool,
        text AS output_text, {model_for('conv_id')} AS model_id,
        {tokens('text', model_for('conv_id'))} AS output_estimated_tokens
 FROM conversations WHERE role <> 'assistant' AND text IS NOT NULL AND text <> ''
 """
 
-CONV_FINISHED = f"""
-SELECT CAST(conv_id AS VARCHAR) AS message_id,
-       coalesce(string_agg(CASE WHEN role = 'assistant' THEN coalesce(text, '') END, {NL} ORDER BY turn), '')
-         AS response_text
-FROM conversations GROUP BY conv_id
+CONV_FINISHED = """
+SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS message_id, coalesce(text, '') AS response_text
+FROM conversations WHERE role = 'assistant'
 """
 
 

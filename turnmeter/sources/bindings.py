@@ -212,24 +212,22 @@ def conversation_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def finished_conversations(spark: SparkSession, d: str) -> DataFrame:
-    """One finished assistant message per conversation; its parts are the
-    conversation's turns (assistant turns are text parts)."""
-    c = conversation_rows(spark, d)
-    part = F.struct("turn", F.when(F.col("role") == "assistant", F.lit("text"))
-                    .otherwise(F.lit("tool")).alias("type"), "text")
-    msgs = c.groupBy("conv_id", "session_id", "model_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    """Every assistant turn is a finished message whose single text part is
+    the turn's text; no rows are collected per conversation."""
     from ..functions.text import response_text
-    return msgs.select(_s("conv_id").alias("message_id"), "session_id", "model_id",
-                       response_text("parts").alias("response_text"),
-                       F.col("conv_id").alias("ts_ms"))
+    c = conversation_rows(spark, d).where(F.col("role") == "assistant")
+    parts = F.array(F.struct(F.lit("text").alias("type"), F.col("text").alias("text")))
+    return c.select(F.concat(_s("conv_id"), F.lit(":"), _s("turn")).alias("message_id"), "session_id", "model_id",
+                    response_text(parts).alias("response_text"), F.col("turn").alias("ts_ms"))
 
 
 def conversation_calls(spark: SparkSession, d: str) -> DataFrame:
-    """User and system turns as completed tool calls of the conversation's message."""
+    """User and system turns as completed tool calls of the next turn's message."""
     from ..functions.tokens import estimate_tokens
     c = conversation_rows(spark, d).where(F.col("role") != "assistant")
     return c.select(
-        F.concat(_s("conv_id"), F.lit(":"), _s("turn")).alias("id"), _s("conv_id").alias("message_id"),
+        F.concat(_s("conv_id"), F.lit(":"), _s("turn")).alias("id"),
+        F.concat(_s("conv_id"), F.lit(":"), (F.col("turn") + 1).cast("string")).alias("message_id"),
         "session_id",
         F.when(F.col("text").contains("\n"), F.lit("read")).otherwise(F.lit("grep")).alias("tool"),
         F.lit("completed").alias("status"), F.col("text").alias("output_text"),
