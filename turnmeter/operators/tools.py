@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tokens as tk
+from ..session import cut_lineage
 from .sequence import DEFAULT_BUCKET_MS, carry_last_non_null, previous_row
 from .upsert import keep_last
 
@@ -196,6 +197,9 @@ def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame,
           .unionByName(probes.select("call_id", "ts_ms", "seq", none["start"].alias("start"),
                                      none["end"].alias("end"), "probe_msg", "cost"))
           .select(*cols))
+    # the timeline feeds the in-bucket scan, the bucket summary and the join
+    # back; materialise it once instead of re-running its scans per branch
+    tl = cut_lineage(tl)
     tl = carry_last_non_null(tl, ["call_id"], "ts_ms", "seq", ["start", "end"], ["_ls", "_le"], bucket_ms)
     ls, le = F.col("_ls"), F.col("_le")
     end_after_start = (le["ts_ms"] > ls["ts_ms"]) | ((le["ts_ms"] == ls["ts_ms"]) & (le["seq"] > ls["seq"]))

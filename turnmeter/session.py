@@ -53,34 +53,6 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``turnmeter`` importable in Python workers (stateful processors, UDFs).
-
-    Zips the package once per SparkContext and registers it with
-    ``addPyFile``; Spark distributes it to every executor. A cluster job that
-    already ships the package with ``--py-files`` can skip this.
-    """
-    sc = spark.sparkContext
-    key = sc.applicationId
-    if key in _SHIPPED:
-        return
-    import zipfile
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="turnmeter-pkg-")
-    zpath = os.path.join(out_dir, "turnmeter.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(key)
-
-
 def prepare(spark: SparkSession) -> None:
     """Session settings every query relies on."""
     ensure_utc(spark)
@@ -103,3 +75,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(configured)
     current = sc._jsc.sc().getCheckpointDir()
     return current.get() if current.isDefined() else configured
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several branches of a plan: every
+    branch then reads the checkpoint instead of re-running the scans and
+    joins upstream, and a lost executor re-reads files instead of
+    recomputing. Never a local (executor-memory) checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
