@@ -15,6 +15,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -165,3 +166,47 @@ class LatestParamsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+MILESTONE_STATE = ("session_id string, request_sent long, first_text_received long, first_tool_call long, "
+                   "message_completed long, time_to_first_token_ms long, total_streaming_ms long")
+
+
+def milestone_group_fn(key, pdfs, state):
+    """``applyInPandasWithState`` form of :class:`MilestoneProcessor` (same rules).
+
+    The state travels inside the Arrow batches, so a key costs no state-server
+    round trips; rows are ordered with numpy and walked as arrays, since the
+    per-key overhead dominates for short messages.
+    """
+    frames = list(pdfs)
+    df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    order = np.lexsort((df["seq"].to_numpy(), df["ts_ms"].to_numpy()))
+    kinds, tss = df["kind"].to_numpy()[order], df["ts_ms"].to_numpy()[order]
+    ptypes, tstat = df["part_type"].to_numpy()[order], df["tool_status"].to_numpy()[order]
+    sessions = df["session_id"].to_numpy()[order]
+    if state.exists:
+        sid, sent, ft, tool, done, ttft, total = state.get
+    else:
+        sid = sent = ft = tool = done = ttft = total = None
+    for kind, ts, ptype, status, session in zip(kinds, tss, ptypes, tstat, sessions):
+        ts = int(ts)
+        if kind == "part":
+            if sent is None:
+                sid, sent = session, ts
+            if ptype == "text" and ft is None:
+                ft = ts
+            elif ptype == "tool" and status == "pending" and tool is None:
+                tool = ts
+        elif sent is not None:
+            if done is None:
+                done = ts
+            ttft = None if ft is None else ft - sent
+            total = done - sent
+    if sent is None:
+        return
+    state.update((sid, sent, ft, tool, done, ttft, total))
+    yield pd.DataFrame({"message_id": [key[0]], "session_id": [sid], "request_sent": [sent],
+                        "first_part_received": [sent], "first_text_received": [ft], "first_tool_call": [tool],
+                        "message_completed": [done], "time_to_first_token_ms": [ttft],
+                        "total_streaming_ms": [total]}, dtype=object)

@@ -89,8 +89,10 @@ def log_sink(path: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[Da
     return write
 
 
-def _start(df: DataFrame, base: str, name: str, sink: Callable[[DataFrame, int], None]):
+def _start(df: DataFrame, base: str, name: str, sink: Callable[[DataFrame, int], None],
+           output_mode: str = "append"):
     return (df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:6]}")
+            .outputMode(output_mode)
             .foreachBatch(sink)
             .option("checkpointLocation", os.path.join(base, "_checkpoint"))
             .trigger(availableNow=True)
@@ -118,9 +120,12 @@ def milestone_stream(parts: DataFrame, completions: DataFrame, ttl_ms: int = pr.
     c = completions.select("message_id", F.lit(None).cast("string").alias("session_id"), "ts_ms", "seq",
                            F.lit("done").alias("kind"), F.lit(None).cast("string").alias("part_type"),
                            F.lit(None).cast("string").alias("tool_status"))
-    return (p.unionByName(c).groupBy("message_id")
-            .transformWithStateInPandas(statefulProcessor=pr.MilestoneProcessor(ttl_ms),
-                                        outputStructType=pr.TIMING_OUT, outputMode="Update", timeMode="None"))
+    u = p.unionByName(c).groupBy("message_id")
+    if os.environ.get("TURNMETER_MILESTONES_TWS") == "1":
+        return u.transformWithStateInPandas(statefulProcessor=pr.MilestoneProcessor(ttl_ms),
+                                            outputStructType=pr.TIMING_OUT, outputMode="Update", timeMode="None")
+    return u.applyInPandasWithState(pr.milestone_group_fn, pr.TIMING_OUT, pr.MILESTONE_STATE, "Update",
+                                    "NoTimeout")
 
 
 def pairing_stream(hooks: DataFrame, ttl_ms: int = pr.DEFAULT_TTL_MS) -> DataFrame:
@@ -180,7 +185,8 @@ def stream_milestones(spark: SparkSession, d: str, max_files_per_trigger: int |
     raw = table_stream(spark, d, "events", max_files_per_trigger)
     parts, completions = b.part_events(spark, d, raw)
     out = os.path.join(base, "streaming_timing")
-    run_to_end(_start(milestone_stream(parts, completions), base, "milestones", log_sink(out, lambda x: x)))
+    run_to_end(_start(milestone_stream(parts, completions), base, "milestones", log_sink(out, lambda x: x),
+                      output_mode="update"))
     log = _read_log(spark, out, pr.TIMING_OUT)
     return keep_last(log, ["message_id"], ["_batch"]).drop("_batch")
 
