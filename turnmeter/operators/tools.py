@@ -33,6 +33,11 @@ def truncated_from_metadata(meta_json) -> "F.Column":
     return F.coalesce(is_bool & F.variant_get(v, "$", "boolean"), F.lit(False))
 
 
+def e_struct_type(df: DataFrame, fields: list[str]) -> T.StructType:
+    """Struct type of ``fields`` of ``df`` (for typed NULL placeholders in a union)."""
+    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in fields])
+
+
 def _after(ts, seq, ref_ts, ref_seq):
     """(ts, seq) strictly after (ref_ts, ref_seq) in arrival order."""
     return (F.col(ts) > F.col(ref_ts)) | ((F.col(ts) == F.col(ref_ts)) & (F.col(seq) > F.col(ref_seq)))
@@ -50,20 +55,24 @@ def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
     after the surviving start count and the last of them wins. Ends without a
     start produce no row.
     """
-    s = keep_last(starts.select("call_id", "ts_ms", "seq", "session_id", "message_id", "tool",
-                                "model_id", "input_json"),
-                  ["call_id"], ["ts_ms", "seq"])
-    end_cols = ["call_id", "ts_ms", "seq", "status", "output_text", "title", "truncated"]
+    # The last end is the surviving one exactly when it arrives after the last
+    # start (otherwise no end follows the surviving start), so both sides are
+    # one grouped max per call: a single shuffle, partially aggregated.
+    start_fields = ["ts_ms", "seq", "session_id", "message_id", "tool", "model_id", "input_json"]
+    end_fields = ["ts_ms", "seq", "status", "output_text", "title", "truncated"]
     if "model_id" in ends.columns:
-        end_cols.append("model_id")
-    anchors = s.select("call_id", F.col("ts_ms").alias("_s_ts"), F.col("seq").alias("_s_seq"))
-    e = (ends.select(*end_cols).join(anchors, "call_id")
-         .where(_after("ts_ms", "seq", "_s_ts", "_s_seq"))
-         .drop("_s_ts", "_s_seq"))
-    e = keep_last(e, ["call_id"], ["ts_ms", "seq"])
-    e = e.select("call_id", *[F.col(c).alias(f"end_{c}") for c in e.columns if c != "call_id"])
-
-    j = s.join(e, "call_id", "left").withColumn("_in_ratio", tk.token_ratio("model_id"))
+        end_fields.append("model_id")
+    s_struct = F.struct(*[F.col(c) for c in start_fields])
+    e_struct = F.struct(*[F.col(c) for c in end_fields])
+    both = (starts.select("call_id", s_struct.alias("_s"), F.lit(None).cast(e_struct_type(ends, end_fields)).alias("_e"))
+            .unionByName(ends.select("call_id", F.lit(None).cast(e_struct_type(starts, start_fields)).alias("_s"),
+                                     e_struct.alias("_e"))))
+    g = both.groupBy("call_id").agg(F.max("_s").alias("_s"), F.max("_e").alias("_e")).where(F.col("_s").isNotNull())
+    end_after = (F.col("_e.ts_ms") > F.col("_s.ts_ms")) | (
+        (F.col("_e.ts_ms") == F.col("_s.ts_ms")) & (F.col("_e.seq") > F.col("_s.seq")))
+    j = g.select("call_id", *[F.col(f"_s.{c}").alias(c) for c in start_fields],
+                 *[F.when(end_after, F.col(f"_e.{c}")).alias(f"end_{c}") for c in end_fields])
+    j = j.withColumn("_in_ratio", tk.token_ratio("model_id"))
     has_end = F.col("end_ts_ms").isNotNull()
     if "end_model_id" in j.columns:
         out_ratio = F.when(F.col("end_model_id").isNull(), F.col("_in_ratio")).otherwise(tk.token_ratio("end_model_id"))
