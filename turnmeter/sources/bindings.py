@@ -157,6 +157,8 @@ def lineitem_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tool_start_events(spark: SparkSession, d: str) -> DataFrame:
+    """orders = tool.execute.before; the args object is serialised to JSON."""
+    from ..operators.tools import args_json
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                         "o_orderpriority"])
     return o.select(
@@ -166,17 +168,23 @@ def tool_start_events(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("read"))
         .when(F.col("o_orderstatus") == "O", F.lit("grep")).otherwise(F.lit("bash")).alias("tool"),
         model_for("o_custkey").alias("model_id"),
-        F.concat(F.lit('{"priority":"'), F.col("o_orderpriority"), F.lit('"}')).alias("input_json"))
+        args_json(F.struct(F.col("o_orderpriority").alias("priority"))).alias("input_json"))
 
 
 def tool_end_events(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem = tool.execute.after; the hook's metadata JSON says truncated
+    (JSON true) for returned items, the string "true" for accepted ones."""
+    from ..operators.tools import truncated_from_metadata
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity",
                                            "l_returnflag", "l_linestatus"])
+    flag = (F.when(F.col("l_returnflag") == "R", F.lit("true"))
+            .when(F.col("l_returnflag") == "A", F.lit('"true"')).otherwise(F.lit("false")))
+    metadata = F.concat(F.lit('{"truncated": '), flag, F.lit("}"))
     return li.select(
         _s("l_orderkey").alias("call_id"), epoch_ms("l_shipdate").alias("ts_ms"),
         F.col("l_linenumber").cast("bigint").alias("seq"), F.lit("completed").alias("status"),
         F.repeat(F.concat("l_returnflag", "l_linestatus"), F.col("l_quantity").cast("int")).alias("output_text"),
-        F.lit(None).cast("string").alias("title"), (F.col("l_returnflag") == "R").alias("truncated"))
+        F.lit(None).cast("string").alias("title"), truncated_from_metadata(metadata).alias("truncated"))
 
 
 def session_cost_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
