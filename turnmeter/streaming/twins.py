@@ -4,10 +4,10 @@ Sources are file streams over the event tables (new files = new events);
 sinks write Parquet under the session's checkpoint folder:
 
 * append sinks for append-only tables (latency rows, as-of rows);
-* upsert sinks as "append log + latest view": every micro-batch appends its
-  rows with the batch id, and readers take the last (or first) row per key --
-  the same grouped ``max``/``min`` as the batch operators, so a batch that is
-  replayed after a failure only adds rows that the view collapses again.
+* upsert sinks as "batch log + latest view": every micro-batch writes its rows
+  as its own ``_batch=<id>`` partition (overwriting it if the batch is
+  replayed after a failure), and readers take the last (or first) row per key
+  -- the same grouped ``max``/``min`` as the batch operators.
 
 Each registered twin runs its stream to completion (``availableNow``), then
 returns the view as a batch DataFrame; its oracle is the batch twin's SQL.
@@ -79,13 +79,14 @@ def route(handlers: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[Da
 
 
 def log_sink(path: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Append ``build(batch)`` with its batch id to the log at ``path``.
+    """Write ``build(batch)`` as partition ``_batch=<id>`` of the log at ``path``.
 
-    A replayed batch id first removes nothing and appends again; the views
-    below collapse duplicates, so the sink is effectively exactly-once.
+    Each micro-batch overwrites only its own partition, so a batch replayed
+    after a failure replaces its earlier output: the log is exactly-once, and
+    readers see the batch id as the ``_batch`` partition column.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        build(batch).withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(path)
+        build(batch).write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
     return write
 
 
@@ -107,7 +108,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path_exists(spark, path):
-        return spark.read.parquet(path)
+        return spark.read.parquet(path).withColumn("_batch", F.col("_batch").cast("bigint"))
     return spark.createDataFrame([], schema + ", _batch long")
 
 
