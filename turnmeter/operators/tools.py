@@ -24,12 +24,14 @@ def args_json(args) -> "F.Column":
 def truncated_from_metadata(meta_json) -> "F.Column":
     """``metadata.truncated === true`` from JSON text.
 
-    Only a JSON boolean true counts: parsing into ``struct<truncated:boolean>``
-    yields NULL for the string "true", the number 1 or malformed JSON, so the
-    flag is false for them (the typed parse is cheaper than a variant).
+    Only a JSON boolean true counts: the string "true" or the number 1 do
+    not, so the value's variant type is checked before reading it. Text
+    without the literal ``true`` cannot hold a JSON true and skips parsing.
     """
     m = F.col(meta_json) if isinstance(meta_json, str) else meta_json
-    return F.coalesce(F.from_json(m, "struct<truncated:boolean>")["truncated"], F.lit(False))
+    v = F.variant_get(F.try_parse_json(m), "$.truncated", "variant")
+    is_true = (F.schema_of_variant(v) == F.lit("BOOLEAN")) & F.variant_get(v, "$", "boolean")
+    return F.when(m.contains("true"), F.coalesce(is_true, F.lit(False))).otherwise(F.lit(False))
 
 
 def e_struct_type(df: DataFrame, fields: list[str]) -> T.StructType:
