@@ -48,3 +48,15 @@ def test_prompt_stream_equals_batch(spark):
     got = twins.STREAM_QUERIES["stream_system_prompts"](spark, SF)
     want = catalog.QUERIES["system_prompt_dedup"](spark, SF)
     assert rows(got, *want.columns) == rows(want)
+
+
+def test_log_sink_replay_overwrites(spark, tmp_path):
+    """A micro-batch written again under the same id (replay after a failure) replaces itself."""
+    path = str(tmp_path / "log")
+    sink = twins.log_sink(path, lambda x: x)
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    sink(first, 0)
+    sink(spark.createDataFrame([("c", 3)], "k string, v long"), 1)
+    sink(first, 0)  # replay of batch 0
+    log = twins._read_log(spark, path, "k string, v long")
+    assert rows(log, "k", "v", "_batch") == [("a", 1, 0), ("b", 2, 0), ("c", 3, 1)]
