@@ -255,8 +255,9 @@ def schema_evolution_union(spark: SparkSession, d: str) -> DataFrame:
     o = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                  epoch_ms("o_orderdate").alias("order_ms"), "o_orderpriority", "o_orderdate")
     cut = F.lit(SCHEMA_CUTOVER).cast("timestamp_ntz")
-    v1 = o.where(F.col("o_orderdate") < cut).drop("o_orderpriority", "o_orderdate")
-    v2 = o.where(F.col("o_orderdate") >= cut).drop("o_orderdate")
+    new = F.coalesce(F.col("o_orderdate") >= cut, F.lit(False))  # an undated order counts as old
+    v1 = o.where(~new).drop("o_orderpriority", "o_orderdate")
+    v2 = o.where(new).drop("o_orderdate")
     return union_evolved([v1, v2])
 
 

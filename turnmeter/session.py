@@ -9,7 +9,9 @@ the folder used to cut lineage and hold streaming state.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,9 +69,10 @@ def prepare(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, sink tables and streaming state.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset -- local runs and tests -- a private folder is created and
-    registered, so nothing machine-local is ever chosen on a cluster.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Where it is unset
+    a private folder is created and registered, but only for a ``local`` master
+    (tests, bench); on any other master that would be machine-local, so the
+    call fails and asks for the setting.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -77,6 +80,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="turnmeter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     current = sc._jsc.sc().getCheckpointDir()
@@ -93,3 +98,15 @@ def cut_lineage(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_table(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``cut_lineage`` and keeps the table columnar, so later
+    branches read only the columns they name and the planner knows its size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import messages as msg
-from ..operators.upsert import keep_first, keep_last
+from ..operators.upsert import keep_last
 from ..session import checkpoint_dir
 from ..sources import bindings as b
 from ..sources.tables import table_path
@@ -52,14 +52,11 @@ def stream_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def run_to_end(query, timeout_s: int = 1800) -> None:
-    """Wait for an ``availableNow`` query and surface its failure."""
-    query.awaitTermination(timeout_s)
+def run_to_end(query) -> None:
+    """Wait for an ``availableNow`` query, however long its backlog takes; raises its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
 
 
 def route(handlers: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
@@ -114,7 +111,7 @@ def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 # ---- streaming operators ---------------------------------------------------
 
-def milestone_stream(parts: DataFrame, completions: DataFrame, ttl_ms: int = pr.DEFAULT_TTL_MS) -> DataFrame:
+def milestone_stream(parts: DataFrame, completions: DataFrame) -> DataFrame:
     """Streaming ``streaming_timing`` updates keyed by message."""
     p = parts.select("message_id", "session_id", "ts_ms", "seq", F.lit("part").alias("kind"),
                      "part_type", "tool_status")
@@ -122,9 +119,6 @@ def milestone_stream(parts: DataFrame, completions: DataFrame, ttl_ms: int = pr.
                            F.lit("done").alias("kind"), F.lit(None).cast("string").alias("part_type"),
                            F.lit(None).cast("string").alias("tool_status"))
     u = p.unionByName(c).groupBy("message_id")
-    if os.environ.get("TURNMETER_MILESTONES_TWS") == "1":
-        return u.transformWithStateInPandas(statefulProcessor=pr.MilestoneProcessor(ttl_ms),
-                                            outputStructType=pr.TIMING_OUT, outputMode="Update", timeMode="None")
     return u.applyInPandasWithState(pr.milestone_group_fn, pr.TIMING_OUT, pr.MILESTONE_STATE, "Update",
                                     "NoTimeout")
 
@@ -198,9 +192,7 @@ def stream_tool_latency(spark: SparkSession, d: str, max_files_per_trigger: int
     out = os.path.join(base, "tool_latency_breakdown")
     run_to_end(_start(pairing_stream(b.tool_hook_events(spark, d, raw)), base, "latency",
                       log_sink(out, lambda x: x)))
-    log = _read_log(spark, out, pr.LATENCY_OUT)
-    # a replayed batch re-appends identical rows: keep one per (call, end time)
-    return keep_first(log, ["tool_call_id", "timestamp"], ["_batch"]).drop("_batch")
+    return _read_log(spark, out, pr.LATENCY_OUT).drop("_batch")  # append table: no unique key
 
 
 def stream_latest_model(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -209,8 +201,7 @@ def stream_latest_model(spark: SparkSession, d: str, max_files_per_trigger: int
     out = os.path.join(base, "asof")
     run_to_end(_start(latest_params_stream(b.non_param_events(spark, d, raw), b.chat_params(spark, d, raw)),
                       base, "asof", log_sink(out, lambda x: x)))
-    log = _read_log(spark, out, pr.ASOF_OUT)
-    return keep_first(log, ["event_id"], ["_batch"]).drop("_batch")
+    return _read_log(spark, out, pr.ASOF_OUT).drop("_batch")  # one row per event, repeated ids included
 
 
 def _routed_events(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> dict[str, str]:
