@@ -1,0 +1,98 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from turnmeter.llm import packing, token_count, word_bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = ["", "Hello hello it's we'll I'M 'S", "ΑΣ ΣΑΣ. İstanbul ẞ ǰ J̌", "a<|endoftext|>b<|startoftext|> <|ENDOFTEXT|> <|",
+         "naïve é ﬁ ½ ٣ 漢字かな ㍿", "՘ ࢏ Ᲊx", "x" * 3000, "1234567890 !?!?!?  \u0085 z"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_counts_and_ids_equal_the_library(library):
+    count, encode = token_count.counter(word_bpe.load(PATH)), packing.encoder(PATH, 2)
+    for t in TEXTS:
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert count(t) == len(ids)
+        assert encode(t) == np.array(ids + [2], "<u4").tobytes()
+    assert count(None) == 0 and encode(None) == np.array([2], "<u4").tobytes()
+
+
+def test_merging_pops_the_lowest_rank_first():
+    ranks = {("a", "b"): 1, ("b", "c"): 0, ("ab", "c"): 2, ("x", "x"): 3, ("xx", "xx"): 4}
+    assert token_count.merged_length(list("abc"), ranks) == 2  # b+c goes first, so a is left alone
+    assert token_count.merged_length(list("xxxxx"), ranks) == 2
+    assert token_count.merged_length(["q"], ranks) == 1
+
+
+def test_token_count_query_on_odd_rows(spark, odd_docs, no_docs, library):
+    got = odd_docs.select("text", token_count.token_count("text", PATH).alias("n")).collect()
+    assert len(got) == odd_docs.count()
+    assert all(r.n == len(library.encode(r.text or "", add_special_tokens=False).ids) for r in got)
+    assert no_docs.select(token_count.token_count("text", PATH)).collect() == []
+
+
+def test_best_level_minimises_the_sum_of_squares():
+    rng = np.random.default_rng(0)
+    levels, counts = packing.LevelArray(16), np.zeros(17, int)
+    for size in rng.integers(1, 16, 500):
+        def after(level):
+            c = counts.copy()
+            if level:
+                c[level] -= 1
+            if level + size < 16:
+                c[level + size] += 1
+            return int((c[1:16] ** 2).sum())
+        options = [0] + [h for h in range(1, 17 - size) if counts[h]]
+        level = levels.best_level(int(size))
+        assert after(level) == min(map(after, options))
+        levels.take(level)
+        if level:
+            counts[level] -= 1
+        if level + size < 16:
+            levels.put(level + int(size), [])
+            counts[level + size] += 1
+
+
+def _check(pieces, want):
+    """Every id lies in one piece, pieces are gapless in their document and their sequence."""
+    docs, seqs = {}, {}
+    for p in pieces:
+        docs.setdefault(p.doc_id, []).append(p)
+        seqs.setdefault(p.sequence_id, []).append(p)
+    for doc, ps in docs.items():
+        ps.sort(key=lambda p: p.start)
+        assert [p.start for p in ps] == list(np.cumsum([0] + [p.length for p in ps[:-1]]))
+        assert b"".join(bytes(p.ids) for p in ps) == want[doc]
+        assert {p.doc_tokens for p in ps} == {len(want[doc]) // 4}
+    assert docs.keys() == want.keys()
+    lengths = []
+    for ps in seqs.values():
+        ps.sort(key=lambda p: p.offset)
+        assert [p.offset for p in ps] == list(np.cumsum([0] + [p.length for p in ps[:-1]]))
+        lengths.append(sum(p.length for p in ps))
+    assert all(n <= 4096 and n & (n - 1) == 0 for n in lengths)
+
+
+def test_packing_round_trip(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").repartition(3, "doc_id")
+    encode = packing.encoder(PATH, 2)
+    want = {r.doc_id: encode(r.text) for r in docs.collect()}
+    _check(packing.pack_documents(docs, PATH).collect(), want)
+    _check(packing.pack_documents(docs, PATH, max_open=3).collect(), want)
+
+
+def test_packing_odd_rows(spark, odd_docs, no_docs):
+    encode = packing.encoder(PATH, 2)
+    docs = odd_docs.where("doc_id is not null").withColumn("doc_id", F.monotonically_increasing_id())
+    _check(packing.pack_documents(docs, PATH).collect(), {r.doc_id: encode(r.text) for r in docs.collect()})
+    got = packing.pack_documents(odd_docs, PATH).collect()
+    assert sum(p.length for p in got if p.doc_id is None) == len(encode("no id")) // 4
+    assert packing.pack_documents(no_docs, PATH).collect() == []

@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sharding
+from . import packing, sharding, token_count
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 tokens."""
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into shards 0 to 39 by jump consistent hashing of doc_id."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by heap-and-linked-list merging."""
+    docs = _table(spark, sf_dir, "documents")
+    return (docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+                        token_count.token_count("text", VOCABULARY).alias("n_tokens"))
+            .withColumn("over_limit", F.col("n_tokens") > 2048))
+
+
 LLM_QUERIES = {
+    "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op7_token_count": op7_token_count,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}
