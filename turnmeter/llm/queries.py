@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, token_count
+from . import packing, quality_ftrl, rule_cascade, sharding, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,39 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of the rule cascade."""
+    docs = _table(spark, sf_dir, "documents")
+    rules = rule_cascade.order(rule_cascade.RULES, rule_cascade.estimate(docs, rule_cascade.RULES))
+    v = docs.select("doc_id", rule_cascade.verdict("text", rules, statistics=True).alias("v"))
+    failed = (F.col("v.n_words") < 50) | (100 * F.col("v.n_repeat_words") > 50 * F.col("v.n_words"))
+    return v.select("doc_id", *[f"v.{n}" for n in rule_cascade.STATISTICS], failed.alias("base_failed"), "v.kept")
+
+
+# Symbols and blanks as in the operator; a word of the contract is a run of non-blanks.
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP6_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT k, doc_id, t, regexp_extract_all(t, '{_WORD}') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS ls FROM d),
+g AS (SELECT k, unnest(range(1, len(ws) - 1)) AS i,
+        unnest(list_transform(range(1, len(ws) - 1), lambda i: list_slice(ws, i, i + 2))) AS g FROM w WHERE len(ws) >= 3),
+m AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS c FROM g) WHERE c > 1),
+r AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM m) GROUP BY k),
+s AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+        length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, len(ls) AS n_lines,
+        len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutters
+      FROM w LEFT JOIN r USING (k)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_upper > 3 * word_chars OR 2 * word_chars < 5 * n_words
+            OR word_chars > 12 * n_words OR 10 * n_dup_lines > 4 * n_lines OR 10 * n_stutters > 3 * n_words) AS kept
+FROM f"""
+
+
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by heap-and-linked-list merging."""
     docs = _table(spark, sf_dir, "documents")
@@ -35,10 +68,23 @@ def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("over_limit", F.col("n_tokens") > 2048))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; rows whose id falls in fold 2 of 4 are never learnt from."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    weights = quality_ftrl.fit(docs, labels.where(~held_out))
+    return (docs.select("doc_id", held_out.alias("held_out"), quality_ftrl.score_column(docs, weights).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
+
+
 LLM_QUERIES = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op6_quality_rules": op6_quality_rules,
     "op7_token_count": op7_token_count,
+    "op8_quality": op8_quality,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": OP6_SQL,
+}
