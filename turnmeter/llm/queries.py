@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_ftrl, rule_cascade, sharding, token_count
+from . import packing, quality_ftrl, rule_cascade, secrets, sharding, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -77,14 +77,78 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secrets.scan(F.col("text")).alias("s"))
+    base = F.col("s.base")
+    return found.select("doc_id", *[secrets.count_of(base, k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+                        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+                        secrets.as_text(F.col("s.spans")).alias("spans"))
+
+
+def _either_case_sql(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+# Patterns, window and thresholds as in the operator, written out anew.
+_ASSIGN_SQL = ("(" + _either_case_sql("password|passwd|secret|token|api_?key")
+               + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+OP10_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+p AS (SELECT * FROM (VALUES ('assign', 0, '{_ASSIGN_SQL}'), ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]+'),
+      ('cand', 3, '[A-Za-z0-9+/_=-]+')) v(kind, rank, re)),
+h AS (SELECT k, t, kind, rank, CASE kind WHEN 'assign' THEN regexp_extract_all(t, '{_ASSIGN_SQL}', 0)
+        WHEN 'access' THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+') WHEN 'hex' THEN regexp_extract_all(t, '[0-9a-f]+')
+        ELSE regexp_extract_all(t, '[A-Za-z0-9+/_=-]+') END AS hits,
+      CASE kind WHEN 'assign' THEN string_split_regex(t, '{_ASSIGN_SQL}')
+        WHEN 'access' THEN string_split_regex(t, 'AKIA[A-Z0-9]+') WHEN 'hex' THEN string_split_regex(t, '[0-9a-f]+')
+        ELSE string_split_regex(t, '[A-Za-z0-9+/_=-]+') END AS gaps FROM d, p),
+u AS (SELECT k, kind, rank, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit,
+        unnest(gaps[1:len(hits)]) AS gap FROM h),
+s AS (SELECT k, kind, rank, i, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY k, kind ORDER BY i) AS e FROM u),
+base AS (SELECT k, kind, rank, (e - length(hit))::BIGINT AS b, e::BIGINT AS e FROM s WHERE
+        kind = 'assign' AND length(regexp_extract(hit, '^{_ASSIGN_SQL}', 2)) >= 12
+        OR kind = 'access' AND length(hit) >= 18 OR kind = 'hex' AND length(hit) >= 16),
+cand AS (SELECT k, hit, (e - length(hit))::BIGINT AS b, e::BIGINT AS e,
+        CASE WHEN regexp_matches(hit, '^[0-9]+$') OR regexp_matches(hit, '^([a-z=_/+-]+|[A-Z=_/+-]+)$') THEN NULL
+             WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') THEN 2.9
+             WHEN regexp_matches(hit, '^[A-Za-z0-9]+$') THEN 3.55
+             WHEN regexp_matches(hit, '[0-9].*[A-Z]|[A-Z].*[0-9]') THEN 3.85 END AS least
+      FROM s WHERE kind = 'cand' AND length(hit) >= 20
+        AND NOT regexp_matches(hit, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
+        AND NOT regexp_matches(hit, '^sha(1|256|384|512)[-_=]') AND NOT contains(lower(hit), 'example')
+        AND NOT contains(lower(hit), 'placeholder') AND NOT regexp_matches(lower(hit), 'your[_-]')
+        AND NOT contains(lower(hit), 'abcdefghij') AND NOT contains(hit, '0123456789')),
+c AS (SELECT row_number() OVER () AS c, * FROM cand x WHERE least IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM base y WHERE y.k = x.k AND y.b <= x.b AND x.e <= y.e)),
+w AS (SELECT c, k, b, least, unnest(range(0, length(hit) - 19)) AS o, hit FROM c),
+ch AS (SELECT c, k, b, least, o, unnest(string_split(substring(hit, o + 1, 20), '')) AS x FROM w),
+n AS (SELECT c, k, b, least, o, x, count(*) AS n FROM ch GROUP BY ALL),
+ent AS (SELECT c, k, b, least, o, -sum(n / 20 * log2(n / 20)) AS h FROM n GROUP BY ALL),
+added AS (SELECT k, 'entropy' AS kind, 3 AS rank, (min(b + o))::BIGINT AS b, (max(b + o + 20))::BIGINT AS e
+      FROM ent WHERE h >= least GROUP BY c, k),
+t1 AS (SELECT k, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans
+      FROM base GROUP BY k),
+t2 AS (SELECT k, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans
+      FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY k)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(t1.spans, '')) AS base_sha256, coalesce(t2.spans, '') AS spans
+FROM d LEFT JOIN t1 USING (k) LEFT JOIN t2 USING (k)"""
+
+
 LLM_QUERIES = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_count": op7_token_count,
     "op8_quality": op8_quality,
+    "op10_secrets": op10_secrets,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
+    "op10_secrets": OP10_SQL,
 }
