@@ -84,7 +84,7 @@ def test_spans_against_brute_force(spark):
 
 def test_allow_list_and_words(spark):
     fine = ["123e4567-e89b-12d3-a456-426614174000", "onintionlywhentionthereforetion", "sha512-Ab9/xKq81LmNz0PqR+tUvW==",
-            "Example9fKq81LmNz0PqRtUvW", "a" * 40, "ALLCAPSALLCAPSALLCAPS_AND_MORE"]
+            "Example9fKq81LmNz0PqRtUvW", "z" * 40, "ALLCAPSALLCAPSALLCAPS_AND_MORE"]
     for r, base, spans in scanned(spark.createDataFrame([(t,) for t in fine], "text string")):
         assert not spans, r.text
 

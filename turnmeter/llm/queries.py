@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_ftrl, rule_cascade, secrets, sharding, token_count
+from . import decontam, packing, quality_ftrl, rule_cascade, secrets, sharding, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -77,6 +77,34 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_OP9_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP9_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_OP9_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, {_OP9_WORDS} AS ws FROM benchmark)),
+iw AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(ws) - n + 2),
+        lambda i: array_to_string(list_slice(ws, i, i + n - 1), ' '))) AS w FROM b WHERE n > 0),
+dw AS (SELECT k, n, unnest(range(1, len(ws) - n + 2)) AS s, unnest(list_transform(range(1, len(ws) - n + 2),
+        lambda i: array_to_string(list_slice(ws, i, i + n - 1), ' '))) AS w
+      FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n),
+h AS (SELECT k, s, n, item_id FROM dw JOIN iw USING (n, w)),
+x AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS p FROM h) GROUP BY k),
+y AS (SELECT k, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+      FROM (SELECT DISTINCT k, item_id::VARCHAR AS i FROM h WHERE item_id IS NOT NULL) GROUP BY k)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN x USING (k) LEFT JOIN y USING (k)"""
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -145,10 +173,12 @@ LLM_QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_token_count": op7_token_count,
     "op8_quality": op8_quality,
+    "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
+    "op9_decontamination": OP9_SQL,
     "op10_secrets": OP10_SQL,
 }
