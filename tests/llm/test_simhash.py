@@ -1,0 +1,141 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from turnmeter.llm import simhash
+from turnmeter.llm.components import connected_components
+
+
+def brute_fingerprint(text, k=4):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lower = lower.replace(c, " ")
+    words = [w for w in lower.split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + k]) for i in range(max(len(words) - k + 1, 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(nodes, linked):
+    """Smallest reachable node of each, by following links."""
+    out = {}
+    for n in sorted(nodes):
+        if n in out:
+            continue
+        todo = [n]
+        while todo:
+            x = todo.pop()
+            if x not in out:
+                out[x] = n
+                todo += [y for y in nodes if y not in out and linked(x, y)]
+    return out
+
+
+def test_fingerprint_against_brute_force():
+    for t in [None, "", " \n", "a", "A b\tC", "a b c d", "The\x0bcat é Ä \xa0 x sat On the mat the cat", "w " * 200]:
+        assert simhash.fingerprint(t) == brute_fingerprint(t)
+    assert simhash.fingerprint("a b c d e f", 5) == brute_fingerprint("a b c d e f", 5)
+
+
+def test_slices_of_long_texts_add_up(monkeypatch):
+    text = " ".join(map(str, range(1000)))
+    want = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "_SLICE", 7)
+    assert simhash.fingerprint(text) == want == brute_fingerprint(text)
+
+
+def test_every_close_pair_has_equal_coordinates_in_some_choice_of_blocks():
+    rng = random.Random(1)
+    for k in (3, 4, 6):
+        masks = simhash.block_masks(4, k)
+        for _ in range(300):
+            x, flips = rng.getrandbits(64), rng.sample(range(64), 4)
+            y = x ^ sum(1 << f for f in flips)
+            assert any((x & m) == (y & m) for m in masks)
+    assert simhash.blocks_needed(10, 4) == 3 < simhash.blocks_needed(10**8, 4)
+
+
+def test_coordinates_differ_by_the_distance_at_most():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    t = simhash.distance_table(x)
+    for a, b in itertools.combinations(range(60), 2):
+        assert np.abs(t[a] - t[b]).max() <= np.bitwise_count(x[a] ^ x[b])
+
+
+def cluster(rng, n):
+    """Chains of fingerprints a few bits apart, far fingerprints between them."""
+    out, x = [], 0
+    for _ in range(n):
+        x = rng.getrandbits(64) if rng.random() < 0.15 else x ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(1, 6))})
+        out.append(x)
+    return sorted(set(out))
+
+
+@pytest.mark.parametrize("chunk, small", [(4096, 64), (4096, 0), (8, 4)])
+def test_links_connect_what_is_connected(spark, monkeypatch, chunk, small):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    prints = cluster(random.Random(4), 250)
+    if chunk == 8:  # a crowded bucket: many fingerprints around one
+        prints = sorted({*prints, *(prints[0] ^ 1 << a ^ 1 << b for a in range(12) for b in range(12))})
+    want = roots(prints, lambda x, y: (x ^ y).bit_count() <= 4)
+    signed = [x - (1 << 64) if x >> 63 else x for x in prints]
+    df = spark.createDataFrame([(x,) for x in signed], "print bigint")
+    # run sizes are looked at inside tasks, where the module is the unpatched one
+    links = [(r.u % 2**64, r.v % 2**64) for r in simhash.fingerprint_links(df, 4).collect()]
+    near = {}
+    for u, v in links:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    assert roots(prints, lambda x, y: y in near.get(x, ())) == want
+
+
+def test_small_and_large_runs_agree(monkeypatch):
+    rng = random.Random(9)
+    prints = np.array(cluster(rng, 300), np.uint64)
+    run = np.sort(np.array([rng.randrange(4) for _ in prints]))
+    found = []
+    for small in (10_000, 0):
+        monkeypatch.setattr(simhash, "SMALL_RUN", small)
+        u, v = simhash.run_links(run, prints, 4)
+        assert len(u) < len(prints)
+        pairs = list(zip(u.tolist(), v.tolist()))
+        found.append(roots(prints.tolist(), lambda x, y: (x, y) in pairs or (y, x) in pairs))
+    assert found[0] == found[1]
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)] + [(500, 500), (501, 502), (502, 501)]
+    df = spark.createDataFrame([*edges, (None, 3)], "u bigint, v bigint")
+    got = {r.node: r.root for r in connected_components(df).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(100, 180), 100), 501: 501, 502: 501}
+    assert connected_components(df.limit(0)).collect() == []
+
+
+def test_near_duplicates_on_documents(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    got = simhash.near_duplicates(docs).collect()
+    prints = {r.doc_id: r.print % 2**64 for r in got}
+    assert prints == {r.doc_id: brute_fingerprint(r.text) for r in docs.collect()}
+    want = roots(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(set(want.values())) < len(want)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+    got = simhash.near_duplicates(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    rows = odd_docs.select("doc_id", "text").collect()
+    assert sorted((str(r.doc_id), r.print % 2**64) for r in got) == sorted((str(r.doc_id), brute_fingerprint(r.text)) for r in rows)
+    zero = {r.component_id for r in got if r.print == 0}
+    assert zero == {0}
+    alone = odd_docs.where("doc_id is null")
+    assert [r.component_id for r in simhash.near_duplicates(alone).collect()] == [None]
+    assert simhash.near_duplicates(odd_docs.withColumn("doc_id", F.lit(7)).limit(4)).count() == 4

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, quality_ftrl, rule_cascade, secrets, sharding, token_count
+from . import decontam, packing, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, 4 bits."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
@@ -168,6 +174,7 @@ FROM d LEFT JOIN t1 USING (k) LEFT JOIN t2 USING (k)"""
 
 
 LLM_QUERIES = {
+    "op1_simhash": op1_simhash,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
