@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
+from . import decontam, lm_score, packing, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,6 +33,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document; rows whose id falls in fold 2 of 7 are never learnt from."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    found = lm_score.score_documents(_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document and the verdict of the rule cascade."""
     docs = _table(spark, sf_dir, "documents")
@@ -177,6 +185,7 @@ LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_lm_score": op5_lm_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_count": op7_token_count,
     "op8_quality": op8_quality,
