@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm_score, packing, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
+from . import decontam, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,6 +21,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, four words of five agreeing."""
+    found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", "end", F.col("other_id").alias("other_doc_id"),
+                        "other_start", "other_end", "n_equal", "n_steps", "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
@@ -183,6 +190,7 @@ FROM d LEFT JOIN t1 USING (k) LEFT JOIN t2 USING (k)"""
 
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_passages": op2_passages,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_lm_score": op5_lm_score,

@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_table
+from .ascii_words import words_of
 from .components import connected_components
 
 BITS = 64
@@ -56,7 +57,7 @@ _hash = functools.partial(xxhash.xxh64_intdigest, seed=42)
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """SimHash of the text's word shingles (A-Z lower-cased, repeats counted), unsigned."""
-    words = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
+    words = words_of(text)
     if not words:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
