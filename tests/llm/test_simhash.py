@@ -139,3 +139,25 @@ def test_odd_rows(spark, odd_docs, no_docs):
     alone = odd_docs.where("doc_id is null")
     assert [r.component_id for r in simhash.near_duplicates(alone).collect()] == [None]
     assert simhash.near_duplicates(odd_docs.withColumn("doc_id", F.lit(7)).limit(4)).count() == 4
+
+
+def test_one_document_of_each_component_stays(spark, small_dir, odd_docs, no_docs):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    want = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(want)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(texts[r.doc_id] == r.text for r in kept.collect())
+    # rows that repeat, rows without an id, two texts under one id
+    assert simhash.deduplicated(no_docs).collect() == []
+    rows = odd_docs.collect()
+    got = simhash.deduplicated(odd_docs).collect()
+    groups = roots({brute_fingerprint(r.text) for r in rows}, lambda x, y: (x ^ y).bit_count() <= 4)
+    assert len(got) == len(set(groups.values()))
+    for r in got:
+        group = [x.doc_id for x in rows if groups[brute_fingerprint(x.text)] == groups[brute_fingerprint(r.text)]]
+        assert r.doc_id == min((i for i in group if i is not None), default=None)
+    same = spark.createDataFrame([(None, "a b"), (None, "a b"), (4, "c d e f g h"), (4, "c d e f g h"), (4, "i j k l m")],
+                                 "doc_id bigint, text string")
+    assert sorted((str(r.doc_id), r.text) for r in simhash.deduplicated(same).collect()) == [
+        ("4", "c d e f g h"), ("4", "i j k l m"), ("None", "a b")]

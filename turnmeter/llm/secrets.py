@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -181,3 +181,13 @@ def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+
+def masked(docs: DataFrame, text_col: str = "text", length_col: str | None = None, mask: str = "[SECRET]") -> DataFrame:
+    """The rows with secrets masked in the text; ``length_col`` follows the text where it changed."""
+    rows = docs.select(F.struct(*docs.columns).alias("d"), scan(F.col(text_col))["spans"].alias("spans"))
+    rows = rows.select("d", redact(F.col("d")[text_col], F.col("spans"), mask).alias("new"))
+    new_length = F.when(F.col("new").eqNullSafe(F.col("d")[text_col]), F.col("d")[length_col]).otherwise(
+        F.length("new")).cast(docs.schema[length_col].dataType) if length_col else None
+    new = {text_col: F.col("new"), length_col: new_length}
+    return rows.select(*[new.get(c, F.col("d")[c]).alias(c) for c in docs.columns])

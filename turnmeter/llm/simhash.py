@@ -213,18 +213,47 @@ def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
             .mapInPandas(_linked(radius), "u bigint, v bigint").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """A row per document: its id, ``print`` (bigint) and component_id (smallest id reachable)."""
+def _rooted(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, text_hash, print) of the documents, and (print, least, root) of distinct fingerprints."""
     if radius < 0:
         raise ValueError("radius must not be negative")
-    rows = shared_table(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("print")),
-                        "fingerprints")
+    rows = shared_table(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                                    fingerprint_column(F.col(text_col), shingle).alias("print")), "fingerprints")
     distinct = shared_table(rows.groupBy("print").agg(F.min("id").alias("least")), "distinct-fingerprints")
     roots = connected_components(fingerprint_links(distinct.select("print"), radius)).withColumnRenamed("node", "print")
-    rooted = shared_table(distinct.join(roots, "print", "left")
-                          .select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = shared_table(rooted.join(shared_table(least, "components"), "root").select("print", "component_id"),
-                             "component-of")
+    return rows, shared_table(distinct.join(roots, "print", "left")
+                              .select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """A row per document: its id, ``print`` (bigint) and component_id (smallest id reachable)."""
+    rows, rooted = _rooted(docs, shingle, radius, id_col, text_col)
+    least = shared_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    component = shared_table(rooted.join(least, "root").select("print", "component_id"), "component-of")
     return rows.join(component, "print").select(F.col("id").alias(id_col), "print", "component_id")
+
+
+def deduplicated(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """One document of each component, all columns kept: the smallest id, null ids last.
+
+    Of rows that share the id the one with the smaller hash of its text stays,
+    of rows equal in id and text any one.
+    """
+    rows, rooted = _rooted(docs, shingle, radius, id_col, text_col)
+    mine = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    of_row = shared_table(rows.join(rooted.select("print", "root"), "print").select("root", mine.alias("row")), "rows-of")
+    counted = shared_table(of_row.groupBy("root", "row").agg(F.count("*").alias("n")), "row-counts")
+    first = shared_table(counted.groupBy("root").agg(F.min("row").alias("first")), "firsts")
+    judged = shared_table(counted.join(first, "root").select("row.id", "row.text_hash", "n",
+                                                             (F.col("row") == F.col("first")).alias("stays")), "judged")
+    same = (F.col("d")[id_col].eqNullSafe(F.col("x.id"))) & (F.xxhash64(F.col("d")[text_col]) == F.col("x.text_hash"))
+    whole = docs.select(F.struct(*docs.columns).alias("d"))
+    twice = judged.where("stays and n > 1")
+    gone = judged.where("not stays or n > 1").alias("x")
+    out = whole.join(gone, same, "left_anti").select("d.*")
+    if not twice.isEmpty():
+        once = whole.join(twice.alias("x"), same, "left_semi").select("d.*")
+        out = out.unionByName(once.dropDuplicates([id_col, text_col]))
+    return out
