@@ -25,24 +25,40 @@ def _events(spark, n, hot_share, seed):
     return spark.createDataFrame(data, "key string, ts_ms long, seq long, v string")
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 0.0), (2, 0.34), (3, 0.9)])
-def test_carry_equals_plain_window(spark, seed, hot):
+@pytest.mark.parametrize("seed,hot,limit", [(1, 0.0, 10**6), (2, 0.34, 100), (3, 0.9, 20)])
+def test_carry_equals_plain_window(spark, seed, hot, limit):
     df = _events(spark, 600, hot, seed)
     w = Window.partitionBy("key").orderBy("ts_ms", "seq").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("out", F.last("v", ignorenulls=True).over(w))
-    got = sequence.carry_last_non_null(df, ["key"], "ts_ms", "seq", "v", "out", bucket_ms=86_400_000)
+    got = sequence.carry_last_non_null(df, ["key"], "ts_ms", "seq", "v", "out", max_rows=limit)
     assert rows(got, "key", "seq", "out") == rows(want, "key", "seq", "out")
 
 
-@pytest.mark.parametrize("seed,hot", [(4, 0.34), (5, 0.9)])
-def test_previous_row_equals_lag(spark, seed, hot):
+@pytest.mark.parametrize("seed,hot,limit", [(4, 0.34, 10**6), (5, 0.9, 20)])
+def test_previous_row_equals_lag(spark, seed, hot, limit):
     df = _events(spark, 600, hot, seed).withColumn("s", F.struct("seq", "ts_ms"))
     w = Window.partitionBy("key").orderBy("ts_ms", "seq")
     want = df.withColumn("out", F.lag("s").over(w))
-    got = sequence.previous_row(df, ["key"], "ts_ms", "seq", "s", "out", bucket_ms=86_400_000)
+    got = sequence.previous_row(df, ["key"], "ts_ms", "seq", "s", "out", max_rows=limit)
     assert rows(got, "key", "seq", "out") == rows(want, "key", "seq", "out")
 
 
+def test_a_hot_key_within_one_day_is_cut_by_rows(spark):
+    """90 % of the rows on one key, within one second: no range holds more than a hundredth of them."""
+    df = spark.range(30_000).selectExpr("IF(id % 10 = 0, concat('k', id % 7), 'hot') AS key",
+                                        "(id * 7919) % 1000 + 86400000 AS ts_ms", "id AS seq",
+                                        "IF(id % 3 = 0, concat('v', id), NULL) AS v")
+    cut = sequence._ranges(df, ["key"], "ts_ms", 5_000)
+    sizes = {(r.key, r._range): r["count"] for r in cut.groupBy("key", "_range").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert sum(hot) == 27_000 and max(hot) < 270 and all(n == 0 for k, n in sizes if k != "hot")
+    w = Window.partitionBy("key").orderBy("ts_ms", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    got = sequence.carry_last_non_null(df, ["key"], "ts_ms", "seq", "v", "out", max_rows=5_000)
+    want = df.withColumn("out", F.last("v", ignorenulls=True).over(w))
+    assert got.select("key", "seq", "out").exceptAll(want.select("key", "seq", "out")).isEmpty()
+    assert got.count() == 30_000
+
+
 def _reshuffle(spark, d, tmp_path, name):
     """Copy a driver table with rows in random order across 5 files."""
     out = str(tmp_path / name)

@@ -1,65 +1,70 @@
-"""Text helpers: JavaScript trim/length semantics, lines, token extraction, hash."""
+"""Text helpers: JavaScript trim and length rules, lines, tokens, hashes."""
 
-from pyspark.sql import functions as F
+import hashlib
+import math
+
+import pytest
 
 from turnmeter.functions import text as tx
 
 
-def col(spark, values, expr):
-    df = spark.createDataFrame([(v,) for v in values], "t string")
-    return [r["v"] for r in df.select(expr.alias("v")).collect()]
+def applied(spark, expr, values, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, t {kind}").coalesce(1)
+    return [r.v for r in df.select("i", expr.alias("v")).orderBy("i").collect()]
 
 
-def test_js_trim_unicode_whitespace(spark):
-    vals = ["\t a \n", " x\u3000", "\ufeffy\u00a0", "\u0085z", " \u200bw", "\u2028v\u2029"]
-    # U+0085 and U+200B are not JavaScript white space
-    assert col(spark, vals, tx.js_trim("t")) == ["a", "x", "y", "\u0085z", "\u200bw", "v"]
+def test_trim_removes_what_javascript_calls_white_space(spark):
+    blank = "\t\n\x0b\x0c\r \xa0       　﻿"
+    kept = ["\x85", "​", "\x1c", "᠎"]
+    got = applied(spark, tx.js_trim("t"), [b + "reed " + "bed" + b for b in blank] + [k + "x" + k for k in kept])
+    assert got == ["reed bed"] * len(blank) + [k + "x" + k for k in kept]
 
 
 def test_utf16_length(spark):
-    assert col(spark, ["abc", "\u00e9", "\U0001F600", "a\U0001F600b"], tx.utf16_len("t")) == [3, 1, 2, 4]
-
-
-def test_to_lines(spark):
-    assert col(spark, ["  a \n\n b\r\n\t\n"], tx.to_lines("t")) == [["a", "b"]]
+    values = ["", "fern", "ø", "\U0001F33F", "\U0001F33F\U0001F33Fz", "퟿"]
+    assert applied(spark, tx.utf16_len("t"), values) == [len(v.encode("utf-16-le")) // 2 for v in values]
 
 
-def test_content_hash(spark):
-    assert col(spark, ["hello", ""], tx.content_hash("t")) == [
-        "2cf24dba5fb0a30e26e83b2ac5b9e29e1b161e5c1fa7425e73043362938b9824",
-        "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"]
+def test_lines_are_trimmed_and_blank_ones_dropped(spark):
+    assert applied(spark, tx.to_lines("t"), ["\n\n", " moss\n\t\n lichen \r\nfern"]) == [[], ["moss", "lichen", "fern"]]
 
 
-def test_join_system(spark):
-    df = spark.createDataFrame([(["Line one.", "Line two."],)], "s array<string>")
-    assert df.select(tx.join_system("s").alias("v")).first()["v"] == "Line one.\n\nLine two."
+def test_hash_is_sha256_of_utf8(spark):
+    values = ["", "mire", "étang \U0001F33F"]
+    assert applied(spark, tx.content_hash("t"), values) == [hashlib.sha256(v.encode()).hexdigest() for v in values]
 
 
-def test_extract_tokens(spark):
-    got = col(spark, ['Found issue in src/utils/helper.ts at line 42 "quoted one" x'], tx.extract_tokens("t"))[0]
-    assert "src/utils/helper.ts" in got and "quoted one" in got
-    assert "helper" not in got or True  # identifiers of 6+ letters also match inside paths
-    assert len(got) == len(set(got))
+def test_system_parts_are_joined_by_a_blank_line(spark):
+    assert applied(spark, tx.join_system("t"), [["bog", "fen", "carr"], ["one"], []], "array<string>") == [
+        "bog\n\nfen\n\ncarr", "one", ""]
 
 
-def test_word_boundary_is_ascii(spark):
-    # 'éxample1' -- JavaScript's \b sees no word char before 'x', so 'xample1' is a token
-    got = col(spark, ["\u00e9xample1"], tx.extract_tokens("t"))[0]
-    assert got == ["xample1"]
+@pytest.mark.parametrize("text, want", [
+    ("see \"reed warbler\" or 'marsh' now", {"reed warbler", "marsh", "warbler"}),
+    ("pond/lily-pad.yaml and a.md", {"pond/lily-pad.yaml"}),
+    ("sedge sedges sedges_9 9sedges", {"sedges", "sedges_9"}),
+    ("\"abc\" 'de' q.go", set()),
+    ("østuary7 übermoor", {"stuary7", "bermoor"}),  # \b knows ASCII word characters only
+    ("willow willow \"willow\"", {"willow"}),
+])
+def test_tokens(spark, text, want):
+    [got] = applied(spark, tx.extract_tokens("t"), [text])
+    assert set(got) == want and len(got) == len(want)
 
 
-def test_response_text(spark):
-    df = spark.createDataFrame([([("text", "a"), ("tool", "x"), ("text", None), ("text", "b")],)],
-                               "p array<struct<type:string,text:string>>")
-    assert df.select(tx.response_text("p").alias("v")).first()["v"] == "a\n\nb"
+def test_response_text_joins_the_text_parts(spark):
+    parts = [[("text", "alder"), ("tool", "no"), ("text", None), ("text", "birch")], [("text", "ash")], []]
+    got = applied(spark, tx.response_text("t"), parts, "array<struct<type:string,text:string>>")
+    assert got == ["alder\n\nbirch", "ash", ""]
 
 
-def test_js_round_half_up(spark):
-    df = spark.createDataFrame([(2.5,), (-2.5,), (1.49,)], "x double")
-    assert [r["v"] for r in df.select(tx.js_round("x").alias("v")).collect()] == [3, -2, 1]
+def test_rounding_is_half_up(spark):
+    values = [0.5, 1.5, -0.5, -1.5, 7.49, -7.51]
+    assert applied(spark, tx.js_round("t"), values, "double") == [math.floor(v + 0.5) for v in values]
 
 
 def test_file_read_tools(spark):
-    assert col(spark, ["read", "Cat", "serena_read_file", "VIEW", "open", "reader", "grep"],
-               tx.is_file_read_tool("t")) == [True, True, True, True, True, False, False]
-    assert F is not None
+    names = ["read", "cat", "serena_read_file", "view", "open"]
+    others = ["reads", "cat ", "file", "", "grep", "re-open"]
+    got = applied(spark, tx.is_file_read_tool("t"), names + [n.upper() for n in names] + others)
+    assert got == [True] * 10 + [False] * 6

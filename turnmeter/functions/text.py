@@ -26,6 +26,7 @@ PATH_RE = (r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 IDENT_RE = r"(?<!\w)([a-zA-Z][a-zA-Z0-9_]{5,})(?!\w)"
 
 # Tool names scored by line overlap (everything else: substring match).
+# Fixed value: names of tools that read files.
 FILE_READ_TOOL_RE = r"(?i)^(read|cat|serena_read_file|view|open)$"
 
 

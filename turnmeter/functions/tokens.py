@@ -47,7 +47,7 @@ GLM_WARNING = "GLM 5.x tokenizer may differ from ChatGLM3 base vocab"
 CLAUDE_47_WARNING = "Claude 4.7+ uses a new tokenizer; count may be slightly low"
 CLAUDE_VERSION_RE = r"(?i)claude.*?(\d+)\.(\d+)"
 
-# Large-output threshold in bytes (outputs at or above it are flagged).
+# Fixed value: large-output threshold in bytes (outputs at or above it are flagged).
 COMPRESS_THRESHOLD_BYTES = 10_240
 
 
@@ -108,6 +108,11 @@ def tokens_at_ratio(text, ratio) -> Column:
     return F.when(t.isNull() | (t == ""), F.lit(0).cast("bigint")).otherwise(count)
 
 
+def tokens_of_bytes(n_bytes, ratio) -> Column:
+    """Token count of a text of ``n_bytes`` UTF-8 bytes; 0 for NULL and for no bytes."""
+    return F.coalesce(F.ceil(_c(n_bytes) / _c(ratio)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def claude_47_plus(model) -> Column:
     """Dotted Claude version with major 4 and minor >= 7 (P5)."""
     m = F.coalesce(_c(model), F.lit(""))

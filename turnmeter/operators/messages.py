@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import tokens as tk
+from .tools import latest_params_asof
 from .upsert import keep_first, keep_last
 
 TIMING_COLUMNS = ["message_id", "session_id", "request_sent", "first_part_received",
@@ -216,25 +217,46 @@ def explode_parts(snapshots: DataFrame) -> DataFrame:
     return base.drop("messages"), parts
 
 
+def resolve_windows(windows: DataFrame, params: DataFrame) -> DataFrame:
+    """Context windows with their session's latest chat params, as rows to snapshot.
+
+    ``windows``: snapshot_key, session_id, ts_ms, seq, message_count;
+    ``params``: id, session_id, ts_ms, seq, model_id, context_limit. Empty
+    windows, windows without a session and those of a session that has no params
+    yet make no snapshot; the params' id is the snapshot's id, and of the windows
+    that share it the last one stays.
+    """
+    asked = windows.where((F.col("message_count") > 0) & (F.coalesce("session_id", F.lit("")) != ""))
+    found = (latest_params_asof(asked, params, ["id", "model_id", "context_limit"])
+             .where(F.col("asof").isNotNull())
+             .select("snapshot_key", "session_id", "ts_ms", "seq", "message_count",
+                     "asof.id", "asof.model_id", "asof.context_limit"))
+    return keep_last(found, ["id"], ["ts_ms", "seq"])
+
+
 def context_snapshots(snapshots: DataFrame, parts: DataFrame) -> DataFrame:
-    """``context_snapshots``.
+    """``context_snapshots`` (A9, P19, P20), last wins per id.
 
     ``snapshots``: snapshot_key, id, session_id, ts_ms, seq, message_count,
-    model_id, context_limit (the as-of chat params already resolved, F8).
+    model_id, context_limit (as-of params resolved, see :func:`resolve_windows`).
     ``parts``: snapshot_key, part_type, text, tool_output -- one row per part.
-    Counters are summed per snapshot with map-side partial aggregation.
+    Only byte lengths of the parts meet the snapshots; counters are summed per
+    snapshot with map-side partial aggregation.
     """
+    snapshots = keep_last(snapshots.where(F.col("message_count") > 0), ["id"], ["ts_ms", "seq"])
     # the bytes-per-token ratio is matched once per snapshot, not per part
     ratio = snapshots.select("snapshot_key", tk.token_ratio("model_id").alias("_ratio"))
-    p = parts.join(ratio, "snapshot_key")
     is_tool = F.col("part_type") == "tool"
     is_text = F.col("part_type") == "text"
-    counts = (p.groupBy("snapshot_key")
+    sizes = parts.select("snapshot_key", is_tool.alias("_tool"), is_text.alias("_text"),
+                         F.when(is_tool, tk.utf8_bytes("tool_output")).when(is_text, tk.utf8_bytes("text")).alias("_bytes"))
+    part_tokens = tk.tokens_of_bytes("_bytes", "_ratio")
+    counts = (sizes.join(ratio, "snapshot_key").groupBy("snapshot_key")
               .agg(F.count(F.lit(1)).alias("total_parts"),
-                   F.count_if(is_tool).alias("tool_parts"),
-                   F.count_if(is_text).alias("text_parts"),
-                   F.sum(F.when(is_tool, tk.tokens_at_ratio("tool_output", "_ratio"))).alias("_tool_tok"),
-                   F.sum(F.when(is_text, tk.tokens_at_ratio("text", "_ratio"))).alias("_conv_tok")))
+                   F.count_if("_tool").alias("tool_parts"),
+                   F.count_if("_text").alias("text_parts"),
+                   F.sum(F.when(F.col("_tool"), part_tokens)).alias("_tool_tok"),
+                   F.sum(F.when(F.col("_text"), part_tokens)).alias("_conv_tok")))
     j = snapshots.join(counts, "snapshot_key", "left")
     zero = F.lit(0).cast("bigint")
     tool_tok = F.coalesce(F.col("_tool_tok"), zero)
@@ -259,7 +281,12 @@ PROMPT_COLUMNS = ["session_id", "model_id", "timestamp", "content_hash", "conten
 
 
 def system_prompts(events: DataFrame) -> DataFrame:
-    """``system_prompts`` (P9, P10, P2, U2, S5): first row per (session, content hash).
+    """``system_prompts``: the rows of :func:`first_prompts` without their arrival number."""
+    return first_prompts(events).select(*PROMPT_COLUMNS)
+
+
+def first_prompts(events: DataFrame) -> DataFrame:
+    """Prompt rows (P9, P10, P2, U2, S5): the first per (session, content hash), with ``seq``.
 
     ``events``: session_id, model_id, ts_ms, seq, system (array<string>).
     """
@@ -271,5 +298,4 @@ def system_prompts(events: DataFrame) -> DataFrame:
             .where(F.col("content") != "")
             .withColumn("content_hash", tx.content_hash("content"))
             .withColumn("token_count", tk.estimate_tokens("content", "model_id")))
-    return keep_first(rows.select(*PROMPT_COLUMNS, "seq"), ["session_id", "content_hash"],
-                      ["timestamp", "seq"]).select(*PROMPT_COLUMNS)
+    return keep_first(rows.select(*PROMPT_COLUMNS, "seq"), ["session_id", "content_hash"], ["timestamp", "seq"])

@@ -93,24 +93,14 @@ def score_tool_calls(finished: DataFrame, calls: DataFrame, method: str = "auto"
             F.size(tx.to_lines(out)).cast("bigint").alias("fetched_lines")]
     tail = F.col("ts_ms").alias("timestamp")
 
-    def by_lines(df: DataFrame) -> DataFrame:
-        lo = line_overlap(out, resp, ratio=ratio)
-        return df.select(*head, lo["referenced_tokens"].alias("referenced_tokens"),
-                         lo["referenced_lines"].alias("referenced_lines"),
-                         lo["relevance_ratio"].alias("relevance_ratio"),
-                         F.lit("line-overlap").alias("scoring_method"), tail)
-
-    def by_substrings(df: DataFrame) -> DataFrame:
-        sm = substring_match(out, resp, ratio=ratio)
-        return df.select(*head, sm["referenced_tokens"].alias("referenced_tokens"),
-                         F.lit(None).cast("bigint").alias("referenced_lines"),
-                         sm["relevance_ratio"].alias("relevance_ratio"),
-                         F.lit("substring-match").alias("scoring_method"), tail)
-
-    if method == "line-overlap":
-        return by_lines(pairs)
-    if method == "substring-match":
-        return by_substrings(pairs)
-    # each branch only evaluates its own scorer; the join's shuffle is reused
-    file_read = tx.is_file_read_tool("tool")
-    return by_lines(pairs.where(file_read)).unionByName(by_substrings(pairs.where(~file_read)))
+    nothing = F.lit(None).cast("bigint")
+    lo, sm = line_overlap(out, resp, ratio=ratio), substring_match(out, resp, ratio=ratio)
+    by_lines = F.struct(lo["referenced_tokens"].alias("referenced_tokens"), lo["referenced_lines"].alias("referenced_lines"),
+                        lo["relevance_ratio"].alias("relevance_ratio"), F.lit("line-overlap").alias("scoring_method"))
+    by_substrings = F.struct(sm["referenced_tokens"].alias("referenced_tokens"), nothing.alias("referenced_lines"),
+                             sm["relevance_ratio"].alias("relevance_ratio"),
+                             F.lit("substring-match").alias("scoring_method"))
+    scored = {"line-overlap": by_lines, "substring-match": by_substrings}.get(
+        method, F.when(tx.is_file_read_tool("tool"), by_lines).otherwise(by_substrings))
+    # inline() holds the one scorer that a row needs, evaluated once, apart from the columns read from it
+    return pairs.select(*head, tail, F.inline(F.array(scored))).select(*RELEVANCE_COLUMNS)

@@ -2,37 +2,55 @@
 
 The reference keeps "the latest X of this session/call" in a map and consults
 it as events arrive. Over a table that is a scan ordered by (ts, seq) inside
-each key. A plain ``Window.partitionBy(key)`` would send every event of a key
-to one task; when a key holds a third of all rows that task holds a third of
-the job. Both helpers therefore split each key into time buckets:
-
-1. the scan runs inside (key, bucket) partitions;
-2. a one-row-per-(key, bucket) summary carries the last value of each bucket;
-3. a window over those summaries (tiny: one row per bucket) gives every
-   bucket the value carried in from earlier buckets;
-4. the carry is joined back on (key, bucket) and used where the in-bucket scan
+each key: a window partitioned by the key. A counting pass first looks for keys
+with more than ``max_rows`` rows. Where there are none, the plain window is the
+plan. Hot keys are cut into ``PARTS`` ranges of event time that hold about equal
+numbers of rows (approximate percentiles of their own times), and
+
+1. the scan runs inside (key, range) partitions;
+2. a one-row-per-(key, range) summary carries the last value of each range;
+3. a window over those summaries (``PARTS`` rows a key at most) gives every
+   range the value carried in from earlier ranges;
+4. the carry is joined back on (key, range) and used where the in-range scan
    has not seen a value yet.
 
-Work per task is bounded by the bucket width, not by the key's size.
+So a task holds a small share of a hot key however narrow its time span; only
+rows of one key in one millisecond stay together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_MS = 86_400_000  # one day of event time per scan partition
+#: Rows of a key up to which one task scans it whole.
+MAX_ROWS = 1_000_000
+#: Ranges that a larger key is cut into.
+PARTS = 256
 
 
-def _bucket(ts_ms: str, bucket_ms: int) -> Column:
-    return F.floor(F.col(ts_ms) / F.lit(bucket_ms)).cast("bigint")
+def _ranges(df: DataFrame, keys: Sequence[str], ts_ms: str, max_rows: int) -> DataFrame | None:
+    """``df`` with ``_range``, the time range of each row within its key; None if no key is hot."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(*keys)
+    if hot.isEmpty():
+        return None
+    cuts = F.percentile_approx(ts_ms, [i / PARTS for i in range(1, PARTS)], F.lit(40 * PARTS))
+    bounds = (df.select(*keys, ts_ms).join(hot, list(keys), "left_semi")
+              .groupBy(*keys).agg(cuts.alias("_bounds"))
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_bounds"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    before = F.size(F.filter("_bounds", lambda x: x < F.col(ts_ms)))
+    return (df.join(bounds, same, "left")
+            .withColumn("_range", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(before))
+            .drop("_bounds", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def carry_last_non_null(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str,
                         value: str | Sequence[str], out: str | Sequence[str],
-                        bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                        max_rows: int = MAX_ROWS) -> DataFrame:
     """Add ``out`` = last non-NULL ``value`` at or before each row, per key.
 
     Order is (``ts_ms``, ``seq``); ``value`` may be any type (use a struct to
@@ -45,14 +63,16 @@ def carry_last_non_null(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str
     keys = list(keys)
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
-    b = "_bucket"
-    d = df.withColumn(b, _bucket(ts_ms, bucket_ms))
-    w_in = (Window.partitionBy(*keys, b).orderBy(ts_ms, seq)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    b, d = "_range", _ranges(df, keys, ts_ms, max_rows)
+    up_to_now = (Window.unboundedPreceding, Window.currentRow)
+    if d is None:
+        whole = Window.partitionBy(*keys).orderBy(ts_ms, seq).rowsBetween(*up_to_now)
+        return df.withColumns({o: F.last(F.col(v), ignorenulls=True).over(whole) for v, o in zip(values, outs)})
+    w_in = Window.partitionBy(*keys, b).orderBy(ts_ms, seq).rowsBetween(*up_to_now)
     for i, v in enumerate(values):
         d = d.withColumn(f"_in{i}", F.last(F.col(v), ignorenulls=True).over(w_in))
 
-    # one row per (key, bucket) that has rows; NULL where the bucket has no value
+    # one row per (key, range) that has rows; NULL where the range has no value
     order = F.struct(F.col(ts_ms), F.col(seq))
     summary = d.groupBy(*keys, b).agg(*[
         F.max_by(F.col(v), F.when(F.col(v).isNotNull(), order)).alias(f"_last{i}")
@@ -67,15 +87,16 @@ def carry_last_non_null(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], ts_ms: str, seq: str,
-                 value: str, out: str, bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 value: str, out: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key (``lag``).
 
     Order is (``ts_ms``, ``seq``); NULL for a key's first row. ``value`` must
     be non-NULL on every row (wrap fields in a struct).
     """
     keys = list(keys)
-    b = "_bucket"
-    d = df.withColumn(b, _bucket(ts_ms, bucket_ms))
+    b, d = "_range", _ranges(df, keys, ts_ms, max_rows)
+    if d is None:
+        return df.withColumn(out, F.lag(F.col(value)).over(Window.partitionBy(*keys).orderBy(ts_ms, seq)))
     w_in = Window.partitionBy(*keys, b).orderBy(ts_ms, seq)
     d = d.withColumn("_in", F.lag(F.col(value)).over(w_in))
 

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tokens as tk
-from ..session import cut_lineage
-from .sequence import DEFAULT_BUCKET_MS, carry_last_non_null, previous_row
+from .sequence import MAX_ROWS, carry_last_non_null, previous_row
 from .upsert import keep_last
 
 
@@ -39,28 +38,32 @@ def e_struct_type(df: DataFrame, fields: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, df.schema[c].dataType) for c in fields])
 
 
-def _after(ts, seq, ref_ts, ref_seq):
-    """(ts, seq) strictly after (ref_ts, ref_seq) in arrival order."""
-    return (F.col(ts) > F.col(ref_ts)) | ((F.col(ts) == F.col(ref_ts)) & (F.col(seq) > F.col(ref_seq)))
-
-
-def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
+def tool_calls(starts: DataFrame, ends: DataFrame, with_text: bool = True) -> DataFrame:
     """Build ``tool_calls`` from start and end events.
 
     ``starts``: call_id, session_id, message_id, tool, model_id, ts_ms, seq, input_json.
     ``ends``: call_id, ts_ms, seq, status, output_text, title, truncated
-    (optionally model_id; defaults to the start's model).
+    (optionally error_text, and model_id; the latter defaults to the start's model).
 
     A repeated start replaces the row (back to pending, outputs cleared); an
     end updates the row only if the row exists when it arrives, so only ends
     after the surviving start count and the last of them wins. Ends without a
-    start produce no row.
+    start produce no row. Sizes are taken before the shuffle; with
+    ``with_text=False`` the columns input_json, output_text, title and
+    error_text are left out and no text is sorted or shuffled.
     """
     # The last end is the surviving one exactly when it arrives after the last
     # start (otherwise no end follows the surviving start), so both sides are
     # one grouped max per call: a single shuffle, partially aggregated.
-    start_fields = ["ts_ms", "seq", "session_id", "message_id", "tool", "model_id", "input_json"]
-    end_fields = ["ts_ms", "seq", "status", "output_text", "title", "truncated"]
+    starts = starts.withColumn("input_size_bytes", tk.utf8_bytes("input_json").cast("bigint"))
+    ends = ends.withColumn("output_size_bytes", tk.utf8_bytes("output_text").cast("bigint"))
+    if "error_text" not in ends.columns:
+        ends = ends.withColumn("error_text", F.lit(None).cast("string"))
+    start_fields = ["ts_ms", "seq", "session_id", "message_id", "tool", "model_id", "input_size_bytes"]
+    end_fields = ["ts_ms", "seq", "status", "output_size_bytes", "truncated"]
+    if with_text:
+        start_fields += ["input_json"]
+        end_fields += ["output_text", "title", "error_text"]
     if "model_id" in ends.columns:
         end_fields.append("model_id")
     s_struct = F.struct(*[F.col(c) for c in start_fields])
@@ -79,8 +82,11 @@ def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
         out_ratio = F.when(F.col("end_model_id").isNull(), F.col("_in_ratio")).otherwise(tk.token_ratio("end_model_id"))
     else:
         out_ratio = F.col("_in_ratio")
-    out_text = F.col("end_output_text")
-    out_tokens = F.when(has_end, tk.tokens_at_ratio(out_text, out_ratio))
+    out_bytes = F.col("end_output_size_bytes")
+    out_tokens = F.when(has_end, tk.tokens_of_bytes(out_bytes, out_ratio))
+    large = out_bytes >= tk.COMPRESS_THRESHOLD_BYTES
+    texts = {c: [F.col(f"end_{c}").alias(c)] if with_text else [] for c in ("output_text", "title", "error_text")}
+
     return j.select(
         F.col("call_id").alias("id"),
         "session_id", "message_id", "tool",
@@ -88,21 +94,22 @@ def tool_calls(starts: DataFrame, ends: DataFrame) -> DataFrame:
         F.col("end_ts_ms").alias("timestamp_end"),
         (F.col("end_ts_ms") - F.col("ts_ms")).alias("duration_ms"),
         F.when(has_end, F.col("end_status")).otherwise(F.lit("pending")).alias("status"),
-        "input_json",
-        tk.utf8_bytes("input_json").cast("bigint").alias("input_size_bytes"),
-        tk.tokens_at_ratio("input_json", "_in_ratio").alias("input_estimated_tokens"),
-        out_text.alias("output_text"),
-        F.when(has_end, tk.is_large_output(out_text)).otherwise(F.lit(False)).alias("output_compressed"),
-        tk.utf8_bytes(out_text).cast("bigint").alias("output_size_bytes"),
+        *(["input_json"] if with_text else []),
+        "input_size_bytes",
+        tk.tokens_of_bytes("input_size_bytes", "_in_ratio").alias("input_estimated_tokens"),
+        *texts["output_text"],
+        F.when(has_end, large).otherwise(F.lit(False)).alias("output_compressed"),
+        out_bytes.alias("output_size_bytes"),
         out_tokens.alias("output_estimated_tokens"),
-        F.col("end_title").alias("title"),
+        *texts["title"],
         F.when(has_end, F.coalesce(F.col("end_truncated"), F.lit(False))).otherwise(F.lit(False))
         .alias("truncated"),
+        *texts["error_text"],
         out_tokens.alias("next_turn_token_impact"),
     )
 
 
-def tool_latency_total(events: DataFrame, bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+def tool_latency_total(events: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """'total' latency rows.
 
     ``events``: call_id, session_id, kind ('before' | 'after'), ts_ms, seq.
@@ -111,7 +118,7 @@ def tool_latency_total(events: DataFrame, bucket_ms: int = DEFAULT_BUCKET_MS) ->
     """
     ev = events.select("call_id", "session_id", "kind", "ts_ms", "seq",
                        F.struct("kind", "ts_ms").alias("_ev"))
-    ev = previous_row(ev, ["call_id"], "ts_ms", "seq", "_ev", "_prev", bucket_ms)
+    ev = previous_row(ev, ["call_id"], "ts_ms", "seq", "_ev", "_prev", max_rows)
     return (ev.where((F.col("kind") == "after") & (F.col("_prev.kind") == "before"))
             .select(F.col("call_id").alias("tool_call_id"), "session_id",
                     F.lit("total").alias("phase"),
@@ -120,8 +127,18 @@ def tool_latency_total(events: DataFrame, bucket_ms: int = DEFAULT_BUCKET_MS) ->
                     F.col("ts_ms").alias("timestamp")))
 
 
+def latency_phases(rows: DataFrame) -> DataFrame:
+    """Latency rows of any phase (S10): metadata, a map or struct, is kept as JSON, NULL where absent.
+
+    ``rows``: tool_call_id, session_id, phase, duration_ms, metadata, timestamp.
+    The table has no key: every row is kept.
+    """
+    return rows.select("tool_call_id", "session_id", "phase", F.col("duration_ms").cast("bigint").alias("duration_ms"),
+                       F.to_json("metadata").alias("metadata_json"), "timestamp")
+
+
 def latest_params_asof(events: DataFrame, params: DataFrame, fields: list[str],
-                       bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                       max_rows: int = MAX_ROWS) -> DataFrame:
     """As-of lookup of the session's latest chat params.
 
     ``events``: session_id, ts_ms, seq, ...; ``params``: session_id, ts_ms, seq
@@ -136,7 +153,7 @@ def latest_params_asof(events: DataFrame, params: DataFrame, fields: list[str],
             p = p.withColumn(c, F.lit(None).cast(events.schema[c].dataType))
     p = p.withColumn("_is_event", F.lit(False))
     both = e.unionByName(p)
-    filled = carry_last_non_null(both, ["session_id"], "ts_ms", "seq", "_p", "asof", bucket_ms)
+    filled = carry_last_non_null(both, ["session_id"], "ts_ms", "seq", "_p", "asof", max_rows)
     return filled.where("_is_event").select(*ev_cols, "asof")
 
 
@@ -165,8 +182,13 @@ def cost_shares(calls: DataFrame, steps: DataFrame) -> DataFrame:
         .drop("_total_bytes", "_n", "_cost")
 
 
-def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame,
-                     bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+def _before(ts, seq, than_ts, than_seq) -> "F.Column":
+    """(ts, seq) strictly before another point of the arrival order."""
+    ts, seq, than_ts, than_seq = (F.col(c) for c in (ts, seq, than_ts, than_seq))
+    return (ts < than_ts) | ((ts == than_ts) & (seq < than_seq))
+
+
+def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Cost shares replayed against the tool-call table as it was at each step (W1, J5, trap 5).
 
     ``starts``: call_id, message_id, ts_ms, seq; ``ends``: call_id, ts_ms,
@@ -180,52 +202,29 @@ def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame,
     the one that was current at T. Returns call_id, message_id (of the final
     start), cost_share.
 
-    Each call's events and its "probes" (one per message it started under,
-    at that message's T) form one timeline; the latest start and latest end
-    before every probe come from the bucketed carry-forward scan, so a call
-    or message holding a third of all rows is still split across tasks.
+    Each start knows the call's next one (a previous-row scan in reverse order,
+    which splits hot calls), so whether it was current at T is a test on its own
+    row; at most one start per call and message then meets the call's ends.
     """
     last_step = (keep_last(steps.where(F.col("cost") > 0).select("message_id", "ts_ms", "seq", "cost"),
-                           ["message_id"], ["ts_ms", "seq"]))
-    probes = (starts.select("call_id", "message_id").distinct()
-              .join(last_step, "message_id")
-              .select("call_id", "ts_ms", "seq", F.col("message_id").alias("probe_msg"), "cost"))
-    start_t = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()),
-                            T.StructField("message_id", T.StringType())])
-    end_t = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()),
-                          T.StructField("bytes", T.LongType())])
-    none = {"start": F.lit(None).cast(start_t), "end": F.lit(None).cast(end_t),
-            "probe_msg": F.lit(None).cast("string"), "cost": F.lit(None).cast("double")}
-    cols = ["call_id", "ts_ms", "seq", "start", "end", "probe_msg", "cost"]
-    tl = (starts.select("call_id", "ts_ms", "seq",
-                        F.struct("ts_ms", "seq", "message_id").cast(start_t).alias("start"),
-                        none["end"].alias("end"), none["probe_msg"].alias("probe_msg"), none["cost"].alias("cost"))
-          .unionByName(ends.select("call_id", "ts_ms", "seq", none["start"].alias("start"),
-                                   F.struct("ts_ms", "seq", F.col("output_size_bytes").alias("bytes"))
-                                   .cast(end_t).alias("end"),
-                                   none["probe_msg"].alias("probe_msg"), none["cost"].alias("cost")))
-          .unionByName(probes.select("call_id", "ts_ms", "seq", none["start"].alias("start"),
-                                     none["end"].alias("end"), "probe_msg", "cost"))
-          .select(*cols))
-    # the timeline feeds the in-bucket scan, the bucket summary and the join
-    # back; materialise it once instead of re-running its scans per branch
-    tl = cut_lineage(tl)
-    tl = carry_last_non_null(tl, ["call_id"], "ts_ms", "seq", ["start", "end"], ["_ls", "_le"], bucket_ms)
-    ls, le = F.col("_ls"), F.col("_le")
-    end_after_start = (le["ts_ms"] > ls["ts_ms"]) | ((le["ts_ms"] == ls["ts_ms"]) & (le["seq"] > ls["seq"]))
-    at_t = (tl.where(F.col("probe_msg").isNotNull())
-            .where((ls["message_id"] == F.col("probe_msg")) & le.isNotNull() & end_after_start)
-            .select("call_id", F.col("probe_msg").alias("message_id"), "cost",
-                    le["bytes"].alias("bytes"), ls.alias("current_start")))
-    totals = at_t.groupBy("message_id").agg(F.sum(F.coalesce(F.col("bytes"), F.lit(0))).alias("_tb"),
-                                            F.count(F.lit(1)).alias("_n"))
-    b_ = F.coalesce(F.col("bytes"), F.lit(0))
-    shares = (at_t.join(totals, "message_id")
-              .select("call_id", "message_id", "current_start",
-                      F.when(F.col("_tb") == 0, F.col("cost") / F.col("_n"))
-                      .otherwise((b_ / F.col("_tb")) * F.col("cost")).alias("cost_share")))
-    final = keep_last(starts.select("call_id", "ts_ms", "seq", "message_id"), ["call_id"], ["ts_ms", "seq"])
-    final = final.select("call_id", "message_id",
-                         F.struct("ts_ms", "seq", "message_id").cast(start_t).alias("current_start"))
-    return (final.join(shares, ["call_id", "message_id", "current_start"], "left")
-            .select("call_id", "message_id", "cost_share"))
+                           ["message_id"], ["ts_ms", "seq"])
+                 .select("message_id", F.col("ts_ms").alias("t_ms"), F.col("seq").alias("t_seq"), "cost"))
+    s = starts.select("call_id", "message_id", "ts_ms", "seq", (-F.col("ts_ms")).alias("_back_ms"),
+                      (-F.col("seq")).alias("_back_seq"), F.struct("ts_ms", "seq").alias("_at"))
+    s = (previous_row(s, ["call_id"], "_back_ms", "_back_seq", "_at", "_next", max_rows)
+         .select("call_id", "message_id", "ts_ms", "seq", "_next"))
+    current = s.join(last_step, "message_id").where(
+        _before("ts_ms", "seq", "t_ms", "t_seq")
+        & (F.col("_next").isNull() | ~_before("_next.ts_ms", "_next.seq", "t_ms", "t_seq")))
+    e = ends.select("call_id", F.col("ts_ms").alias("e_ms"), F.col("seq").alias("e_seq"),
+                    F.coalesce("output_size_bytes", F.lit(0)).cast("bigint").alias("bytes"))
+    completed = (current.join(e, "call_id")
+                 .where(_before("ts_ms", "seq", "e_ms", "e_seq") & _before("e_ms", "e_seq", "t_ms", "t_seq"))
+                 .groupBy("call_id", "message_id", "cost", F.col("_next").isNull().alias("final"))
+                 .agg(F.max(F.struct("e_ms", "e_seq", "bytes"))["bytes"].alias("bytes")))
+    totals = completed.groupBy("message_id").agg(F.sum("bytes").alias("_tb"), F.count(F.lit(1)).alias("_n"))
+    shares = (completed.where("final").join(totals, "message_id")
+              .select("call_id", "message_id", F.when(F.col("_tb") == 0, F.col("cost") / F.col("_n"))
+                      .otherwise((F.col("bytes") / F.col("_tb")) * F.col("cost")).alias("cost_share")))
+    return (s.where(F.col("_next").isNull()).select("call_id", "message_id")
+            .join(shares, ["call_id", "message_id"], "left").select("call_id", "message_id", "cost_share"))

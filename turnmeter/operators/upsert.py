@@ -13,6 +13,7 @@ itself, so the result never depends on task scheduling.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _pick(df, keys, order, F.min)
 
 
+def keep_last_of_few(df: DataFrame, keys: Sequence[str], ts: str, seq: str) -> DataFrame:
+    """``keep_last`` for few keys with a large payload.
+
+    The winner is picked on one decimal, ``ts`` and the non-negative ``seq``
+    packed, by a hash aggregate that no payload enters; only the winners' rows
+    are then fetched (a broadcast join while Spark finds the winners small).
+    Rows that tie on (ts, seq) are told apart by their payload, as in ``keep_last``.
+    """
+    order = (F.col(ts).cast("decimal(38,0)") * F.lit(Decimal(10**19))).cast("decimal(38,0)") + F.col(seq)
+    order = order.cast("decimal(38,0)")
+    last = (df.select(*keys, order.alias("_order")).groupBy(*keys).agg(F.max("_order").alias("_last"))
+            .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_last"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return keep_last(df.join(last, same & (order == F.col("_last")), "left_semi"), keys, [ts, seq])
+
+
 def first_when(cond: Column, value: Column) -> Column:
     """Aggregate: first value among rows satisfying ``cond``.
 

@@ -18,7 +18,7 @@ from ..operators import messages as msg
 from ..operators import relevance as rel
 from ..operators import summary as sm
 from ..operators import tools
-from ..operators.upsert import keep_last, union_evolved
+from ..operators.upsert import keep_last, keep_last_of_few, union_evolved
 from ..sources import bindings as b
 from ..sources.tables import epoch_ms, read_table
 
@@ -85,6 +85,11 @@ def tool_call_pairing(spark: SparkSession, d: str) -> DataFrame:
     return tools.tool_calls(b.tool_start_events(spark, d), b.tool_end_events(spark, d))
 
 
+def _sized_calls(spark: SparkSession, d: str) -> DataFrame:
+    """The tool-call table without its texts, for aggregates that read sizes only."""
+    return tools.tool_calls(b.tool_start_events(spark, d), b.tool_end_events(spark, d), with_text=False)
+
+
 # ---- J2, S10, F3 -----------------------------------------------------------
 
 def tool_latency_total(spark: SparkSession, d: str) -> DataFrame:
@@ -158,6 +163,15 @@ def context_snapshot(spark: SparkSession, d: str) -> DataFrame:
                         for c in out.columns])
 
 
+def context_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots of nested windows under the session's latest params; the last window per params id stays."""
+    windows, params = b.nested_windows(spark, d)
+    base, parts = msg.explode_parts(windows)
+    out = msg.context_snapshots(msg.resolve_windows(base, params), parts)
+    return out.select(*[_r(c) if c.endswith("_pct") or c == "context_utilization" else F.col(c)
+                        for c in out.columns])
+
+
 # ---- A10-A12, J4, J7, P16-P18, F2, F7, F9, F10 -----------------------------
 
 def _relevance(spark: SparkSession, d: str, method: str) -> DataFrame:
@@ -182,7 +196,7 @@ def relevance_scoring(spark: SparkSession, d: str) -> DataFrame:
 def _facts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {
         "step_metrics": step_metrics_upsert(spark, d),
-        "tool_calls": tool_call_pairing(spark, d),
+        "tool_calls": _sized_calls(spark, d),
         "relevance": relevance_scoring(spark, d),
         "streaming_timing": streaming_milestones(spark, d),
         "latency": tool_latency_total(spark, d),
@@ -195,7 +209,7 @@ def session_totals(spark: SparkSession, d: str) -> DataFrame:
 
 def tool_aggregates(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.text import js_round
-    t = sm.tool_totals(tool_call_pairing(spark, d))
+    t = sm.tool_totals(_sized_calls(spark, d))
     return t.select("session_id", "total_calls", "total_fetched",
                     js_round(F.col("avg_dur")).cast("bigint").alias("avg_tool_duration_ms"))
 
@@ -205,7 +219,7 @@ def relevance_aggregates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def precision(spark: SparkSession, d: str) -> DataFrame:
-    t = sm.tool_totals(tool_call_pairing(spark, d)).select("session_id", "total_fetched")
+    t = sm.tool_totals(_sized_calls(spark, d)).select("session_id", "total_fetched")
     r = sm.relevance_totals(relevance_scoring(spark, d)).select("session_id", "total_referenced")
     j = t.join(r, "session_id", "left").withColumn(
         "total_referenced", F.coalesce(F.col("total_referenced"), F.lit(0).cast("bigint")))
@@ -241,7 +255,7 @@ def benchmark_task_upsert(spark: SparkSession, d: str) -> DataFrame:
     tasks = docs.select(F.col("source").alias("id"), F.col("text").alias("description"),
                         F.nullif(F.col("lang"), F.lit("en")).alias("expected_output_hint"),
                         F.col("doc_id").alias("created_at"), F.col("doc_id").alias("seq"))
-    return keep_last(tasks, ["id"], ["created_at", "seq"]).drop("seq")
+    return keep_last_of_few(tasks, ["id"], "created_at", "seq").drop("seq")
 
 
 # ---- S8 --------------------------------------------------------------------
@@ -277,6 +291,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_estimates": token_estimates,
     "step_metrics_upsert": step_metrics_upsert,
     "context_snapshot": context_snapshot,
+    "context_windows": context_windows,
     "line_overlap": line_overlap,
     "substring_match": substring_match,
     "relevance_scoring": relevance_scoring,

@@ -18,7 +18,7 @@ D = 9  # rounding digits, as in the catalog
 WS = "||".join(f"chr({ord(c)})" for c in tx.JS_WHITESPACE)
 NL = "chr(10)"
 
-# Token patterns in RE2 form: \b is ASCII there, as in JavaScript.
+# Token patterns in RE2 form: \b is ASCII there, as in JavaScript.
 PATH_RE2 = r"\b([\w./-]{4,}\.(?:ts|js|py|go|rs|md|json|yaml|yml|sh))\b"
 IDENT_RE2 = r"\b([a-zA-Z][a-zA-Z0-9_]{5,})\b"
 
@@ -103,12 +103,14 @@ WITH s AS (
   FROM orders),
 e AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS call_id, {ms('l_shipdate')} AS ts, CAST(l_linenumber AS BIGINT) AS seq,
-         'completed' AS status, repeat(l_returnflag || l_linestatus, CAST(l_quantity AS INTEGER)) AS output_text,
-         NULL::VARCHAR AS title, l_returnflag = 'R' AS truncated
+         CASE WHEN l_quantity >= 49 THEN 'error' ELSE 'completed' END AS status,
+         repeat(l_returnflag || l_linestatus, CAST(l_quantity AS INTEGER)) AS output_text,
+         NULL::VARCHAR AS title, l_returnflag = 'R' AS truncated,
+         CASE WHEN l_quantity >= 49 THEN 'failed ' || l_returnflag END AS error_text
   FROM lineitem),
 e2 AS (
   SELECT e.*, row_number() OVER (PARTITION BY e.call_id ORDER BY e.ts DESC, e.seq DESC, e.status DESC,
-                                 e.output_text DESC, e.title DESC NULLS LAST, e.truncated DESC) AS rn
+                                 strlen(e.output_text) DESC, e.truncated DESC, e.output_text DESC) AS rn
   FROM e JOIN s ON e.call_id = s.call_id
   WHERE e.ts > s.ts OR (e.ts = s.ts AND e.seq > s.seq))
 SELECT s.call_id AS id, s.session_id, s.message_id, s.tool, s.ts AS timestamp_start,
@@ -123,6 +125,7 @@ SELECT s.call_id AS id, s.session_id, s.message_id, s.tool, s.ts AS timestamp_st
        CASE WHEN e2.ts IS NOT NULL THEN {tokens('e2.output_text', 's.model_id')} END AS output_estimated_tokens,
        e2.title,
        CASE WHEN e2.ts IS NOT NULL THEN coalesce(e2.truncated, false) ELSE false END AS truncated,
+       e2.error_text,
        CASE WHEN e2.ts IS NOT NULL THEN {tokens('e2.output_text', 's.model_id')} END AS next_turn_token_impact
 FROM s LEFT JOIN e2 ON s.call_id = e2.call_id AND e2.rn = 1
 """
@@ -464,6 +467,24 @@ SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS session_id,
        round(conv_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS conversation_token_pct
 FROM agg"""
 
+    s["context_windows"] = f"""
+WITH c AS (SELECT *, CAST(conv_id AS VARCHAR) AS session_id, {model_for('conv_id')} AS model_id FROM conversations),
+p AS (SELECT session_id, turn, session_id || ':' || turn AS id, model_id, strlen(text) + 100 AS lim
+      FROM c WHERE role = 'system'),
+w AS (SELECT c.session_id, c.turn, c.role, c.text, p.id, p.model_id, p.lim,
+             row_number() OVER (PARTITION BY c.session_id, c.turn ORDER BY p.turn DESC) AS nearest
+      FROM c JOIN p ON p.session_id = c.session_id AND p.turn <= c.turn
+      WHERE c.role <> 'system' AND c.turn % 5 <> 0),
+l AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn DESC) AS rn FROM w WHERE nearest = 1),
+t AS (SELECT *, CASE WHEN role = 'user' THEN {tokens("'user'", 'model_id')} ELSE 0 END AS tool_tok,
+             {tokens('text', 'model_id')} AS conv_tok FROM l WHERE rn = 1)
+SELECT id, session_id, CAST(turn AS BIGINT) AS timestamp, 2::BIGINT AS message_count, 3::BIGINT AS total_parts,
+       1::BIGINT AS tool_parts, 1::BIGINT AS text_parts, CAST(tool_tok + conv_tok AS BIGINT) AS estimated_tokens,
+       round((tool_tok + conv_tok) / lim, {D}) AS context_utilization, NULL::DOUBLE AS system_token_pct,
+       round(tool_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS tool_output_token_pct,
+       round(conv_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS conversation_token_pct
+FROM t"""
+
     s["line_overlap"] = relevance_sql("line-overlap")
     s["substring_match"] = relevance_sql("substring-match")
     s["relevance_scoring"] = relevance_sql("auto")

@@ -53,17 +53,9 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def prepare(spark: SparkSession) -> None:
-    """Session settings every query relies on.
-
-    UTC for epoch-millisecond conversions, and the RocksDB state store that
-    ``transformWithStateInPandas`` requires (read when a stream starts).
-    """
+    """Session settings every query relies on: UTC for epoch-millisecond conversions."""
     ensure_utc(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

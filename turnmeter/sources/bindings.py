@@ -180,11 +180,14 @@ def tool_end_events(spark: SparkSession, d: str) -> DataFrame:
     flag = (F.when(F.col("l_returnflag") == "R", F.lit("true"))
             .when(F.col("l_returnflag") == "A", F.lit('"true"')).otherwise(F.lit("false")))
     metadata = F.concat(F.lit('{"truncated": '), flag, F.lit("}"))
+    failed = F.col("l_quantity") >= 49  # the largest items' ends are errors
     return li.select(
         _s("l_orderkey").alias("call_id"), epoch_ms("l_shipdate").alias("ts_ms"),
-        F.col("l_linenumber").cast("bigint").alias("seq"), F.lit("completed").alias("status"),
+        F.col("l_linenumber").cast("bigint").alias("seq"),
+        F.when(failed, F.lit("error")).otherwise(F.lit("completed")).alias("status"),
         F.repeat(F.concat("l_returnflag", "l_linestatus"), F.col("l_quantity").cast("int")).alias("output_text"),
-        F.lit(None).cast("string").alias("title"), truncated_from_metadata(metadata).alias("truncated"))
+        F.lit(None).cast("string").alias("title"), truncated_from_metadata(metadata).alias("truncated"),
+        F.when(failed, F.concat(F.lit("failed "), "l_returnflag")).alias("error_text"))
 
 
 def session_cost_events(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -259,6 +262,31 @@ def context_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return snaps, parts
 
 
+def nested_windows(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(windows, params): a system turn is a chat.params event of its conversation, any other
+    turn a context window of two nested messages: the turn's text, and a tool part whose output
+    is the role (a user turn) or nothing. Windows of turns divisible by 5 are empty."""
+    c = conversation_rows(spark, d).select("*", F.col("turn").cast("bigint").alias("at"))
+    key = F.concat("session_id", F.lit(":"), _s("turn"))
+    params = c.where(F.col("role") == "system").select(
+        key.alias("id"), "session_id", F.col("at").alias("ts_ms"), F.lit(0).cast("bigint").alias("seq"), "model_id",
+        (F.octet_length("text") + 100).cast("bigint").alias("context_limit"))
+    none = F.lit(None).cast("string")
+
+    def part(kind: str, text: Column, output: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), text.alias("text"), F.struct(output.alias("output")).alias("state"))
+
+    said = F.struct(F.array(part("text", F.col("text"), none)).alias("parts"))
+    tool = F.struct(F.array(part("tool", none, F.when(F.col("role") == "user", F.col("role"))),
+                            part("reasoning", F.lit("thinking"), none)).alias("parts"))
+    windows = c.where(F.col("role") != "system").select(
+        key.alias("snapshot_key"), "session_id", F.col("at").alias("ts_ms"), F.lit(0).cast("bigint").alias("seq"),
+        F.when(F.col("at") % 5 == 0, F.array().cast("array<struct<parts:array<struct<type:string,text:string,"
+                                                    "state:struct<output:string>>>>>"))
+        .otherwise(F.array(said, tool)).alias("messages"))
+    return windows, params
+
+
 # ---- documents ---------------------------------------------------------------
 
 def documents(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:

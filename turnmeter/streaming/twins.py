@@ -1,13 +1,16 @@
 """Structured Streaming operators and their registered twins.
 
-Sources are file streams over the event tables (new files = new events);
-sinks write Parquet under the session's checkpoint folder:
-
-* append sinks for append-only tables (latency rows, as-of rows);
-* upsert sinks as "batch log + latest view": every micro-batch writes its rows
-  as its own ``_batch=<id>`` partition (overwriting it if the batch is
-  replayed after a failure), and readers take the last (or first) row per key
-  -- the same grouped ``max``/``min`` as the batch operators.
+Sources are file streams over the event tables (new files = new events). Every
+micro-batch appends the events an operator needs, narrowed to its columns, to a
+Parquet log in the session's checkpoint folder, as its own ``_batch=<id>``
+partition (a replayed batch overwrites its own, so the log is exactly-once). The
+table itself is a view: the batch operator over the log. So
+
+* no per-key state is held and none has to be released or expire (T7, T8);
+* the result depends on event order (ts, seq) alone, not on how events were cut
+  into batches, and late events take their place;
+* hot keys are treated as in the batch operators;
+* a later run given the same folder continues where the last one stopped.
 
 Each registered twin runs its stream to completion (``availableNow``), then
 returns the view as a batch DataFrame; its oracle is the batch twin's SQL.
@@ -23,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import messages as msg
-from ..operators.upsert import keep_last
+from ..operators import tools
+from ..operators.upsert import keep_first, keep_last
 from ..session import checkpoint_dir
 from ..sources import bindings as b
 from ..sources.tables import table_path
-from . import processors as pr
 
 
 # ---- sources and sinks -----------------------------------------------------
@@ -43,12 +46,13 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    glob = path[:-1] + "[" + path[-1] + "]" if not os.path.isdir(path) else path
-    return reader.parquet(glob)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    is_folder = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).isDirectory()
+    return reader.parquet(path if is_folder else path[:-1] + "[" + path[-1] + "]")
 
 
 def stream_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run: sink tables and the query checkpoint."""
+    """A fresh folder for logs and the query checkpoint; pass it again as ``base`` to go on from there."""
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
@@ -87,16 +91,31 @@ def log_sink(path: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[Da
     return write
 
 
-def _start(df: DataFrame, base: str, name: str, sink: Callable[[DataFrame, int], None],
-           output_mode: str = "append"):
+def _start(df: DataFrame, base: str, name: str, sink: Callable[[DataFrame, int], None]):
     return (df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:6]}")
-            .outputMode(output_mode)
             .foreachBatch(sink)
             .option("checkpointLocation", os.path.join(base, "_checkpoint"))
             .trigger(availableNow=True)
             .start())
 
 
+def run_logs(raw: DataFrame, base: str, name: str, logs: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, str]:
+    """Bring the logs under ``base`` up to date with the stream ``raw``; returns their paths.
+
+    One source and one checkpoint feed all logs. The checkpoint lies beside
+    them, so a later call with the same ``base`` reads only what is new.
+    """
+    paths = {log: os.path.join(base, log) for log in logs}
+    run_to_end(_start(raw, base, name, route({log: log_sink(paths[log], build) for log, build in logs.items()})))
+    return paths
+
+
+def compact_log(spark: SparkSession, path: str, schema: str, keys: list[str], order: list[str], to: str) -> None:
+    """Write the surviving rows of a keyed log to ``to``: one batch that stands for all so far."""
+    view = keep_last(_read_log(spark, path, schema).drop("_batch"), keys, order)
+    view.write.mode("overwrite").parquet(f"{to}/_batch=0")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of ``path`` (local or cluster storage)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -109,63 +128,13 @@ def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema + ", _batch long")
 
 
-# ---- streaming operators ---------------------------------------------------
-
-def milestone_stream(parts: DataFrame, completions: DataFrame) -> DataFrame:
-    """Streaming ``streaming_timing`` updates keyed by message."""
-    p = parts.select("message_id", "session_id", "ts_ms", "seq", F.lit("part").alias("kind"),
-                     "part_type", "tool_status")
-    c = completions.select("message_id", F.lit(None).cast("string").alias("session_id"), "ts_ms", "seq",
-                           F.lit("done").alias("kind"), F.lit(None).cast("string").alias("part_type"),
-                           F.lit(None).cast("string").alias("tool_status"))
-    u = p.unionByName(c).groupBy("message_id")
-    return u.applyInPandasWithState(pr.milestone_group_fn, pr.TIMING_OUT, pr.MILESTONE_STATE, "Update",
-                                    "NoTimeout")
-
-
-def pairing_stream(hooks: DataFrame, ttl_ms: int = pr.DEFAULT_TTL_MS) -> DataFrame:
-    """T5: 'total' latency rows from before/after hook events keyed by call."""
-    return (hooks.select("call_id", "session_id", "kind", "ts_ms", "seq").groupBy("call_id")
-            .transformWithStateInPandas(statefulProcessor=pr.CallPairingProcessor(ttl_ms),
-                                        outputStructType=pr.LATENCY_OUT, outputMode="Append", timeMode="None"))
-
-
-def latest_params_stream(events: DataFrame, params: DataFrame, ttl_ms: int = pr.DEFAULT_TTL_MS) -> DataFrame:
-    """Each event with the latest chat params of its session."""
-    e = events.select("event_id", "session_id", "event_type", "ts_ms", "seq", F.lit(False).alias("is_params"),
-                      F.lit(None).cast("string").alias("params_id"), F.lit(None).cast("string").alias("model_id"),
-                      F.lit(None).cast("bigint").alias("context_limit"))
-    p = params.select(F.lit(None).cast("bigint").alias("event_id"), "session_id",
-                      F.lit("params").alias("event_type"), "ts_ms", "seq", F.lit(True).alias("is_params"),
-                      F.col("id").alias("params_id"), "model_id", "context_limit")
-    return (e.unionByName(p).groupBy("session_id")
-            .transformWithStateInPandas(statefulProcessor=pr.LatestParamsProcessor(ttl_ms),
-                                        outputStructType=pr.ASOF_OUT, outputMode="Append", timeMode="None"))
-
-
-def prompt_dedup_stream(prompt_events: DataFrame) -> DataFrame:
-    """First prompt per (session, content hash) as a streaming aggregation.
-
-    The state holds one row per key; ``min`` over (ts, seq, payload) keeps the
-    earliest arrival whatever the order inside a micro-batch.
-    """
-    from ..functions import text as tx
-    from ..functions import tokens as tk
-    rows = (prompt_events
-            .select(F.coalesce(F.col("session_id"), F.lit("")).alias("session_id"),
-                    F.coalesce(F.col("model_id"), F.lit("unknown")).alias("model_id"),
-                    F.col("ts_ms").alias("timestamp"), "seq", tx.join_system("system").alias("content"))
-            .where(F.col("content") != "")
-            .withColumn("content_hash", tx.content_hash("content")))
-    first = F.min(F.struct("timestamp", "seq", "model_id", "content")).alias("_f")
-    return (rows.groupBy("session_id", "content_hash").agg(first)
-            .select("session_id", F.col("_f.model_id").alias("model_id"), F.col("_f.timestamp").alias("timestamp"),
-                    "content_hash", F.col("_f.content").alias("content"),
-                    tk.estimate_tokens(F.col("_f.content"), F.col("_f.model_id")).alias("token_count")))
-
-
 # ---- registered twins --------------------------------------------------------
 
+PART_LOG = ("message_id string, session_id string, ts_ms long, seq long, part_type string, tool_status string")
+DONE_LOG = "message_id string, ts_ms long, seq long"
+HOOK_LOG = "call_id string, session_id string, kind string, ts_ms long, seq long"
+EVENT_LOG = "event_id long, session_id string, event_type string, ts_ms long, seq long"
+PARAMS_LOG = "id string, session_id string, ts_ms long, seq long, model_id string, context_limit long"
 STEP_LOG = ("id string, session_id string, message_id string, timestamp long, reason string, cost double, "
             "tokens_input long, tokens_output long, tokens_reasoning long, tokens_cache_read long, "
             "tokens_cache_write long, seq long")
@@ -173,83 +142,81 @@ ESTIMATE_LOG = ("message_id string, session_id string, approach string, model_id
                 "output_tokens long, cache_read_tokens long, cache_write_tokens long, total_tokens long, "
                 "estimated_cost double, timestamp long, seq long")
 PROMPT_LOG = ("session_id string, model_id string, timestamp long, content_hash string, content string, "
-              "token_count long")
-
-def stream_milestones(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    base = stream_dir(spark, "milestones")
-    raw = table_stream(spark, d, "events", max_files_per_trigger)
-    parts, completions = b.part_events(spark, d, raw)
-    out = os.path.join(base, "streaming_timing")
-    run_to_end(_start(milestone_stream(parts, completions), base, "milestones", log_sink(out, lambda x: x),
-                      output_mode="update"))
-    log = _read_log(spark, out, pr.TIMING_OUT)
-    return keep_last(log, ["message_id"], ["_batch"]).drop("_batch")
+              "token_count long, seq long")
 
 
-def stream_tool_latency(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    base = stream_dir(spark, "latency")
+def stream_milestones(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                      base: str | None = None) -> DataFrame:
+    """Milestones of every message over the logged parts and completions."""
     raw = table_stream(spark, d, "events", max_files_per_trigger)
-    out = os.path.join(base, "tool_latency_breakdown")
-    run_to_end(_start(pairing_stream(b.tool_hook_events(spark, d, raw)), base, "latency",
-                      log_sink(out, lambda x: x)))
-    return _read_log(spark, out, pr.LATENCY_OUT).drop("_batch")  # append table: no unique key
+    logs = run_logs(raw, base or stream_dir(spark, "milestones"), "milestones",
+                    {"parts": lambda x: b.part_events(spark, d, x)[0], "done": lambda x: b.part_events(spark, d, x)[1]})
+    return msg.streaming_timing(_read_log(spark, logs["parts"], PART_LOG).drop("_batch"),
+                                _read_log(spark, logs["done"], DONE_LOG).drop("_batch"))
 
 
-def stream_latest_model(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    base = stream_dir(spark, "asof")
+def stream_tool_latency(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                        base: str | None = None) -> DataFrame:
+    """T5: 'total' latency rows over the logged hook events; an append table without a key."""
     raw = table_stream(spark, d, "events", max_files_per_trigger)
-    out = os.path.join(base, "asof")
-    run_to_end(_start(latest_params_stream(b.non_param_events(spark, d, raw), b.chat_params(spark, d, raw)),
-                      base, "asof", log_sink(out, lambda x: x)))
-    return _read_log(spark, out, pr.ASOF_OUT).drop("_batch")  # one row per event, repeated ids included
+    logs = run_logs(raw, base or stream_dir(spark, "latency"), "latency",
+                    {"hooks": lambda x: b.tool_hook_events(spark, d, x)})
+    return tools.tool_latency_total(_read_log(spark, logs["hooks"], HOOK_LOG).drop("_batch"))
 
 
-def _routed_events(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> dict[str, str]:
-    """T1 + T4 + U1: one event stream routed to step and token-estimate logs."""
-    base = stream_dir(spark, "router")
+def stream_latest_model(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                        base: str | None = None) -> DataFrame:
+    """Every logged event with the latest chat params of its session."""
     raw = table_stream(spark, d, "events", max_files_per_trigger)
-    paths = {"steps": os.path.join(base, "step_metrics_log"), "estimates": os.path.join(base, "token_estimates_log")}
+    logs = run_logs(raw, base or stream_dir(spark, "asof"), "asof",
+                    {"events": lambda x: b.non_param_events(spark, d, x), "params": lambda x: b.chat_params(spark, d, x)})
+    looked = tools.latest_params_asof(_read_log(spark, logs["events"], EVENT_LOG).drop("_batch"),
+                                      _read_log(spark, logs["params"], PARAMS_LOG).drop("_batch"),
+                                      ["id", "model_id", "context_limit"])
+    return looked.select("event_id", "session_id", "event_type", F.col("ts_ms").alias("timestamp"),
+                         F.col("asof.id").alias("params_id"), F.col("asof.model_id").alias("model_id"),
+                         F.col("asof.context_limit").alias("context_limit"))
+
 
+def _step_log(spark: SparkSession, d: str) -> Callable[[DataFrame], DataFrame]:
     def steps(batch: DataFrame) -> DataFrame:
         s = b.step_events(spark, d, batch).withColumnRenamed("ts_ms", "timestamp")
         return keep_last(s.select(*msg.STEP_COLUMNS, "seq"), ["id"], ["timestamp", "seq"])
+    return steps
 
-    def estimates(batch: DataFrame) -> DataFrame:
-        requests, finished = b.token_events(spark, d, batch)
-        return msg.token_estimate_rows(requests, finished)
 
-    handlers = {"steps": log_sink(paths["steps"], steps), "estimates": log_sink(paths["estimates"], estimates)}
-    run_to_end(_start(raw, base, "router", route(handlers)))
-    return paths
+def _estimate_log(spark: SparkSession, d: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda batch: msg.token_estimate_rows(*b.token_events(spark, d, batch))
 
 
-def stream_step_metrics(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    path = _routed_events(spark, d, max_files_per_trigger)["steps"]
-    log = _read_log(spark, path, STEP_LOG)
-    view = keep_last(log, ["id"], ["timestamp", "seq"]).select(*msg.STEP_COLUMNS)
+def stream_step_metrics(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                        base: str | None = None) -> DataFrame:
+    """T4: the last write of every step over the logged batches."""
+    raw = table_stream(spark, d, "events", max_files_per_trigger)
+    logs = run_logs(raw, base or stream_dir(spark, "steps"), "steps", {"steps": _step_log(spark, d)})
+    view = keep_last(_read_log(spark, logs["steps"], STEP_LOG), ["id"], ["timestamp", "seq"]).select(*msg.STEP_COLUMNS)
     return view.withColumn("cost", F.round("cost", 9))
 
 
-def stream_token_estimates(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    path = _routed_events(spark, d, max_files_per_trigger)["estimates"]
-    log = _read_log(spark, path, ESTIMATE_LOG)
+def stream_token_estimates(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                           base: str | None = None) -> DataFrame:
+    """The router's log of estimates, last write per (message, approach); steps are logged alongside."""
+    raw = table_stream(spark, d, "events", max_files_per_trigger)
+    logs = run_logs(raw, base or stream_dir(spark, "router"), "router",
+                    {"steps": _step_log(spark, d), "estimates": _estimate_log(spark, d)})
+    log = _read_log(spark, logs["estimates"], ESTIMATE_LOG)
     view = keep_last(log.drop("_batch"), ["message_id", "approach"], ["timestamp", "seq"])  # U1 across batches
     return view.select(*msg.ESTIMATE_COLUMNS).withColumn("estimated_cost", F.round("estimated_cost", 9))
 
 
-def stream_system_prompts(spark: SparkSession, d: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    base = stream_dir(spark, "prompts")
+def stream_system_prompts(spark: SparkSession, d: str, max_files_per_trigger: int | None = None,
+                          base: str | None = None) -> DataFrame:
+    """First prompt per (session, content hash); a batch logs each of its prompts once."""
     raw = table_stream(spark, d, "documents", max_files_per_trigger)
-    out = os.path.join(base, "system_prompts")
-    agg = prompt_dedup_stream(b.system_prompt_events(spark, d, raw))
-    q = (agg.writeStream.queryName(f"prompts_{uuid.uuid4().hex[:6]}").outputMode("update")
-         .foreachBatch(log_sink(out, lambda x: x))
-         .option("checkpointLocation", os.path.join(base, "_checkpoint"))
-         .trigger(availableNow=True).start())
-    run_to_end(q)
-    log = _read_log(spark, out, PROMPT_LOG)
-    # every batch re-emits the running minimum of the keys it touched
-    return keep_last(log, ["session_id", "content_hash"], ["_batch"]).select(*msg.PROMPT_COLUMNS)
+    logs = run_logs(raw, base or stream_dir(spark, "prompts"), "prompts",
+                    {"prompts": lambda x: msg.first_prompts(b.system_prompt_events(spark, d, x))})
+    log = _read_log(spark, logs["prompts"], PROMPT_LOG).drop("_batch")
+    return keep_first(log, ["session_id", "content_hash"], ["timestamp", "seq"]).select(*msg.PROMPT_COLUMNS)
 
 
 def _twin(fn, batch_name: str):
