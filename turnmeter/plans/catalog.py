@@ -20,6 +20,7 @@ from ..operators import summary as sm
 from ..operators import tools
 from ..operators.upsert import keep_last, keep_last_of_few, union_evolved
 from ..sources import bindings as b
+from ..sources import hooks
 from ..sources.tables import epoch_ms, read_table
 
 DIGITS = 9
@@ -248,6 +249,16 @@ def benchmark_run_summary(spark: SparkSession, d: str) -> DataFrame:
                          for c in runs.columns])
 
 
+# ---- raw events to tables: S1, S2, J3 into J1, F4, P22 ----------------------
+
+def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        out = hooks.telemetry(b.raw_events(spark, d))[table]
+        return out.select(*[_r(c) if c in ("cost", "estimated_cost", "relevance_ratio") else F.col(c) for c in out.columns])
+    query.__name__ = f"raw_{table}"
+    return query
+
+
 # ---- S9 --------------------------------------------------------------------
 
 def benchmark_task_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -292,6 +303,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "step_metrics_upsert": step_metrics_upsert,
     "context_snapshot": context_snapshot,
     "context_windows": context_windows,
+    "raw_tool_calls": _raw("tool_calls"),
+    "raw_streaming_timing": _raw("streaming_timing"),
+    "raw_token_estimates": _raw("token_estimates"),
+    "raw_retrieval_relevance": _raw("retrieval_relevance"),
     "line_overlap": line_overlap,
     "substring_match": substring_match,
     "relevance_scoring": relevance_scoring,

@@ -272,6 +272,74 @@ WHERE {jstrim('f.response_text')} <> ''
 """
 
 
+# ---- raw events: one CTE for all raw_* queries ------------------------------
+
+RAW = f"""e AS (
+  SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS session_id, event_type AS kind, value,
+         (epoch_us(ts) // 1000) AS ts, CAST(floor(value) AS BIGINT) AS n, {week_msg('user_id', 'ts')} AS message_id,
+         CAST(user_id AS VARCHAR) || '#' || CAST((event_id // 2) % 3 AS VARCHAR) AS call_id,
+         CASE WHEN event_type = 'signup' THEN {model_for('CAST(floor(value) AS BIGINT)')} END AS asked
+  FROM events),
+t AS (SELECT *, coalesce(last_value(asked IGNORE NULLS) OVER (
+        PARTITION BY session_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS model FROM e),
+s AS (SELECT * FROM (SELECT *, CASE WHEN n % 2 = 0 THEN 'read' ELSE 'grep' END AS tool, '{{"level":"' || n || '"}}' AS input_json,
+        row_number() OVER (PARTITION BY call_id ORDER BY ts DESC, seq DESC) AS rn
+        FROM t WHERE kind = 'click' AND seq % 2 = 0) WHERE rn = 1),
+a AS (SELECT t.*, 'reply ' || repeat('to ', CAST(t.n % 9 AS INTEGER)) || t.seq AS output,
+        row_number() OVER (PARTITION BY t.call_id ORDER BY t.ts DESC, t.seq DESC) AS rn
+      FROM t JOIN s ON t.call_id = s.call_id AND (t.ts > s.ts OR (t.ts = s.ts AND t.seq > s.seq))
+      WHERE t.kind = 'view' AND t.seq % 2 = 0),
+calls AS (
+  SELECT s.call_id AS id, s.session_id, s.message_id, s.tool, s.ts AS timestamp_start, a.ts AS timestamp_end,
+         a.ts - s.ts AS duration_ms,
+         CASE WHEN a.ts IS NULL THEN 'pending' WHEN a.n % 11 = 0 THEN 'error' ELSE 'completed' END AS status,
+         s.input_json, CAST(strlen(s.input_json) AS BIGINT) AS input_size_bytes,
+         {tokens('s.input_json', 's.model')} AS input_estimated_tokens, a.output AS output_text, false AS output_compressed,
+         CAST(strlen(a.output) AS BIGINT) AS output_size_bytes,
+         CASE WHEN a.ts IS NOT NULL THEN {tokens('a.output', 'a.model')} END AS output_estimated_tokens,
+         NULL::VARCHAR AS title, coalesce(a.n % 7 = 0, false) AS truncated,
+         CASE WHEN a.n % 11 = 0 THEN 'exit 1' END AS error_text,
+         CASE WHEN a.ts IS NOT NULL THEN {tokens('a.output', 'a.model')} END AS next_turn_token_impact
+  FROM s LEFT JOIN a ON a.call_id = s.call_id AND a.rn = 1),
+done AS (
+  SELECT message_id, session_id, ts, seq, n, value, {model_for('n')} AS model_id,
+         'reply ' || seq || chr(10) || chr(10) || 'to to' AS response_text
+  FROM e WHERE kind = 'error' AND seq % 5 <> 0 AND seq % 3 = 1)"""
+
+RAW_TIMING = (TIMING.replace("WHERE event_type <> 'error'",
+                             "WHERE event_type = 'purchase' OR (event_type IN ('click', 'view') AND seq % 2 = 1)")
+              .replace("c.event_type = 'error'", "c.event_type = 'error' AND c.seq % 5 <> 0 AND c.seq % 3 = 1"))
+
+RAW_ESTIMATES = f"""
+WITH {RAW},
+w AS (
+  SELECT CAST(seq AS VARCHAR) AS message_id, session_id, 'char-ratio' AS approach, asked AS model_id, 0 AS input_tokens,
+         0 AS output_tokens, 0 AS cache_read_tokens, 0 AS cache_write_tokens, 0 AS total_tokens, 0.0 AS estimated_cost,
+         ts AS timestamp, seq FROM e WHERE kind = 'signup'
+  UNION ALL
+  SELECT message_id, session_id, 'opencode', model_id, n * 100, n * 10, n * 50, n * 5, n * 166, round(value / 100, {D}), ts, seq
+  FROM done)
+SELECT * EXCLUDE (seq, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY message_id, approach ORDER BY timestamp DESC, seq DESC) AS rn FROM w)
+WHERE rn = 1"""
+
+
+def raw_relevance_sql() -> str:
+    lo = _line_overlap_cols("c.output_text", "f.response_text", "f.model_id")
+    sb = _substring_cols("c.output_text", "f.response_text", "f.model_id")
+
+    def pick(col: str) -> str:
+        return f"(CASE WHEN c.tool = 'read' THEN {lo[col]} ELSE {sb[col]} END)"
+    return f"""
+WITH {RAW}
+SELECT f.session_id, f.message_id, c.id AS tool_call_id, c.tool, c.output_estimated_tokens AS fetched_tokens,
+       CAST(len({to_lines('c.output_text')}) AS BIGINT) AS fetched_lines, {pick('referenced_tokens')} AS referenced_tokens,
+       {pick('referenced_lines')} AS referenced_lines, round({pick('relevance_ratio')}, {D}) AS relevance_ratio,
+       CASE WHEN c.tool = 'read' THEN 'line-overlap' ELSE 'substring-match' END AS scoring_method, f.ts AS timestamp
+FROM done f JOIN calls c ON c.message_id = f.message_id
+WHERE c.status = 'completed' AND c.output_text <> ''"""
+
+
 # ---- per-query SQL ---------------------------------------------------------
 
 def _sql() -> dict[str, str]:
@@ -467,6 +535,11 @@ SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS session_id,
        round(conv_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS conversation_token_pct
 FROM agg"""
 
+    s["raw_tool_calls"] = f"WITH {RAW} SELECT * FROM calls"
+    s["raw_streaming_timing"] = RAW_TIMING
+    s["raw_token_estimates"] = RAW_ESTIMATES
+    s["raw_retrieval_relevance"] = raw_relevance_sql()
+
     s["context_windows"] = f"""
 WITH c AS (SELECT *, CAST(conv_id AS VARCHAR) AS session_id, {model_for('conv_id')} AS model_id FROM conversations),
 p AS (SELECT session_id, turn, session_id || ':' || turn AS id, model_id, strlen(text) + 100 AS lim

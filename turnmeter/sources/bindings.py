@@ -147,6 +147,49 @@ def step_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> Da
         (F.col("value") / 1000).alias("cost"), *[c.alias(n) for n, c in toks.items()])
 
 
+def raw_events(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as raw nested events (``sources.hooks``), every row one event.
+
+    signup = chat.params; click and view = tool hooks on even ids (three calls a user, named
+    like the user's message), pending tool and text parts on odd ones; purchase = step-finish;
+    error = message.updated, by the user on ids divisible by 5, unfinished on ids divisible by 3.
+    """
+    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    e = e.select("event_id", _s("user_id").alias("session_id"), "event_type", "value", epoch_ms("ts").alias("ts_ms"),
+                 F.floor("value").alias("level"), _s("event_id").alias("id"))
+    even, kind = F.col("event_id") % 2 == 0, F.col("event_type")
+    call = F.concat(F.col("session_id"), F.lit("#"), (F.floor(F.col("event_id") / 2) % 3).cast("string"))
+    n = F.col("level").cast("bigint")
+    tokens = F.struct((n * 100).alias("input"), (n * 10).alias("output"), n.alias("reasoning"), (n * 50).alias("cache_read"),
+                      (n * 5).alias("cache_write"))
+    none = F.lit(None)
+    return e.select(
+        F.when(kind == "signup", F.lit("chat.params"))
+        .when((kind == "click") & even, F.lit("tool.execute.before"))
+        .when((kind == "view") & even, F.lit("tool.execute.after"))
+        .when(kind == "error", F.lit("message.updated")).otherwise(F.lit("message.part.updated")).alias("kind"),
+        "session_id", "ts_ms", F.col("event_id").alias("seq"),
+        F.struct(F.col("id").alias("message_id"), model_for("level").alias("model_id"),
+                 ((n + 1) * 1000).alias("context_limit")).alias("chat_params"),
+        F.struct(call.alias("call_id"), message_of().alias("message_id"),
+                 F.when(n % 2 == 0, F.lit("read")).otherwise(F.lit("grep")).alias("tool"),
+                 F.create_map(F.lit("level"), _s("level")).alias("args")).alias("tool_before"),
+        F.struct(call.alias("call_id"), F.concat(F.lit("reply "), F.repeat(F.lit("to "), (n % 9).cast("int")), "id").alias("output"),
+                 none.cast("string").alias("title"), F.create_map(F.lit("truncated"), n % 7 == 0).alias("metadata"),
+                 F.when(n % 11 == 0, F.lit("exit 1")).alias("error")).alias("tool_after"),
+        F.struct(message_of().alias("message_id"),
+                 F.when(kind == "view", F.lit("text")).when(kind == "click", F.lit("tool")).otherwise(F.lit("step-finish"))
+                 .alias("type"), F.when(kind == "click", F.lit("pending")).alias("status"), F.col("id").alias("step_id"),
+                 F.lit("stop").alias("reason"), (F.col("value") / 1000).alias("cost"), tokens.alias("tokens")).alias("part"),
+        F.struct(message_of().alias("message_id"),
+                 F.when(F.col("event_id") % 5 == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+                 F.when(F.col("event_id") % 3 == 0, F.lit("")).when(F.col("event_id") % 3 == 1, F.lit("stop")).alias("finish"),
+                 model_for("level").alias("model_id"), (F.col("value") / 100).alias("cost"), tokens.alias("tokens"),
+                 F.array(*[F.struct(F.lit(t).alias("type"), x.alias("text")) for t, x in
+                           (("text", F.concat(F.lit("reply "), "id")), ("tool", F.lit("no")), ("text", none.cast("string")),
+                            ("text", F.lit("to to")))]).alias("parts")).alias("message"))
+
+
 # ---- orders / lineitem: sessions = customers, messages = orders ------------
 
 def lineitem_rows(spark: SparkSession, d: str) -> DataFrame:
