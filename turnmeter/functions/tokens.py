@@ -194,3 +194,22 @@ def tokenizer_udf(load: Callable[[], dict[str, Callable[[str], int]]]):
             yield pd.Series(out, dtype="Int64")
 
     return _count
+
+
+def with_token_counts(df, text, model, load: Callable[[], dict[str, Callable[[str], int]]]):
+    """Token counts with tokenizers by family where there are any.
+
+    Adds token_count, token_method and token_warning. ``load`` is that of
+    :func:`tokenizer_udf`; texts that their family's tokenizer cannot count, and
+    families without one, are counted by bytes and say so.
+    """
+    t, m = _c(text), _c(model)
+    family = model_family(m)
+    counted = df.withColumn("_exact", tokenizer_udf(load)(t, family))
+    own, empty = F.col("_exact").isNotNull(), t.isNull() | (t == "")
+    method = (F.when(empty | (own & (family == "openai")), F.lit("exact")).when(own, F.lit("near-exact"))
+              .otherwise(F.lit("heuristic")))
+    warning = F.when(empty, F.lit(None)).when(own & claude_47_plus(m), F.lit(CLAUDE_47_WARNING)).when(
+        family == "glm", F.lit(GLM_WARNING))
+    return (counted.withColumns({"token_count": F.coalesce("_exact", estimate_tokens(t, m)), "token_method": method,
+                                 "token_warning": warning}).drop("_exact"))

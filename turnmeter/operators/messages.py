@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import tokens as tk
 from .tools import latest_params_asof
-from .upsert import keep_first, keep_last
+from .upsert import first_when, keep_first, keep_last
 
 TIMING_COLUMNS = ["message_id", "session_id", "request_sent", "first_part_received",
                   "first_text_received", "first_tool_call", "message_completed",
@@ -37,7 +37,7 @@ def streaming_timing(parts: DataFrame, completions: DataFrame) -> DataFrame:
     seeds = (parts.groupBy("message_id")
              .agg(F.min(F.struct("ts_ms", "seq", "session_id")).alias("_seed"),
                   F.min(text_first).alias("_ft"),
-                  F.min(F.when(tool_first, F.col("ts_ms"))).alias("first_tool_call")))
+                  first_when(tool_first, F.col("ts_ms")).alias("first_tool_call")))
 
     anchors = seeds.select("message_id", F.col("_seed.ts_ms").alias("_s_ts"),
                            F.col("_seed.seq").alias("_s_seq"))

@@ -8,6 +8,7 @@ columns of the reference (``Date.now()`` stamps) are left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ from ..operators import tools
 from ..operators.upsert import keep_last, keep_last_of_few, union_evolved
 from ..sources import bindings as b
 from ..sources import hooks
-from ..sources.tables import epoch_ms, read_table
+from ..session import checkpoint_dir
+from ..sources.tables import append, epoch_ms, read_table
 
 DIGITS = 9
 
@@ -42,6 +44,21 @@ def token_count_heuristic(spark: SparkSession, d: str) -> DataFrame:
                        tk.token_warning(t, m).alias("warning"))
 
 
+def _word_tokenizers() -> dict[str, Callable[[str], int]]:
+    """Tokenizers of our own for the query below: words between ASCII blanks; one that gives up on long texts."""
+    def short_only(text: str) -> int:
+        if len(text) > 1000:
+            raise ValueError("too long")
+        return len(text.encode().split())
+    return {"openai": lambda t: len(t.encode().split()), "claude": lambda t: len(t.encode().split()), "deepseek": short_only}
+
+
+def token_count_by_tokenizer(spark: SparkSession, d: str) -> DataFrame:
+    docs = b.documents(spark, d).select("doc_id", "text", b.model_for("doc_id").alias("model_id"))
+    return tk.with_token_counts(docs, "text", "model_id", _word_tokenizers).select(
+        "doc_id", "model_id", "token_count", "token_method", "token_warning")
+
+
 def cost_estimate(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                            "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
@@ -97,6 +114,22 @@ def tool_latency_total(spark: SparkSession, d: str) -> DataFrame:
     return tools.tool_latency_total(b.tool_hook_events(spark, d))
 
 
+# ---- S6, S10: append-only phases with metadata --------------------------------
+
+def latency_phases(spark: SparkSession, d: str) -> DataFrame:
+    """Totals and free-form phases appended to one table, read back whole."""
+    path = f"{checkpoint_dir(spark)}/tables/latency-{uuid.uuid4().hex[:12]}"
+    append(tool_latency_total(spark, d), path)
+    append(tools.latency_phases(b.phase_rows(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+# ---- S7: field updates --------------------------------------------------------
+
+def timing_updates(spark: SparkSession, d: str) -> DataFrame:
+    return msg.timing_from_updates(*b.timing_updates(spark, d))
+
+
 # ---- J3, W2, O1 ------------------------------------------------------------
 
 def latest_model_asof(spark: SparkSession, d: str) -> DataFrame:
@@ -288,12 +321,15 @@ def schema_evolution_union(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_count_heuristic": token_count_heuristic,
+    "token_count_by_tokenizer": token_count_by_tokenizer,
     "cost_estimate": cost_estimate,
     "system_prompt_dedup": system_prompt_dedup,
     "large_output_flag": large_output_flag,
     "tool_calls_upsert": tool_calls_upsert,
     "tool_call_pairing": tool_call_pairing,
     "tool_latency_total": tool_latency_total,
+    "latency_phases": latency_phases,
+    "timing_updates": timing_updates,
     "latest_model_asof": latest_model_asof,
     "chat_params_upsert": chat_params_upsert,
     "cost_share": cost_share,

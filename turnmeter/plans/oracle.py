@@ -535,6 +535,48 @@ SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS session_id,
        round(conv_tok / CASE WHEN tool_tok + conv_tok = 0 THEN 1 ELSE tool_tok + conv_tok END, {D}) AS conversation_token_pct
 FROM agg"""
 
+    words = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
+    s["token_count_by_tokenizer"] = f"""
+WITH d AS (SELECT doc_id, text, {model_for('doc_id')} AS model_id FROM documents),
+f AS (SELECT *, {family('model_id')} AS family FROM d),
+x AS (SELECT *, CASE WHEN family IN ('openai', 'claude') OR (family = 'deepseek' AND length(text) <= 1000)
+                     THEN {words} END AS own FROM f)
+SELECT doc_id, model_id, CAST(coalesce(own, {tokens('text', 'model_id')}) AS BIGINT) AS token_count,
+       CASE WHEN coalesce(text, '') = '' OR (own IS NOT NULL AND family = 'openai') THEN 'exact'
+            WHEN own IS NOT NULL THEN 'near-exact' ELSE 'heuristic' END AS token_method,
+       CASE WHEN coalesce(text, '') = '' THEN NULL
+            WHEN own IS NOT NULL AND regexp_matches(model_id, '(?i)claude.*4[.]([7-9]|[1-9][0-9])') THEN {q(tk.CLAUDE_47_WARNING)}
+            WHEN family = 'glm' THEN {q(tk.GLM_WARNING)} END AS token_warning
+FROM x"""
+
+    s["latency_phases"] = f"""
+SELECT * FROM ({LATENCY})
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR), 'lineitem', 'phase-' || l_returnflag, CAST(floor(l_quantity) AS BIGINT),
+       CASE WHEN l_quantity >= 10 THEN '{{"state":"' || l_linestatus || '"}}' END, {ms('l_shipdate')}
+FROM lineitem"""
+
+    first = "min(struct_pack(ts := u.ts, seq := u.seq)) FILTER (u.event_type = '{}')"
+    s["timing_updates"] = f"""
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS session_id, {week_msg('user_id', 'ts')} AS message_id, event_type,
+         (epoch_us(ts) // 1000) AS ts, event_id AS seq FROM events),
+seed AS (
+  SELECT message_id, session_id, ts, seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ts, seq) AS rn FROM ev WHERE event_type = 'signup')
+  WHERE rn = 1),
+u AS (
+  SELECT s.message_id, {first.format('click')} AS p, {first.format('view')} AS x, {first.format('purchase')} AS t,
+         {first.format('error')} AS d,
+         max(struct_pack(ts := u.ts, seq := u.seq)) FILTER (u.event_type = 'error') AS l
+  FROM seed s JOIN ev u ON u.message_id = s.message_id AND u.event_type <> 'signup'
+                       AND (u.ts > s.ts OR (u.ts = s.ts AND u.seq >= s.seq)) GROUP BY s.message_id)
+SELECT s.message_id, s.session_id, s.ts AS request_sent, u.p.ts AS first_part_received, u.x.ts AS first_text_received,
+       u.t.ts AS first_tool_call, u.d.ts AS message_completed,
+       CASE WHEN u.x < u.l THEN u.x.ts - s.ts END AS time_to_first_token_ms,
+       CASE WHEN u.p < u.l THEN u.d.ts - u.p.ts END AS total_streaming_ms
+FROM seed s LEFT JOIN u USING (message_id)"""
+
     s["raw_tool_calls"] = f"WITH {RAW} SELECT * FROM calls"
     s["raw_streaming_timing"] = RAW_TIMING
     s["raw_token_estimates"] = RAW_ESTIMATES

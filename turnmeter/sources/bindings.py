@@ -72,6 +72,27 @@ def tool_hook_events(spark: SparkSession, d: str, raw: DataFrame | None = None)
                     "ts_ms", "seq")
 
 
+def phase_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Every lineitem as a latency phase of its order's call: phase = return flag, metadata = line status
+    (none for small items)."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus"])
+    return li.select(_s("l_orderkey").alias("tool_call_id"), F.lit("lineitem").alias("session_id"),
+                     F.concat(F.lit("phase-"), "l_returnflag").alias("phase"),
+                     F.floor("l_quantity").alias("duration_ms"),
+                     F.when(F.col("l_quantity") >= 10, F.struct(F.col("l_linestatus").alias("state"))).alias("metadata"),
+                     epoch_ms("l_shipdate").alias("timestamp"))
+
+
+def timing_updates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(starts, updates): signup starts the (user, week) message's row, other events set one field each."""
+    e = events(spark, d).withColumn("message_id", message_of())
+    starts = e.where(F.col("event_type") == "signup").select("message_id", "session_id", "ts_ms", "seq")
+    field = (F.when(F.col("event_type") == "click", F.lit("first_part_received"))
+             .when(F.col("event_type") == "view", F.lit("first_text_received"))
+             .when(F.col("event_type") == "purchase", F.lit("first_tool_call")).otherwise(F.lit("message_completed")))
+    return starts, e.where(F.col("event_type") != "signup").select("message_id", field.alias("field"), "ts_ms", "seq")
+
+
 def _value_tokens(v: Column) -> dict[str, Column]:
     return {"tokens_input": F.floor(v * 100), "tokens_output": F.floor(v * 10),
             "tokens_reasoning": F.floor(v), "tokens_cache_read": F.floor(v * 50),
