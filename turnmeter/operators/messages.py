@@ -39,18 +39,15 @@ def streaming_timing(parts: DataFrame, completions: DataFrame) -> DataFrame:
                   F.min(text_first).alias("_ft"),
                   first_when(tool_first, F.col("ts_ms")).alias("first_tool_call")))
 
-    anchors = seeds.select("message_id", F.col("_seed.ts_ms").alias("_s_ts"),
-                           F.col("_seed.seq").alias("_s_seq"))
-    after_seed = (F.col("ts_ms") > F.col("_s_ts")) | \
-        ((F.col("ts_ms") == F.col("_s_ts")) & (F.col("seq") > F.col("_s_seq")))
-    done = (completions.select("message_id", "ts_ms", "seq")
-            .join(anchors, "message_id")
-            .where(after_seed)
-            .groupBy("message_id")
-            .agg(F.min("ts_ms").alias("message_completed"),
-                 F.max(F.struct("ts_ms", "seq")).alias("_last_done")))
-
-    j = seeds.join(done, "message_id", "left")
+    # seeds keep all their columns through the join, so that parts are read and aggregated once
+    after_seed = (F.col("c_ms") > F.col("_seed.ts_ms")) | (
+        (F.col("c_ms") == F.col("_seed.ts_ms")) & (F.col("c_seq") > F.col("_seed.seq")))
+    done = completions.select(F.col("message_id").alias("c_message"), F.col("ts_ms").alias("c_ms"),
+                              F.col("seq").alias("c_seq"))
+    j = (seeds.join(done, (F.col("message_id") == F.col("c_message")) & after_seed, "left")
+         .groupBy("message_id", "_seed", "_ft", "first_tool_call")
+         .agg(F.min("c_ms").alias("message_completed"),
+              F.max(F.struct(F.col("c_ms").alias("ts_ms"), F.col("c_seq").alias("seq"))).alias("_last_done")))
     seed_ts = F.col("_seed.ts_ms")
     ft_before_last = (F.col("_ft.ts_ms") < F.col("_last_done.ts_ms")) | (
         (F.col("_ft.ts_ms") == F.col("_last_done.ts_ms")) & (F.col("_ft.seq") < F.col("_last_done.seq")))
