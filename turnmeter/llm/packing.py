@@ -20,6 +20,7 @@ partition gives no sequences. Only the two named columns are read.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,13 +164,12 @@ def encoder(vocabulary: str, end_id: int):
     from tokenizers import Tokenizer
 
     bpe, model = word_bpe.load(vocabulary), Tokenizer.from_file(vocabulary).model
-    table = word_bpe.byte_symbols()
 
-    def as_bytes(ids) -> bytes:
-        return np.fromiter(ids, "<u4").tobytes()
+    def as_bytes(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     # the library's own model, once per distinct word; merges never cross words
-    of_word = word_bpe.Cache(lambda w: as_bytes(t.id for t in model.tokenize("".join(table[b] for b in w.encode()))))
+    of_word = word_bpe.Cache(lambda w: as_bytes([t.id for t in model.tokenize(word_bpe.byte_level(w))]))
     special = {s: as_bytes([i]) for s, i in bpe.special.items()}
     end = as_bytes([end_id])
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 
 import regex
@@ -18,6 +19,12 @@ import regex
 CACHE_WORDS = 400_000
 
 
+#: Texts of these characters only are in normal form, and each character's kind is plain: lower-cased letters
+#: are those of ``_LETTERS``, digits 0-9, blanks those of ASCII. A faster pattern does for them.
+_SIMPLE = re.compile("[\x00-\x7f\u00ab\u00bb\u00c0-\u012f\u0131-\u017f\u2010-\u2027\u20ac]*").fullmatch
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+
+
 class Cache(dict):
     """``make(word)``, remembered; forgets everything when it is full, so its memory is bounded."""
 
@@ -40,6 +47,13 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
 
+def byte_level(word: str) -> str:
+    """A word's UTF-8 bytes in the byte-level alphabet."""
+    if word.isascii() and word.isprintable():
+        return word  # words hold no blanks
+    return "".join([byte_symbols()[b] for b in word.encode()])
+
+
 class WordBpe:
     """What the vocabulary file says: words of a text, merge ranks, special strings."""
 
@@ -52,7 +66,11 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self._words = regex.compile(split["pattern"]["Regex"]).findall
+        pattern = split["pattern"]["Regex"]
+        self._words = regex.compile(pattern).findall
+        for general, simple in (("\\s", " \\t\\n\\r\\x0b\\x0c"), ("\\p{L}", _LETTERS), ("\\p{N}", "0-9")):
+            pattern = pattern.replace(general, simple)
+        self._simple_words = re.compile(pattern).findall
         self._plain: set[str] = set()
         self._path, self._library = path, None
 
@@ -62,7 +80,9 @@ class WordBpe:
 
     def words(self, text: str) -> list[str]:
         """Words of ordinary text, normalised."""
-        if not text.isascii() and not self._usual(text):
+        if _SIMPLE(text):
+            return self._simple_words(text.lower())
+        if not self._usual(text):
             return self._library_words(text)
         text = unicodedata.normalize("NFC", text)
         # str.lower() treats a final capital sigma by its context; the vocabulary's rule does not
@@ -85,8 +105,7 @@ class WordBpe:
 
     def symbols(self, word: str) -> list[str]:
         """The symbols that merging starts from: bytes, the last one marked as the word's end."""
-        table = byte_symbols()
-        out = [table[b] for b in word.encode()]
+        out = list(byte_level(word))
         out[-1] += self.suffix
         return out
 
