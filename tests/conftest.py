@@ -14,9 +14,3 @@ def spark(tmp_path_factory):
                                             "spark.sql.shuffle.partitions": "4"})
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns."""
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple(map(str, t)))

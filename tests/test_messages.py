@@ -6,7 +6,7 @@ import random
 import pytest
 
 from turnmeter.operators import messages as msg
-from conftest import rows
+from helpers import rows
 
 PARTS = "message_id string, session_id string, ts_ms long, seq long, part_type string, tool_status string"
 DONE = "message_id string, ts_ms long, seq long"

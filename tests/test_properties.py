@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from turnmeter.operators import sequence, tools
 from turnmeter.plans import catalog
-from conftest import rows
+from helpers import rows
 
 SF = "/root/testdata/sf0.001"
 

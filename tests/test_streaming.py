@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from turnmeter.plans import catalog
 from turnmeter.streaming import twins
-from conftest import rows
+from helpers import rows
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from turnmeter.operators import tools
-from conftest import rows
+from helpers import rows
 
 START = ("call_id string, ts_ms long, seq long, session_id string, message_id string, tool string, "
          "model_id string, input_json string")

@@ -3,7 +3,7 @@
 from turnmeter.operators.upsert import first_when, keep_first, keep_last, union_evolved
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 
 
 def test_keep_last(spark):
