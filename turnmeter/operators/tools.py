@@ -223,8 +223,9 @@ def cost_shares_asof(starts: DataFrame, ends: DataFrame, steps: DataFrame, max_r
                  .groupBy("call_id", "message_id", "cost", F.col("_next").isNull().alias("final"))
                  .agg(F.max(F.struct("e_ms", "e_seq", "bytes"))["bytes"].alias("bytes")))
     totals = completed.groupBy("message_id").agg(F.sum("bytes").alias("_tb"), F.count(F.lit(1)).alias("_n"))
-    shares = (completed.where("final").join(totals, "message_id")
-              .select("call_id", "message_id", F.when(F.col("_tb") == 0, F.col("cost") / F.col("_n"))
-                      .otherwise((F.col("bytes") / F.col("_tb")) * F.col("cost")).alias("cost_share")))
+    # no filter on "final" here: both uses of the completed calls then read the same shuffles
+    share = F.when(F.col("_tb") == 0, F.col("cost") / F.col("_n")).otherwise((F.col("bytes") / F.col("_tb")) * F.col("cost"))
+    shares = (completed.join(totals, "message_id")
+              .select("call_id", "message_id", F.when(F.col("final"), share).alias("cost_share")))
     return (s.where(F.col("_next").isNull()).select("call_id", "message_id")
             .join(shares, ["call_id", "message_id"], "left").select("call_id", "message_id", "cost_share"))
