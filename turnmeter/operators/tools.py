@@ -170,10 +170,10 @@ def cost_shares(calls: DataFrame, steps: DataFrame) -> DataFrame:
                            ["message_id"], ["ts_ms", "seq"])
                  .select("message_id", F.col("cost").alias("_cost")))
     done = F.col("status") == "completed"
-    totals = (calls.where(done)
-              .groupBy("message_id")
-              .agg(F.sum(F.coalesce(F.col("output_size_bytes"), F.lit(0))).alias("_total_bytes"),
-                   F.count(F.lit(1)).alias("_n")))
+    # conditional sums, not a filter: both uses of the calls can then read the same shuffle
+    totals = calls.groupBy("message_id").agg(
+        F.coalesce(F.sum(F.when(done, F.coalesce(F.col("output_size_bytes"), F.lit(0)))), F.lit(0)).alias("_total_bytes"),
+        F.count_if(done).alias("_n"))
     j = calls.join(totals, "message_id", "left").join(last_step, "message_id", "left")
     bytes_ = F.coalesce(F.col("output_size_bytes"), F.lit(0))
     share = F.when(F.col("_total_bytes") == 0, F.col("_cost") / F.col("_n")) \
