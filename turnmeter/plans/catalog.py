@@ -19,7 +19,7 @@ from ..operators import messages as msg
 from ..operators import relevance as rel
 from ..operators import summary as sm
 from ..operators import tools
-from ..operators.upsert import keep_last, keep_last_of_few, read_evolved
+from ..operators.upsert import keep_last, keep_last_of_few, read_evolved, union_evolved
 from ..sources import bindings as b
 from ..sources import hooks
 from ..session import checkpoint_dir
@@ -307,20 +307,28 @@ def benchmark_task_upsert(spark: SparkSession, d: str) -> DataFrame:
 SCHEMA_CUTOVER = "1995-01-01"
 
 
-def schema_evolution_union(spark: SparkSession, d: str) -> DataFrame:
+def _orders_by_version(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Orders as two schema versions: the older one has no priority."""
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                         "o_orderdate", "o_orderpriority"])
     o = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                  epoch_ms("o_orderdate").alias("order_ms"), "o_orderpriority", "o_orderdate")
     cut = F.lit(SCHEMA_CUTOVER).cast("timestamp_ntz")
     new = F.coalesce(F.col("o_orderdate") >= cut, F.lit(False))  # an undated order counts as old
-    v1 = o.where(~new).drop("o_orderpriority", "o_orderdate")
-    v2 = o.where(new).drop("o_orderdate")
-    # two writers, one of each schema version; the folder of the table is read as one
+    return [o.where(~new).drop("o_orderpriority", "o_orderdate"), o.where(new).drop("o_orderdate")]
+
+
+def schema_evolution_union(spark: SparkSession, d: str) -> DataFrame:
+    return union_evolved(_orders_by_version(spark, d))
+
+
+def schema_evolution_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same table from files: each version written by itself, the folders read as one."""
     path = f"{checkpoint_dir(spark)}/tables/orders-{uuid.uuid4().hex[:12]}"
-    for version, rows in enumerate((v1, v2), 1):
-        rows.write.parquet(f"{path}/v{version}")
-    return read_evolved(spark, [f"{path}/v1", f"{path}/v2"]).select(*v2.columns)
+    versions = _orders_by_version(spark, d)
+    for i, rows in enumerate(versions, 1):
+        rows.write.parquet(f"{path}/v{i}")
+    return read_evolved(spark, [f"{path}/v1", f"{path}/v2"]).select(*versions[1].columns)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -359,4 +367,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "benchmark_run_summary": benchmark_run_summary,
     "benchmark_task_upsert": benchmark_task_upsert,
     "schema_evolution_union": schema_evolution_union,
+    "schema_evolution_files": schema_evolution_files,
 }

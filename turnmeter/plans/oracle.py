@@ -686,6 +686,7 @@ SELECT id, description, expected_output_hint, created_at FROM (
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, (epoch_us(o_orderdate) // 1000) AS order_ms,
        CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderpriority END AS o_orderpriority
 FROM orders"""
+    s["schema_evolution_files"] = s["schema_evolution_union"]
     return s
 
 
