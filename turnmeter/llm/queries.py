@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding, simhash, token_count
+from . import (decontam, html_text, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding, simhash,
+               token_count)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -188,6 +189,12 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN t1 USING (k) LEFT JOIN t2 USING (k)"""
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", html_text.main_text("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_passages": op2_passages,
@@ -199,6 +206,7 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op13_html_text": op13_html_text,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
