@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, html_text, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding, simhash,
-               token_count)
+from . import (decontam, divergence, html_text, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding,
+               simhash, token_count)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -189,6 +189,39 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN t1 USING (k) LEFT JOIN t2 USING (k)"""
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language stand apart, and the terms by which each exceeds its language."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT k, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source, coalesce(v, 0) AS v FROM d LEFT JOIN v USING (lang)),
+n AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL),
+cell AS (SELECT g.lang, g.source, kept.term, coalesce(c, 0) AS c,
+        1 + (1000000000::HUGEINT * (coalesce(c, 0) + 2)) // (coalesce(n, 0) + 2 * g.v) AS p
+      FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 2)) // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q
+      FROM c JOIN v USING (lang) GROUP BY lang, term),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS f
+        FROM cell x JOIN cell y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+      ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+      FROM cell JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+      FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", html_text.main_text("html").alias("text"))
@@ -206,6 +239,7 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_divergence": op11_divergence,
     "op13_html_text": op13_html_text,
 }
 
@@ -213,4 +247,5 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
     "op9_decontamination": OP9_SQL,
     "op10_secrets": OP10_SQL,
+    "op11_divergence": OP11_SQL,
 }
