@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, divergence, html_text, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets, sharding,
-               simhash, token_count)
+from . import (alignment, decontam, divergence, html_text, lm_score, packing, passages, quality_ftrl, rule_cascade, secrets,
+               sharding, simhash, token_count)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -222,6 +222,12 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two tokenizers, aligned, and how its links stand in the corpus."""
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", html_text.main_text("html").alias("text"))
@@ -240,6 +246,7 @@ LLM_QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
     "op11_divergence": op11_divergence,
+    "op12_alignment": op12_alignment,
     "op13_html_text": op13_html_text,
 }
 
