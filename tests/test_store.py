@@ -90,6 +90,16 @@ def test_a_rule_may_take_rows_away(spark, tmp_path):
     assert table.read().collect() == []
 
 
+def test_insert_adds_absent_keys_and_rewrites_nothing(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, ["k"], 4)
+    table.insert(spark.createDataFrame([("a", 1, 1, "x"), (None, 1, 2, "x")], SCHEMA), 0, "w")
+    first = table.version().folders
+    again = spark.createDataFrame([("a", 0, 0, "y"), ("b", 2, 2, "y"), (None, 0, 0, "y")], SCHEMA)
+    assert table.insert(again, 1, "w") and not table.insert(again, 1, "w")
+    assert rows(table.read()) == [(None, 1, 2, "x"), ("a", 1, 1, "x"), ("b", 2, 2, "y")]
+    assert all(table.version().folders[b][:len(f)] == f for b, f in first.items())
+
+
 def test_append_once_and_compact(spark, tmp_path):
     table = AppendTable(spark, str(tmp_path / "log"), "v long")
     for i in (0, 1, 1, 0, 2):  # replays among them

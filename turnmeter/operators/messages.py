@@ -66,6 +66,51 @@ def streaming_timing(parts: DataFrame, completions: DataFrame) -> DataFrame:
     )
 
 
+#: What a stored timing row keeps: enough to take in further events, and to derive ``TIMING_COLUMNS``.
+TIMING_STATE = ("message_id string, seed struct<ts_ms:bigint,seq:bigint,session_id:string>, "
+                "first_text struct<ts_ms:bigint,seq:bigint>, first_tool_call bigint, "
+                "first_done struct<ts_ms:bigint,seq:bigint>, last_done struct<ts_ms:bigint,seq:bigint>")
+
+
+def merge_timing(old: DataFrame, events: DataFrame) -> DataFrame:
+    """Timing states of ``old``, brought up to date with a batch of events.
+
+    ``old``: rows of ``TIMING_STATE``; ``events``: message_id, session_id,
+    ts_ms, seq, part_type, tool_status, done -- part events, and completions
+    (``done`` true). Firsts are minima and the last completion a maximum, so
+    events of a batch are aggregated before they meet the stored rows, and the
+    order of batches does not matter, with one exception, which is the
+    reference's own rule: a completion that comes in when its message has no
+    earlier part is lost, also if such a part follows in a later batch.
+    """
+    at = F.struct("ts_ms", "seq")
+    part = ~F.col("done")
+    fresh = events.where(part).groupBy("message_id").agg(
+        F.min(F.struct("ts_ms", "seq", "session_id")).alias("seed"),
+        F.min(F.when(F.col("part_type") == "text", at)).alias("first_text"),
+        first_when((F.col("part_type") == "tool") & (F.col("tool_status") == "pending"), F.col("ts_ms")).alias("first_tool_call"))
+    seeds = old.unionByName(fresh, allowMissingColumns=True).groupBy("message_id").agg(
+        F.min("seed").alias("seed"), F.min("first_text").alias("first_text"), F.min("first_tool_call").alias("first_tool_call"),
+        F.min("first_done").alias("first_done"), F.max("last_done").alias("last_done"))
+    done = (events.where("done").join(seeds.select("message_id", "seed"), "message_id")
+            .where(at > F.struct("seed.ts_ms", "seed.seq"))
+            .groupBy("message_id").agg(F.min(at).alias("_first"), F.max(at).alias("_last")))
+    return seeds.join(done, "message_id", "left").select(
+        "message_id", "seed", "first_text", "first_tool_call", F.least("first_done", "_first").alias("first_done"),
+        F.greatest("last_done", "_last").alias("last_done"))
+
+
+def timing_of_states(states: DataFrame) -> DataFrame:
+    """``streaming_timing`` rows of stored states: as :func:`streaming_timing` gives them."""
+    sent, done = F.col("seed.ts_ms"), F.col("first_done").isNotNull()
+    return states.select(
+        "message_id", F.col("seed.session_id").alias("session_id"), sent.alias("request_sent"),
+        sent.alias("first_part_received"), F.col("first_text.ts_ms").alias("first_text_received"), "first_tool_call",
+        F.col("first_done.ts_ms").alias("message_completed"),
+        F.when(done & (F.col("first_text") < F.col("last_done")), F.col("first_text.ts_ms") - sent).alias("time_to_first_token_ms"),
+        F.when(done, F.col("first_done.ts_ms") - sent).alias("total_streaming_ms"))
+
+
 TIMING_FIELDS = ["first_part_received", "first_text_received", "first_tool_call", "message_completed"]
 
 
@@ -282,8 +327,8 @@ def system_prompts(events: DataFrame) -> DataFrame:
     return first_prompts(events).select(*PROMPT_COLUMNS)
 
 
-def first_prompts(events: DataFrame) -> DataFrame:
-    """Prompt rows (P9, P10, P2, U2, S5): the first per (session, content hash), with ``seq``.
+def prompt_rows(events: DataFrame) -> DataFrame:
+    """Prompt rows (P9, P10, P2), one per event with any prompt, with ``seq``.
 
     ``events``: session_id, model_id, ts_ms, seq, system (array<string>).
     """
@@ -295,4 +340,9 @@ def first_prompts(events: DataFrame) -> DataFrame:
             .where(F.col("content") != "")
             .withColumn("content_hash", tx.content_hash("content"))
             .withColumn("token_count", tk.estimate_tokens("content", "model_id")))
-    return keep_first(rows.select(*PROMPT_COLUMNS, "seq"), ["session_id", "content_hash"], ["timestamp", "seq"])
+    return rows.select(*PROMPT_COLUMNS, "seq")
+
+
+def first_prompts(events: DataFrame) -> DataFrame:
+    """The first prompt row per (session, content hash) (U2, S5), with ``seq``."""
+    return keep_first(prompt_rows(events), ["session_id", "content_hash"], ["timestamp", "seq"])

@@ -19,7 +19,7 @@ from ..operators import messages as msg
 from ..operators import relevance as rel
 from ..operators import summary as sm
 from ..operators import tools
-from ..operators.upsert import keep_last, keep_last_of_few, read_evolved, union_evolved
+from ..operators.upsert import keep_first, keep_last, keep_last_of_few, read_evolved, union_evolved
 from ..sources import bindings as b
 from ..sources import hooks
 from ..session import checkpoint_dir
@@ -292,6 +292,19 @@ def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def raw_cost_shares(spark: SparkSession, d: str) -> DataFrame:
+    """W1, J5 over the raw events: calls of all kinds of sessions, each step seeing the table as it was."""
+    starts, ends, steps = hooks.cost_events(b.raw_events(spark, d))
+    shares = tools.cost_shares_asof(starts.drop("session_id"), ends.drop("session_id"), steps.drop("session_id"))
+    return shares.select("call_id", "message_id", _r("cost_share"))
+
+
+def first_parts(spark: SparkSession, d: str) -> DataFrame:
+    """First part of each kind per message."""
+    items = b.part_items(spark, d).where("item IS NOT NULL")
+    return keep_first(items, ["session_id", "item"], ["ts_ms", "seq"])
+
+
 # ---- S9 --------------------------------------------------------------------
 
 def benchmark_task_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -355,6 +368,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_streaming_timing": _raw("streaming_timing"),
     "raw_token_estimates": _raw("token_estimates"),
     "raw_retrieval_relevance": _raw("retrieval_relevance"),
+    "raw_cost_shares": raw_cost_shares,
+    "first_parts": first_parts,
     "line_overlap": line_overlap,
     "substring_match": substring_match,
     "relevance_scoring": relevance_scoring,

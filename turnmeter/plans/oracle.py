@@ -340,6 +340,39 @@ FROM done f JOIN calls c ON c.message_id = f.message_id
 WHERE c.status = 'completed' AND c.output_text <> ''"""
 
 
+# ---- cost shares as of a step: over starts st, ends en and last steps sp -------
+
+COST_ASOF = """pr AS (SELECT DISTINCT st.call_id, st.message_id AS probe_msg, sp.ts, sp.seq, sp.cost
+       FROM st JOIN sp ON st.message_id = sp.message_id),
+ls AS (
+  SELECT call_id, probe_msg, cost, s_msg, s_ts, s_seq FROM (
+    SELECT pr.call_id, pr.probe_msg, pr.cost, st.message_id AS s_msg, st.ts AS s_ts, st.seq AS s_seq,
+           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg
+                              ORDER BY st.ts DESC, st.seq DESC, st.message_id DESC) AS rn
+    FROM pr JOIN st ON st.call_id = pr.call_id AND (st.ts < pr.ts OR (st.ts = pr.ts AND st.seq < pr.seq)))
+  WHERE rn = 1),
+le AS (
+  SELECT call_id, probe_msg, e_ts, e_seq, bytes FROM (
+    SELECT pr.call_id, pr.probe_msg, en.ts AS e_ts, en.seq AS e_seq, en.bytes,
+           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg ORDER BY en.ts DESC, en.seq DESC) AS rn
+    FROM pr JOIN en ON en.call_id = pr.call_id AND (en.ts < pr.ts OR (en.ts = pr.ts AND en.seq < pr.seq)))
+  WHERE rn = 1),
+at_t AS (
+  SELECT ls.call_id, ls.probe_msg AS message_id, ls.cost, ls.s_ts, ls.s_seq, le.bytes
+  FROM ls JOIN le ON ls.call_id = le.call_id AND ls.probe_msg = le.probe_msg
+  WHERE ls.s_msg = ls.probe_msg AND (le.e_ts > ls.s_ts OR (le.e_ts = ls.s_ts AND le.e_seq > ls.s_seq))),
+tot AS (SELECT message_id, CAST(sum(coalesce(bytes, 0)) AS BIGINT) AS tb, count(*) AS n FROM at_t GROUP BY message_id),
+fin AS (
+  SELECT call_id, message_id, ts, seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY ts DESC, seq DESC, message_id DESC) AS rn FROM st)
+  WHERE rn = 1)
+SELECT fin.call_id, fin.message_id,
+       CASE WHEN tot.tb = 0 THEN a.cost / tot.n ELSE (coalesce(a.bytes, 0) / tot.tb) * a.cost END AS cost_share
+FROM fin LEFT JOIN at_t a ON a.call_id = fin.call_id AND a.message_id = fin.message_id
+                         AND a.s_ts = fin.ts AND a.s_seq = fin.seq
+     LEFT JOIN tot ON tot.message_id = a.message_id"""
+
+
 # ---- per-query SQL ---------------------------------------------------------
 
 def _sql() -> dict[str, str]:
@@ -460,35 +493,24 @@ sp AS (
            o_totalprice AS cost,
            row_number() OVER (PARTITION BY o_custkey ORDER BY {ms('o_orderdate')} DESC, o_totalprice DESC) AS rn
     FROM orders WHERE o_totalprice > 0) WHERE rn = 1),
-pr AS (SELECT DISTINCT st.call_id, st.message_id AS probe_msg, sp.ts, sp.seq, sp.cost
-       FROM st JOIN sp ON st.message_id = sp.message_id),
-ls AS (
-  SELECT call_id, probe_msg, cost, s_msg, s_ts, s_seq FROM (
-    SELECT pr.call_id, pr.probe_msg, pr.cost, st.message_id AS s_msg, st.ts AS s_ts, st.seq AS s_seq,
-           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg
-                              ORDER BY st.ts DESC, st.seq DESC, st.message_id DESC) AS rn
-    FROM pr JOIN st ON st.call_id = pr.call_id AND (st.ts < pr.ts OR (st.ts = pr.ts AND st.seq < pr.seq)))
-  WHERE rn = 1),
-le AS (
-  SELECT call_id, probe_msg, e_ts, e_seq, bytes FROM (
-    SELECT pr.call_id, pr.probe_msg, en.ts AS e_ts, en.seq AS e_seq, en.bytes,
-           row_number() OVER (PARTITION BY pr.call_id, pr.probe_msg ORDER BY en.ts DESC, en.seq DESC) AS rn
-    FROM pr JOIN en ON en.call_id = pr.call_id AND (en.ts < pr.ts OR (en.ts = pr.ts AND en.seq < pr.seq)))
-  WHERE rn = 1),
-at_t AS (
-  SELECT ls.call_id, ls.probe_msg AS message_id, ls.cost, ls.s_ts, ls.s_seq, le.bytes
-  FROM ls JOIN le ON ls.call_id = le.call_id AND ls.probe_msg = le.probe_msg
-  WHERE ls.s_msg = ls.probe_msg AND (le.e_ts > ls.s_ts OR (le.e_ts = ls.s_ts AND le.e_seq > ls.s_seq))),
-tot AS (SELECT message_id, CAST(sum(coalesce(bytes, 0)) AS BIGINT) AS tb, count(*) AS n FROM at_t GROUP BY message_id),
-fin AS (
-  SELECT call_id, message_id, ts, seq FROM (
-    SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY ts DESC, seq DESC, message_id DESC) AS rn FROM st)
-  WHERE rn = 1)
-SELECT fin.call_id, fin.message_id,
-       CASE WHEN tot.tb = 0 THEN a.cost / tot.n ELSE (coalesce(a.bytes, 0) / tot.tb) * a.cost END AS cost_share
-FROM fin LEFT JOIN at_t a ON a.call_id = fin.call_id AND a.message_id = fin.message_id
-                         AND a.s_ts = fin.ts AND a.s_seq = fin.seq
-     LEFT JOIN tot ON tot.message_id = a.message_id"""
+{COST_ASOF}"""
+
+    s["raw_cost_shares"] = f"""
+WITH {RAW},
+st AS (SELECT call_id, message_id, ts, seq FROM e WHERE kind = 'click' AND seq % 2 = 0),
+en AS (SELECT call_id, ts, seq, CAST(strlen('reply ' || repeat('to ', CAST(n % 9 AS INTEGER)) || seq) AS BIGINT) AS bytes
+       FROM e WHERE kind = 'view' AND seq % 2 = 0 AND n % 11 <> 0),
+sp AS (SELECT message_id, ts, seq, value / 1000 AS cost FROM (
+         SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ts DESC, seq DESC) AS rn
+         FROM e WHERE kind = 'purchase' AND value / 1000 > 0) WHERE rn = 1),
+{COST_ASOF.replace('AS cost_share', ') AS cost_share', 1).replace('CASE WHEN tot.tb', f'round(CASE WHEN tot.tb', 1).replace(') AS cost_share', f', {D}) AS cost_share', 1)}"""
+
+    s["first_parts"] = f"""
+SELECT session_id, item, ts_ms, seq FROM (
+  SELECT CAST(user_id AS VARCHAR) AS session_id, {week_msg('user_id', 'ts')} || '/' || event_type AS item, {ms('ts')} AS ts_ms,
+         event_id AS seq, row_number() OVER (PARTITION BY user_id, {week_msg('user_id', 'ts')}, event_type
+                                             ORDER BY {ms('ts')}, event_id) AS rn
+  FROM events WHERE event_type <> 'error' AND NOT (event_type = 'purchase' AND value >= 90)) WHERE rn = 1"""
 
     s["streaming_milestones"] = TIMING
 

@@ -64,6 +64,14 @@ def part_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> tu
     return parts, completions
 
 
+def part_items(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    """Parts as items (message and kind of part) of their session, as rows for first occurrences; a
+    purchase of 90 and more ends the session (item null)."""
+    e = events(spark, d, raw).where(F.col("event_type") != "error")
+    idle = (F.col("event_type") == "purchase") & (F.col("value") >= 90)
+    return e.select("session_id", F.when(~idle, F.concat(message_of(), F.lit("/"), "event_type")).alias("item"), "ts_ms", "seq")
+
+
 def tool_hook_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """click = tool.execute.before, view = tool.execute.after; call = user."""
     e = events(spark, d, raw).where(F.col("event_type").isin("click", "view"))
@@ -168,14 +176,14 @@ def step_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> Da
         (F.col("value") / 1000).alias("cost"), *[c.alias(n) for n, c in toks.items()])
 
 
-def raw_events(spark: SparkSession, d: str) -> DataFrame:
+def raw_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """The events table as raw nested events (``sources.hooks``), every row one event.
 
     signup = chat.params; click and view = tool hooks on even ids (three calls a user, named
     like the user's message), pending tool and text parts on odd ones; purchase = step-finish;
     error = message.updated, by the user on ids divisible by 5, unfinished on ids divisible by 3.
     """
-    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    e = raw if raw is not None else read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     e = e.select("event_id", _s("user_id").alias("session_id"), "event_type", "value", epoch_ms("ts").alias("ts_ms"),
                  F.floor("value").alias("level"), _s("event_id").alias("id"))
     even, kind = F.col("event_id") % 2 == 0, F.col("event_type")

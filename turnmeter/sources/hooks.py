@@ -63,6 +63,19 @@ def tool_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return starts, ends
 
 
+def cost_events(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(starts, completed ends, steps) for cost shares (W1, J5); ends that report an error complete nothing."""
+    before, after = route(raw, "kind", ["tool.execute.before", "tool.execute.after"]).values()
+    parts = route(raw, "kind", ["message.part.updated"])["message.part.updated"]
+    starts = before.select("session_id", "tool_before.call_id", F.coalesce("tool_before.message_id", F.lit("")).alias("message_id"),
+                           "ts_ms", "seq")
+    ends = after.where("tool_after.error IS NULL").select(
+        "session_id", "tool_after.call_id", "ts_ms", "seq",
+        F.octet_length(F.coalesce("tool_after.output", F.lit(""))).cast("bigint").alias("output_size_bytes"))
+    steps = parts.where("part.type = 'step-finish' AND part.cost > 0").select("session_id", "part.message_id", "ts_ms", "seq", "part.cost")
+    return starts, ends, steps
+
+
 def finished(raw: DataFrame) -> DataFrame:
     """Finished assistant messages (F4) with their response text, its text parts joined."""
     m = route(raw, "kind", ["message.updated"])["message.updated"]

@@ -26,8 +26,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ class Conflict(RuntimeError):
 class Version:
     """Which folders are in force, by bucket or batch, and how far each writer has come."""
     number: int = 0
-    folders: dict[str, str] = field(default_factory=dict)
+    folders: dict[str, list[str]] = field(default_factory=dict)
     writers: dict[str, int] = field(default_factory=dict)
 
 
@@ -112,8 +113,8 @@ class StoredTable:
         """The rows of the version in force, or of an earlier one."""
         return self._rows(self.version(number).folders.values())
 
-    def _rows(self, folders) -> DataFrame:
-        paths = [f"{self.path}/{f}" for f in folders if f]
+    def _rows(self, folders: Iterable[list[str]]) -> DataFrame:
+        paths = [f"{self.path}/{f}" for own in folders for f in own]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -121,7 +122,7 @@ class StoredTable:
     def _taken(self, version: Version, writer: str, batch_id: int | None) -> bool:
         return batch_id is not None and batch_id <= version.writers.get(writer, -1)
 
-    def _publish(self, old: Version, folders: dict[str, str], writer: str, batch_id: int | None) -> Version:
+    def _publish(self, old: Version, folders: dict[str, list[str]], writer: str, batch_id: int | None) -> Version:
         writers = old.writers if batch_id is None else {**old.writers, writer: batch_id}
         new = Version(old.number + 1, folders, writers)
         self._files.publish(f"{self.path}/versions/{new.number}.json", json.dumps(vars(new)))
@@ -131,7 +132,7 @@ class StoredTable:
         """Take away folders that none of the last ``keep`` versions names, and older versions; not while a writer is at work."""
         last = self.version().number
         kept = range(max(1, last - keep + 1), last + 1)
-        used = {f.split("/")[1] for n in kept for f in self.version(n).folders.values() if f}
+        used = {f.split("/")[1] for n in kept for own in self.version(n).folders.values() for f in own}
         gone = [f for f in self._files.names(f"{self.path}/data") if f not in used]
         for f in gone:
             self._files.delete(f"{self.path}/data/{f}")
@@ -170,20 +171,33 @@ class KeyedTable(StoredTable):
         ``rule(old, batch)`` gives all rows of the touched buckets: ``old`` are the rows they have, ``batch`` any
         rows with the key columns. It must give one row per key and keep keys that the batch does not name.
         """
+        return self._change(batch, rule, batch_id, writer, add=False)
+
+    def insert(self, batch: DataFrame, batch_id: int | None = None, writer: str = "batch") -> bool:
+        """Add the rows of ``batch`` (one per key) whose keys the table lacks (S5); nothing is rewritten.
+
+        Of the touched buckets the key columns are read, no others; a bucket gets one more folder.
+        """
+        def absent(old: DataFrame, new: DataFrame) -> DataFrame:
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
+            return new.alias("n").join(old.select(*self.keys).alias("o"), reduce(Column.__and__, same), "left_anti")
+        return self._change(batch, absent, batch_id, writer, add=True)
+
+    def _change(self, batch: DataFrame, rule: Rule, batch_id: int | None, writer: str, add: bool) -> bool:
         version = self.version()
         if self._taken(version, writer, batch_id):
             return False
         touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]  # ``buckets`` rows at most
         folders = dict(version.folders)
         if touched:
-            old = self._rows(version.folders.get(str(b)) for b in touched)
+            old = self._rows(folders.get(str(b), []) for b in touched)
             new = rule(old, batch).select(*self.schema.names).withColumn("_bucket", self._bucket())
             data = f"data/{version.number + 1}-{uuid.uuid4().hex[:12]}"
             new.repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{data}")
             written = set(self._files.names(f"{self.path}/{data}"))
             for b in touched:
-                name = f"_bucket={b}"
-                folders[str(b)] = f"{data}/{name}" if name in written else ""
+                own = [f"{data}/_bucket={b}"] if f"_bucket={b}" in written else []
+                folders[str(b)] = folders.get(str(b), []) + own if add else own
         self._publish(version, folders, writer, batch_id)
         return True
 
@@ -207,7 +221,7 @@ class AppendTable(StoredTable):
             return False
         data = f"data/{version.number + 1}-{uuid.uuid4().hex[:12]}"
         batch.select(*self.schema.names).write.parquet(f"{self.path}/{data}")
-        self._publish(version, {**version.folders, str(version.number + 1): data}, writer, batch_id)
+        self._publish(version, {**version.folders, str(version.number + 1): [data]}, writer, batch_id)
         return True
 
     def compact(self) -> None:
@@ -215,7 +229,7 @@ class AppendTable(StoredTable):
         version = self.version()
         data = f"data/{version.number + 1}-{uuid.uuid4().hex[:12]}"
         self._rows(version.folders.values()).write.parquet(f"{self.path}/{data}")
-        self._publish(version, {str(version.number + 1): data}, "", None)
+        self._publish(version, {str(version.number + 1): [data]}, "", None)
 
     def sink(self, build: Callable[[DataFrame], DataFrame], writer: str) -> Callable[[DataFrame, int], None]:
         """A ``foreachBatch`` handler that appends ``build(batch)``."""
