@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from turnmeter.llm import divergence
 
@@ -93,6 +94,14 @@ def test_corrections_of_absent_terms():
     assert divergence._corrections(at, offsets, p, p0).tolist() == want.tolist()
 
 
+def test_only_a_to_z_are_lower_cased(spark):
+    points = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(points[k:k + 50]) for k in range(0, len(points), 50)] + ["AbÉ", "ABC", "İI", "ΑΣ ", "Ⅷ Ⓐ ǅ ẞ Ω K Å", "aZ\u0130"]
+    df = spark.createDataFrame([(t,) for t in texts + [c for c in points if ord(c) < 0x2F00]], "t string")
+    for r in df.select("t", divergence.ascii_lower(F.col("t")).alias("l")).collect():
+        assert r.l == "".join(c.lower() if "A" <= c <= "Z" else c for c in r.t)
+
+
 def test_long_text(spark):
     rows = [("word Word other " * 40_000, "en", "a"), ("x" * 100_000, "en", "b"), ("other", "en", "b")]
     assert audited(spark, rows, min_docs=1) == plain(rows, 1)
