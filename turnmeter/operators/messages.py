@@ -157,16 +157,25 @@ CHAT_PARAMS_COLUMNS = ["id", "session_id", "timestamp", "model_id", "provider_id
 
 
 def chat_params_table(requests: DataFrame) -> DataFrame:
-    """``chat_params`` (S3, S4): nested request fields flattened, last wins per id.
+    """``chat_params`` (S3, S4): the rows of :func:`chat_params_rows`, last wins per id."""
+    return keep_last(chat_params_rows(requests), ["id"], ["timestamp", "seq"]).select(*CHAT_PARAMS_COLUMNS)
+
+
+def chat_params_rows(requests: DataFrame) -> DataFrame:
+    """Nested request fields flattened (S3), with ``seq``.
 
     ``requests``: message_id, session_id, ts_ms, seq, model struct<id,
     cost struct<input, output, cache struct<read, write>>, limit
     struct<context, output>>, provider_id, agent, temperature, top_p, top_k,
-    max_output_tokens, options map. Provider defaults to ''; options become
-    JSON only when the map is non-empty.
+    max_output_tokens, options (a map, or its JSON). Provider defaults to '';
+    options are kept as JSON, and only when there are any.
     """
     opts = F.col("options")
-    flat = requests.select(
+    if dict(requests.dtypes)["options"] == "string":
+        options = F.when(~opts.isin("", "{}", "null"), opts)
+    else:
+        options = F.when(opts.isNotNull() & (F.size(opts) > 0), F.to_json(opts))
+    return requests.select(
         F.col("message_id").alias("id"), "session_id", F.col("ts_ms").alias("timestamp"), "seq",
         F.col("model.id").alias("model_id"), F.coalesce(F.col("provider_id"), F.lit("")).alias("provider_id"),
         "agent", "temperature", "top_p", "top_k", "max_output_tokens",
@@ -175,8 +184,7 @@ def chat_params_table(requests: DataFrame) -> DataFrame:
         F.col("model.cost.input").alias("cost_input"), F.col("model.cost.output").alias("cost_output"),
         F.col("model.cost.cache.read").alias("cost_cache_read"),
         F.col("model.cost.cache.write").alias("cost_cache_write"),
-        F.when(opts.isNotNull() & (F.size(opts) > 0), F.to_json(opts)).alias("options_json"))
-    return keep_last(flat, ["id"], ["timestamp", "seq"]).select(*CHAT_PARAMS_COLUMNS)
+        options.alias("options_json"))
 
 
 def finished_messages(messages: DataFrame) -> DataFrame:

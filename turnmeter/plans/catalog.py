@@ -286,12 +286,37 @@ def benchmark_run_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, d: str) -> DataFrame:
-        out = hooks.telemetry(b.raw_events(spark, d))[table]
+        out = hooks.telemetry(b.raw_events(spark, d), [table])[table]
         return out.select(*[_r(c) if c in ("cost", "estimated_cost", "relevance_ratio") else F.col(c) for c in out.columns])
     query.__name__ = f"raw_{table}"
     return query
 
 
+def _from_lines(spark: SparkSession, d: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw events written as JSON lines, damaged ones among them, and read again: (events, quarantine)."""
+    path = f"{checkpoint_dir(spark)}/tables/events-{uuid.uuid4().hex[:12]}"
+    hooks.write_events(raw, path)
+    b.damaged_lines(spark, d).write.mode("append").text(path)
+    return hooks.read_events(spark, path)
+
+
+def _lines(table: str, binding: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A table from JSON lines."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        out = hooks.telemetry(_from_lines(spark, d, binding(spark, d))[0], [table])[table]
+        rounded = ("cost", "estimated_cost", "cost_share", "temperature", "context_utilization", "tool_output_token_pct",
+                   "conversation_token_pct")
+        return out.select(*[_r(c) if c in rounded else F.col(c) for c in out.columns])
+    query.__name__ = f"raw_{table}"
+    return query
+
+
+def raw_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Lines set aside, by reason."""
+    lines = _from_lines(spark, d, b.raw_events(spark, d))[1]
+    return lines.groupBy("reason").agg(F.count("*").alias("n"), F.count_distinct("line").alias("n_different"))
+
+
 def raw_cost_shares(spark: SparkSession, d: str) -> DataFrame:
     """W1, J5 over the raw events: calls of all kinds of sessions, each step seeing the table as it was."""
     starts, ends, steps = hooks.cost_events(b.raw_events(spark, d))
@@ -368,6 +393,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_streaming_timing": _raw("streaming_timing"),
     "raw_token_estimates": _raw("token_estimates"),
     "raw_retrieval_relevance": _raw("retrieval_relevance"),
+    "raw_chat_params": _lines("chat_params", b.raw_requests),
+    "raw_system_prompts": _lines("system_prompts", b.raw_prompts),
+    "raw_context_snapshots": _lines("context_snapshots", b.raw_windows),
+    "raw_step_metrics": _lines("step_metrics", b.raw_events),
+    "raw_tool_latency_breakdown": _lines("tool_latency_breakdown", b.raw_events),
+    "raw_tool_cost_shares": _lines("tool_cost_shares", b.raw_events),
+    "raw_quarantine": raw_quarantine,
     "raw_cost_shares": raw_cost_shares,
     "first_parts": first_parts,
     "line_overlap": line_overlap,

@@ -599,6 +599,26 @@ SELECT s.message_id, s.session_id, s.ts AS request_sent, u.p.ts AS first_part_re
        CASE WHEN u.p < u.l THEN u.d.ts - u.p.ts END AS total_streaming_ms
 FROM seed s LEFT JOIN u USING (message_id)"""
 
+    s["raw_chat_params"] = s["chat_params_upsert"]
+    s["raw_system_prompts"] = s["system_prompt_dedup"]
+    s["raw_tool_cost_shares"] = s["raw_cost_shares"]
+    s["raw_step_metrics"] = f"""
+WITH {RAW}
+SELECT CAST(seq AS VARCHAR) AS id, session_id, message_id, ts AS timestamp, 'stop' AS reason, round(value / 1000, {D}) AS cost,
+       n * 100 AS tokens_input, n * 10 AS tokens_output, n AS tokens_reasoning, n * 50 AS tokens_cache_read,
+       n * 5 AS tokens_cache_write
+FROM e WHERE kind = 'purchase'"""
+    s["raw_tool_latency_breakdown"] = f"""
+WITH {RAW},
+h AS (SELECT *, lag(kind) OVER w AS last_kind, lag(ts) OVER w AS last_ts FROM e WHERE kind IN ('click', 'view') AND seq % 2 = 0
+      WINDOW w AS (PARTITION BY call_id ORDER BY ts, seq))
+SELECT call_id AS tool_call_id, session_id, 'total' AS phase, ts - last_ts AS duration_ms, NULL::VARCHAR AS metadata_json,
+       ts AS timestamp
+FROM h WHERE kind = 'view' AND last_kind = 'click'"""
+    s["raw_quarantine"] = """
+SELECT CASE event_id % 4 WHEN 0 THEN 'damaged' WHEN 1 THEN 'unknown kind' ELSE 'incomplete' END AS reason, count(*) AS n,
+       count(DISTINCT event_id) AS n_different
+FROM events WHERE event_id % 3 = 0 AND event_id % 4 <> 3 GROUP BY 1"""
     s["raw_tool_calls"] = f"WITH {RAW} SELECT * FROM calls"
     s["raw_streaming_timing"] = RAW_TIMING
     s["raw_token_estimates"] = RAW_ESTIMATES
@@ -709,6 +729,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, (epoch_us(o_orderdate
        CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderpriority END AS o_orderpriority
 FROM orders"""
     s["schema_evolution_files"] = s["schema_evolution_union"]
+    s["raw_context_snapshots"] = s["context_windows"]
     return s
 
 

@@ -219,6 +219,46 @@ def raw_events(spark: SparkSession, d: str, raw: DataFrame | None = None) -> Dat
                             ("text", F.lit("to to")))]).alias("parts")).alias("message"))
 
 
+def raw_requests(spark: SparkSession, d: str) -> DataFrame:
+    """``chat_requests`` as raw events."""
+    r = chat_requests(spark, d)
+    m = F.col("model")
+    return r.select(F.lit("chat.params").alias("kind"), "session_id", "ts_ms", "seq", F.struct(
+        "message_id", m["id"].alias("model_id"), m["limit"]["context"].alias("context_limit"),
+        m["limit"]["output"].alias("output_limit"), "provider_id", "agent", "temperature", "top_p", "top_k", "max_output_tokens",
+        F.struct(m["cost"]["input"].alias("input"), m["cost"]["output"].alias("output"),
+                 m["cost"]["cache"]["read"].alias("cache_read"), m["cost"]["cache"]["write"].alias("cache_write")).alias("cost"),
+        "options").alias("chat_params"))
+
+
+def raw_prompts(spark: SparkSession, d: str) -> DataFrame:
+    """``system_prompt_events`` as raw events."""
+    return system_prompt_events(spark, d).select(
+        F.lit("experimental.chat.system.transform").alias("kind"), "session_id", "ts_ms", "seq",
+        F.struct("model_id", "system").alias("system"))
+
+
+def raw_windows(spark: SparkSession, d: str) -> DataFrame:
+    """``nested_windows`` as raw events: params and context windows of conversations."""
+    windows, params = nested_windows(spark, d)
+    asked = params.select(F.lit("chat.params").alias("kind"), "session_id", "ts_ms", "seq", F.struct(
+        F.col("id").alias("message_id"), "model_id", "context_limit").alias("chat_params"))
+    return asked.unionByName(windows.select(
+        F.lit("experimental.chat.messages.transform").alias("kind"), "session_id", "ts_ms", "seq",
+        F.struct("messages").alias("window")), allowMissingColumns=True)
+
+
+def damaged_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that are no events, three kinds and blank ones, made of the events table's rows."""
+    e = read_table(spark, d, "events", ["event_id", "event_type", "value"])
+    i = F.col("event_id")
+    line = (F.when(i % 4 == 0, F.concat(F.lit('{"kind": "chat.params", "seq": '), i))
+            .when(i % 4 == 1, F.to_json(F.struct(F.concat(F.lit("x."), "event_type").alias("kind"), i.alias("ts_ms"), i.alias("seq"))))
+            .when(i % 4 == 2, F.to_json(F.struct(F.lit("message.updated").alias("kind"), i.alias("ts_ms"), i.alias("seq"))))
+            .otherwise(F.lit("  ")))
+    return e.where(i % 3 == 0).select(line.alias("value"))
+
+
 # ---- orders / lineitem: sessions = customers, messages = orders ------------
 
 def lineitem_rows(spark: SparkSession, d: str) -> DataFrame:

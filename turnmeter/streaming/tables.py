@@ -20,12 +20,20 @@ from pyspark.sql import functions as F
 from ..operators import messages as msg
 from ..sources import bindings as b
 from ..sources import hooks
-from ..sources.store import AppendTable, KeyedTable, first_wins, last_wins
+from ..sources.store import AppendTable, KeyedTable, StoredTable, first_wins, last_wins
 from . import state
+from .twins import ESTIMATE_LOG as ESTIMATE_STATE
+from .twins import PROMPT_LOG as PROMPT_STATE
+from .twins import STEP_LOG as STEP_STATE
 from .twins import run_to_end, stream_dir, table_stream
 
 Sink = Callable[[DataFrame, int], None]
 
+CHAT_STATE = ("id string, session_id string, timestamp long, model_id string, provider_id string, agent string, "
+              "temperature double, top_p double, top_k double, max_output_tokens long, model_context_limit long, "
+              "model_output_limit long, cost_input double, cost_output double, cost_cache_read double, "
+              "cost_cache_write double, options_json string, seq long")
+
 
 #: Batches without data would follow each other without end where state has a time to live; expiry waits for the next data.
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -126,6 +134,35 @@ def firsts_table(items: DataFrame, base: str, delay: str = "1 hour", quiet_ms: i
     return table
 
 
+def raw_tables(lines: DataFrame, base: str) -> dict[str, StoredTable]:
+    """A stream of JSON lines routed to stored tables; lines that are no events to ``quarantine``.
+
+    One source and one checkpoint; a micro-batch that is replayed after a crash changes only the tables that it had
+    not reached. ``lines`` has the column value.
+    """
+    spark, order = lines.sparkSession, ["timestamp", "seq"]
+    prompts = KeyedTable(spark, os.path.join(base, "system_prompts"), PROMPT_STATE, ["session_id", "content_hash"])
+    keyed = {"chat_params": (["id"], CHAT_STATE, lambda e: msg.chat_params_rows(hooks.chat_requests(e))),
+             "step_metrics": (["id"], STEP_STATE, lambda e: hooks.step_rows(e).withColumnRenamed("ts_ms", "timestamp")),
+             "token_estimates": (["message_id", "approach"], ESTIMATE_STATE,
+                                 lambda e: msg.token_estimate_rows(hooks.asked(e), hooks.finished(e)))}
+    tables = {name: KeyedTable(spark, os.path.join(base, name), schema, keys) for name, (keys, schema, _) in keyed.items()}
+    quarantine = AppendTable(spark, os.path.join(base, "quarantine"), "line string, reason string")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        events, damaged = hooks.parse_events(batch)
+        for name, (keys, _, rows) in keyed.items():
+            rule = last_wins(keys, order)
+            table = tables[name]
+            table.sink(lambda e, rows=rows, names=table.schema.names: rows(e).select(*names), rule, "raw")(events, batch_id)
+        first = msg.first_prompts(hooks.system_events(events))
+        _persisted(lambda x, i: prompts.insert(x, i, "raw"))(first.select(*prompts.schema.names), batch_id)
+        quarantine.append(damaged, batch_id, "raw")
+
+    follow(lines, base, _persisted(write))
+    return {**tables, "system_prompts": prompts, "quarantine": quarantine}
+
+
 # ---- registered queries: the driver's tables as streams ---------------------------------------------
 
 def timing_events(spark: SparkSession, d: str, raw: DataFrame) -> DataFrame:
