@@ -19,6 +19,39 @@ RELEVANCE_COLUMNS = ["session_id", "message_id", "tool_call_id", "tool", "fetche
                      "scoring_method", "timestamp"]
 
 
+#: From so many needles times characters of the text on, the text's 4-grams are indexed before needles are looked for.
+INDEX_FROM = 20_000_000
+GRAM = 4
+
+
+def contained(needles: Column, text: Column, index_from: int = INDEX_FROM) -> Column:
+    """The elements of ``needles`` that ``text`` contains (J7, F10), in their order.
+
+    A search costs the length of the text, so many needles in a long text are first looked up by
+    their first four characters among the text's distinct 4-grams, which are made once; only those found are searched
+    for. Needles that are shorter, or whose first four are not all ASCII, are always searched for. The
+    result is the same on both ways; ``index_from`` only says which is taken.
+    """
+    def first(needle: Column) -> Column:
+        return F.substring(needle, 1, GRAM)
+
+    chars = F.split(text, "")
+    grams = F.transform(F.arrays_zip(*[F.slice(chars, k + 1, F.greatest(F.size(chars) - k, F.lit(0))).alias(f"c{k}")
+                                       for k in range(GRAM)]), lambda g: F.concat(*[g[f"c{k}"] for k in range(GRAM)]))
+    # a struct in an array of one: what is bound in it is worked out once, not for each needle
+    bound = F.array(F.struct(needles.alias("needles"), text.alias("text"),
+                             F.array_intersect(F.transform(needles, first), grams).alias("present")))
+
+    def searched(x: Column) -> Column:
+        def found(needle: Column) -> Column:
+            unsure = (F.length(needle) < GRAM) | (F.octet_length(first(needle)) > GRAM)
+            return (unsure | F.array_contains(x["present"], first(needle))) & F.contains(x["text"], needle)
+        return F.filter(x["needles"], found)
+
+    large = F.size(needles) * F.length(text).cast("bigint") >= index_from
+    return F.when(large, F.transform(bound, searched)[0]).otherwise(F.filter(needles, lambda n: F.contains(text, n)))
+
+
 def line_overlap(output: Column, response: Column, model: Column | None = None,
                  ratio: Column | None = None) -> Column:
     """Struct(fetched_lines, referenced_lines, referenced_tokens, relevance_ratio) (A10).
@@ -30,7 +63,7 @@ def line_overlap(output: Column, response: Column, model: Column | None = None,
     """
     ratio = tk.token_ratio(model) if ratio is None else ratio
     lines = tx.to_lines(output)
-    matched = F.filter(lines, lambda l: tx.utf16_len_at_least(l, 4) & F.contains(response, l))
+    matched = contained(F.filter(lines, lambda l: tx.utf16_len_at_least(l, 4)), response)
     ref_tokens = F.when(F.size(matched) > 0,
                         tk.tokens_at_ratio(F.array_join(matched, "\n"), ratio)).otherwise(F.lit(0).cast("bigint"))
     fetched = tk.tokens_at_ratio(output, ratio)
@@ -54,8 +87,7 @@ def substring_match(output: Column, response: Column, model: Column | None = Non
     fetched = tk.tokens_at_ratio(output, ratio)
     zero = F.lit(0).cast("bigint")
     total_chars = F.aggregate(toks, zero, lambda acc, t: acc + tx.utf16_len(t))
-    matched_chars = F.aggregate(F.filter(toks, lambda t: F.contains(response, t)), zero,
-                                lambda acc, t: acc + tx.utf16_len(t))
+    matched_chars = F.aggregate(contained(toks, response), zero, lambda acc, t: acc + tx.utf16_len(t))
     match_ratio = F.when(total_chars > 0, matched_chars / total_chars).otherwise(F.lit(0.0))
     empty = (F.size(toks) == 0) | (fetched == 0)
     ref_tokens = F.when(empty, zero).otherwise(tx.js_round(fetched * match_ratio).cast("bigint"))
