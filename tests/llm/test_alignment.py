@@ -148,6 +148,6 @@ def test_cache_limit_changes_nothing():
     aligner = alignment.Aligner(A, B)
     text = " ".join(f"word{i % 7}x{i % 11}" for i in range(200))
     want = alignment.load(A, B).text(text)
-    aligner._words._limit = 3
+    aligner.words.limit = 3
     got = aligner.text(text)
     assert got[:5] == want[:5] and got[5].tolist() == want[5].tolist() and got[6].tolist() == want[6].tolist()

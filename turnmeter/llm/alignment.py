@@ -33,9 +33,10 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from operator import itemgetter
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -46,21 +47,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_table
-from .word_bpe import Cache, byte_symbols
+from .word_bpe import byte_symbols
 
 #: Pairs that are broadcast with their counts, at 17 bytes each.
 HEAD_PAIRS = 2_000_000
 #: Bins per doubling of a count, for finding the most frequent pairs.
 BINS = 8
 #: Words remembered per worker, none longer than ``LONG_WORD`` characters.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 240_000
 LONG_WORD = 64
+#: Links of a group that are kept one by one.
+MANY_LINKS = 256
 #: Links and pairs that a task holds before it hands them on.
 HELD_LINKS = 1 << 20
 HELD_PAIRS = 1 << 21
 
 MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 _BLANK = "▁"
+#: A blank at which tokens of A may go on.
+_OPEN = re.compile(r"\s ")
+
+
+class Words(dict):
+    """What is known of words, in two generations: when the young one is full the old one is forgotten."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self._old = limit, {}
+
+    def unknown(self, words: list[str]) -> list[str]:
+        """The distinct ones of ``words`` that are not known; those that are known are in the young generation then."""
+        if len(self) >= self.limit:
+            self._old = dict(self)
+            self.clear()
+        new = []
+        for word in [w for w in set(words) if w not in self]:
+            if word in self._old:
+                self[word] = self._old[word]
+            else:
+                new.append(word)
+        return new
 
 
 class Aligner:
@@ -73,67 +99,82 @@ class Aligner:
         if any(re.search(f"[^{_BLANK}]{_BLANK}", self._b.id_to_piece(i)) for i in range(self._b.get_piece_size())):
             raise ValueError("a piece goes on past a blank")
         self.size_b = len(self.bytes_b)
-        self._words = Cache(self._word, CACHE_WORDS)
+        self._lengths_a, self._lengths_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.words = Words(CACHE_WORDS // 2)
 
     def ids(self, chunk: str) -> tuple[list[int], list[int]]:
         """Ids of blank + ``chunk`` under both."""
         return self._a.encode_ordinary(" " + chunk), self._b.encode(chunk) if chunk else [self._b.piece_to_id(_BLANK)]
 
-    def chunk(self, chunk: str):
-        """(n_a, n_b, n_groups, n_links, groups as text, pairs, times), None if the bytes differ."""
-        a, b = self.ids(chunk)
-        whole, ba, bb = b" " + chunk.encode(), [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(ba) != whole or b"".join(bb) != whole:
+    def chunk(self, chunk: str, b: list[int] | None = None):
+        """What is known of a chunk, None if the bytes differ.
+
+        (n_a, n_b, n_groups, n_links, groups as text, links as bytes, more): links are id pairs, each as often as it
+        stands, but for those of large groups: ``more`` has their distinct pairs and times.
+        """
+        a, b = (self._a.encode_ordinary(" " + chunk), b) if b else self.ids(chunk)
+        whole = b" " + chunk.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             return None
-        groups, links, n_links = [], Counter(), 0
-        i = j = i0 = j0 = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(ba[i])
-                i += 1
+        size, ends_a = self.size_b, list(accumulate(map(self._lengths_a.__getitem__, a)))
+        places = {end: k for k, end in enumerate(accumulate(map(self._lengths_b.__getitem__, b)), 1)}
+        text, links, many, n_links, i, j = [], [], [], 0, 0, 0
+        for k, end in enumerate(ends_a, 1):
+            if end not in places:
+                continue
+            to = places[end]
+            if k - i == to - j == 1:
+                text.append(f"{a[i]}|{b[j]}")
+                links.append(a[i] * size + b[j])
+                n_links += 1
             else:
-                end_b += len(bb[j])
-                j += 1
-            if end_a == end_b:
-                ga, gb = a[i0:i], b[j0:j]
-                groups.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
-                n_links += len(ga) * len(gb)
-                if len(ga) == len(gb) == 1:
-                    links[ga[0] * self.size_b + gb[0]] += 1
+                xs, ys = a[i:k], b[j:to]
+                text.append(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}")
+                n_links += len(xs) * len(ys)
+                if len(xs) * len(ys) > MANY_LINKS:
+                    many.append((xs, ys))
                 else:
-                    times_b = Counter(gb).items()
-                    for x, times in Counter(ga).items():
-                        for y, more in times_b:
-                            links[x * self.size_b + y] += times * more
-                i0, j0 = i, j
-        return (len(a), len(b), len(groups), n_links, ";".join(groups),
-                np.fromiter(links.keys(), np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links)))
-
-    def _word(self, word: str):
-        if not word or word[-1].isspace():
-            return False  # tokens may go on past the blank behind it
-        return self.chunk(word)
-
-    def _known(self, word: str):
-        return self._words[word] if len(word) <= LONG_WORD else self._word(word)
+                    links += [x * size + y for x in xs for y in ys]
+            i, j = k, to
+        return (len(a), len(b), len(text), n_links, ";".join(text), array("q", links).tobytes(),
+                _many(many, size) if many else None)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the words, but for long ones and those behind which a token may go on past the blank."""
+        new = [w for w in self.words.unknown(words) if 0 < len(w) <= LONG_WORD and not w[-1].isspace()]
+        if new:
+            for word, b in zip(new, self._b.encode(new, num_threads=1)):
+                self.words[word] = self.chunk(word, b)
 
     def text(self, text: str):
-        """The same as ``chunk`` for a whole text."""
+        """(n_a, n_b, n_groups, n_links, groups as text, distinct pairs, their times), None if the bytes differ."""
         words = text.split(" ")
-        found = list(map(self._known, words[:-1]))
-        if False in found:
+        if _OPEN.search(text) or text[0].isspace():
             words = [c[1:] for c in re.split(r"(?<=\S)(?= )", " " + text)]
-            found = [self._known(w) or self.chunk(w) for w in words[:-1]]
-        found.append(self._known(words[-1]) or self.chunk(words[-1]))
+        self._learn(words)
+        try:
+            found = list(map(self.words.__getitem__, words))
+        except KeyError:
+            found = [self.words[w] if 0 < len(w) <= LONG_WORD and not w[-1].isspace() else self.chunk(w) for w in words]
         if None in found:
             return None
-        once = {id(x): x for x in found}
-        often = Counter(map(id, found))
-        pairs = np.concatenate([x[5] for x in once.values()])
-        often = np.repeat([often[k] for k in once], [len(x[5]) for x in once.values()])
-        pairs, times = _summed(pairs, np.concatenate([x[6] for x in once.values()]) * often)
-        sums = [sum(map(itemgetter(k), found)) for k in range(4)]
-        return (*sums, ";".join(map(itemgetter(4), found)), pairs, times)
+        n_a, n_b, n_groups, n_links, groups, links, more = zip(*found)
+        pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
+        more = [m for m in more if m is not None]
+        if more:
+            pairs, times = _summed(np.concatenate([pairs, *[m[0] for m in more]]), np.concatenate([times, *[m[1] for m in more]]))
+        return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), ";".join(groups), pairs, times
+
+
+def _many(groups, size_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and their times, of groups that may be large: ids of a group are counted before they are paired."""
+    links = Counter()
+    for xs, ys in groups:
+        times_b = Counter(ys).items()
+        for x, times in Counter(xs).items():
+            for y, more in times_b:
+                links[x * size_b + y] += times * more
+    return np.fromiter(links.keys(), np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links))
 
 
 @functools.cache
