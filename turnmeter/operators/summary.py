@@ -74,9 +74,15 @@ def nearest_rank(values: DataFrame, keys: Sequence[str], value: str,
     range that holds each rank; only the distinct values of that range, a small
     share of a hot key's, are then ranked, each range in a task of its own.
     """
-    keys = list(keys)
     counts = (values.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")).withColumn("_r", _value_range(F.col("_v"))))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    return nearest_rank_of_counts(counts, keys, percentiles)
+
+
+def nearest_rank_of_counts(counts: DataFrame, keys: Sequence[str], percentiles: dict[str, float]) -> DataFrame:
+    """:func:`nearest_rank` of values ``_v`` that are counted already, ``_c`` times each."""
+    keys = list(keys)
+    counts = counts.withColumn("_r", _value_range(F.col("_v")))
     ranges = counts.groupBy(*keys, "_r").agg(F.sum("_c").alias("_c"))
     running = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = (ranges.withColumn("_upto", F.sum("_c").over(running))
@@ -118,6 +124,11 @@ def benchmark_runs(requests: DataFrame, step_metrics: DataFrame, tool_calls: Dat
          .join(relevance_totals(relevance), "session_id", "left")
          .join(timing_totals(streaming_timing), "session_id", "left")
          .join(latency_stats(latency), "session_id", "left"))
+    return _run_rows(j)
+
+
+def _run_rows(j: DataFrame) -> DataFrame:
+    """``benchmark_runs`` rows of requests that have met their session's totals."""
     zero_l = F.lit(0).cast("bigint")
     fetched = F.coalesce(F.col("total_fetched"), zero_l)
     referenced = F.coalesce(F.col("total_referenced"), zero_l)
@@ -136,3 +147,62 @@ def benchmark_runs(requests: DataFrame, step_metrics: DataFrame, tool_calls: Dat
         (F.col("last_done") - F.col("first_sent")).alias("total_session_ms"),
         "avg_query_ms", "p50_query_ms", "p95_query_ms",
     )
+
+
+# ---- summaries that follow the tables they sum up (A1-A8) -----------------------------------------
+
+#: What a session's summary needs of each fact table: per measure the condition and the value.
+MEASURES: dict[str, dict[str, str]] = {
+    "step_metrics": {"step": "1", "tokens_input": "tokens_input", "tokens_output": "tokens_output", "cost": "cost"},
+    "tool_calls": {"call": "if(status = 'completed', 1, null)",
+                   "fetched": "if(status = 'completed', output_estimated_tokens, null)",
+                   "call_ms": "if(status = 'completed', duration_ms, null)"},
+    "relevance": {"scored": "1", "referenced": "referenced_tokens", "ratio": "relevance_ratio"},
+    "streaming_timing": {"ttft_ms": "time_to_first_token_ms", "sent": "request_sent", "done": "message_completed"},
+    "latency": {"query_ms": "if(phase = 'total', duration_ms, null)"},
+}
+VALUE_COUNTS = "session_id string, measure string, value double, n long"
+
+
+def value_counts(fact: str, rows: DataFrame, sign: int = 1) -> DataFrame:
+    """Rows of a fact table as counts of values (``VALUE_COUNTS``): what any summary of a session needs, exactly.
+
+    Counts add up, and with ``sign`` -1 take away what a replaced row had brought, so sums, means, extremes and
+    percentiles stay exact when rows change. Integers are exact up to 2**53.
+    """
+    own = F.array(*[F.struct(F.lit(m).alias("measure"), F.expr(v).cast("double").alias("value"))
+                    for m, v in MEASURES[fact].items()])
+    return (rows.select("session_id", F.inline(own)).where("value IS NOT NULL").groupBy("session_id", "measure", "value")
+            .agg((F.count("*") * sign).alias("n")))
+
+
+def add_counts(old: DataFrame, more: DataFrame) -> DataFrame:
+    """The sum of two tables of counts; what comes to nothing goes."""
+    return (old.unionByName(more).groupBy("session_id", "measure", "value").agg(F.sum("n").alias("n"))
+            .where(F.col("n") != 0))
+
+
+def runs_of_counts(requests: DataFrame, counts: DataFrame) -> DataFrame:
+    """``benchmark_runs`` from value counts (A8): the rows that :func:`benchmark_runs` gives."""
+    def total(measure: str) -> Column:
+        return F.sum(F.when(F.col("measure") == measure, F.col("value") * F.col("n")))
+
+    def count(measure: str) -> Column:
+        return F.sum(F.when(F.col("measure") == measure, F.col("n")))
+
+    summed = {m for of in MEASURES.values() for m in of}
+    totals = counts.groupBy("session_id").agg(
+        *[total(m).alias(f"t_{m}") for m in sorted(summed)], *[count(m).alias(f"n_{m}") for m in sorted(summed)],
+        F.min(F.when(F.col("measure") == "sent", F.col("value"))).cast("bigint").alias("first_sent"),
+        F.max(F.when(F.col("measure") == "done", F.col("value"))).cast("bigint").alias("last_done"))
+    percentiles = nearest_rank_of_counts(
+        counts.where(F.col("measure") == "query_ms").select("session_id", F.col("value").cast("bigint").alias("_v"), F.col("n").alias("_c")),
+        ["session_id"], {"p50_query_ms": 0.5, "p95_query_ms": 0.95})
+    t = F.col
+    sums = totals.select(
+        "session_id", t("t_tokens_input").cast("bigint").alias("total_input"), t("t_tokens_output").cast("bigint").alias("total_output"),
+        t("t_cost").alias("total_cost"), t("n_call").alias("total_calls"), t("t_fetched").cast("bigint").alias("total_fetched"),
+        (t("t_call_ms") / t("n_call_ms")).alias("avg_dur"), t("t_referenced").cast("bigint").alias("total_referenced"),
+        (t("t_ratio") / t("n_ratio")).alias("avg_relevance"), (t("t_ttft_ms") / t("n_ttft_ms")).alias("avg_ttft"),
+        "first_sent", "last_done", tx.js_round(t("t_query_ms") / t("n_query_ms")).cast("bigint").alias("avg_query_ms"))
+    return _run_rows(requests.join(sums, "session_id", "left").join(percentiles, "session_id", "left"))

@@ -227,7 +227,7 @@ def relevance_scoring(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- A1-A8, J6 -------------------------------------------------------------
 
-def _facts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def facts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {
         "step_metrics": step_metrics_upsert(spark, d),
         "tool_calls": _sized_calls(spark, d),
@@ -275,7 +275,7 @@ def latency_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def benchmark_run_summary(spark: SparkSession, d: str) -> DataFrame:
-    f = _facts(spark, d)
+    f = facts(spark, d)
     runs = sm.benchmark_runs(b.benchmark_requests(spark, d), f["step_metrics"], f["tool_calls"],
                              f["relevance"], f["streaming_timing"], f["latency"])
     return runs.select(*[_r(c) if c in ("total_cost", "precision_score", "avg_relevance") else F.col(c)

@@ -119,6 +119,12 @@ class StoredTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def changes(self, since: int, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(rows before, rows after) of the buckets or batches in which two versions differ; others are not read."""
+        old, new = self.version(since).folders, self.version(until).folders
+        differ = [k for k in {**old, **new} if old.get(k) != new.get(k)]
+        return self._rows(old.get(k, []) for k in differ), self._rows(new.get(k, []) for k in differ)
+
     def _taken(self, version: Version, writer: str, batch_id: int | None) -> bool:
         return batch_id is not None and batch_id <= version.writers.get(writer, -1)
 
@@ -129,7 +135,10 @@ class StoredTable:
         return new
 
     def vacuum(self, keep: int = 1) -> list[str]:
-        """Take away folders that none of the last ``keep`` versions names, and older versions; not while a writer is at work."""
+        """Take away folders that none of the last ``keep`` versions names, and older versions.
+
+        Not while a writer is at work, and not before those who follow the table (``changes``) have taken the versions in.
+        """
         last = self.version().number
         kept = range(max(1, last - keep + 1), last + 1)
         used = {f.split("/")[1] for n in kept for own in self.version(n).folders.values() for f in own}

@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import messages as msg
+from ..operators import summary as sm
+from ..plans import catalog
+from ..session import shared_table
 from ..sources import bindings as b
 from ..sources import hooks
 from ..sources.store import AppendTable, KeyedTable, StoredTable, first_wins, last_wins
@@ -163,6 +166,33 @@ def raw_tables(lines: DataFrame, base: str) -> dict[str, StoredTable]:
     return {**tables, "system_prompts": prompts, "quarantine": quarantine}
 
 
+class SessionSummary:
+    """Value counts per session (``summary.VALUE_COUNTS``) that follow stored fact tables.
+
+    ``follow_table`` takes in what has changed in a fact table since it was last called: rows of the buckets that differ
+    are counted in and, as they were before, out. The version taken in is published with the counts, so a call after a
+    crash or a repeated call adds nothing twice.
+    """
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.table = KeyedTable(spark, os.path.join(base, "summary"), sm.VALUE_COUNTS, ["session_id", "measure", "value"])
+
+    def follow_table(self, fact: str, table: StoredTable) -> bool:
+        since, now = self.table.version().writers.get(fact, 0), table.version().number
+        if now == since:
+            return False
+        old, new = table.changes(since, now)
+        delta = sm.add_counts(sm.value_counts(fact, new), sm.value_counts(fact, old, -1)).persist()
+        try:
+            return self.table.merge(delta, sm.add_counts, now, fact)
+        finally:
+            delta.unpersist()
+
+    def runs(self, requests: DataFrame) -> DataFrame:
+        """``benchmark_runs`` rows of the requested sessions, as of now."""
+        return sm.runs_of_counts(requests, self.table.read())
+
+
 # ---- registered queries: the driver's tables as streams ---------------------------------------------
 
 def timing_events(spark: SparkSession, d: str, raw: DataFrame) -> DataFrame:
@@ -232,6 +262,22 @@ def table_cost_shares(spark: SparkSession, d: str, max_files: int | None = None,
     return table.read().select("call_id", "message_id", F.round("cost_share", 9).alias("cost_share"))
 
 
+def table_benchmark_runs(spark: SparkSession, d: str, batches: int = 2, base: str | None = None) -> DataFrame:
+    """Run summaries kept up to date while the fact tables come in, here in two batches each."""
+    base = base or stream_dir(spark, "table-runs")
+    summary = SessionSummary(spark, base)
+    for fact, rows in catalog.facts(spark, d).items():
+        rows = shared_table(rows, f"fact-{fact}")
+        table = AppendTable(spark, os.path.join(base, fact), rows.schema)
+        part = F.pmod(F.xxhash64(*rows.columns), F.lit(batches))
+        for i in range(batches):
+            table.append(rows.where(part == i), i)
+            summary.follow_table(fact, table)
+    runs = summary.runs(b.benchmark_requests(spark, d))
+    return runs.select(*[F.round(c, 9).alias(c) if c in ("total_cost", "precision_score", "avg_relevance") else F.col(c)
+                         for c in runs.columns])
+
+
 def _twin(fn, batch_name: str):
     fn.batch_twin = batch_name
     return fn
@@ -245,5 +291,6 @@ TABLE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_token_estimates": _twin(table_token_estimates, "token_estimates"),
     "table_system_prompts": _twin(table_system_prompts, "system_prompt_dedup"),
     "table_first_parts": _twin(table_first_parts, "first_parts"),
+    "table_benchmark_runs": _twin(table_benchmark_runs, "benchmark_run_summary"),
     "table_cost_shares": _twin(table_cost_shares, "raw_cost_shares"),
 }
