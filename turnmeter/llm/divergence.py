@@ -1,20 +1,21 @@
 """How far the sources of one language stand apart in their words.
 
 Documents become exact sparse count vectors by ``CountVectorizer`` (terms in at
-least ``MIN_DOCS`` documents of the language, no limit on their number); terms
-carry their language, so one fit serves all languages and each counts its own.
-The vectors are summed by (language, source), as ``Summarizer`` sums, but
-sparse: a group holds only the terms it has. With N the sum of a group's counts
+least ``MIN_DOCS`` documents, no limit on their number). One fit serves all
+languages: what it keeps is all that any language keeps, and the vectors also
+count in how many documents of each language a term is, exactly, so that each keeps
+its own. The vectors are summed by (language, source), as ``Summarizer``
+sums, but sparse: a group holds only the terms it has. With N the sum of a group's counts
 over the V kept terms of its language, a term has the share
 
     p = 1 + floor(1e9 * (count + 2) / (N + 2 V)),
 
 and two shares differ by ``floor((p - q)**2 / (p + q))``, all in integers.
 
-A fit gathers its vocabulary at the driver. A slice of the terms, counted over
-all documents, tells how many there will be; the terms are then dealt by hash
-into so many parts that none gathers much more than ``PART_TERMS``, and fitted part by
-part. Parts change no result: a term's counts depend on that term alone.
+A fit gathers its vocabulary at the driver. The distinct terms of a sample tell
+how many there will be at most; the terms are then dealt by hash into so many
+parts that none gathers much more than ``PART_TERMS``, and fitted part by part.
+Parts change no result: a term's counts depend on that term alone.
 
 Pairs are evaluated sparsely. Over a term that neither source has, two shares
 differ by an amount that depends on the pair alone, so that is taken V times,
@@ -44,21 +45,28 @@ from ..session import shared_table
 
 MIN_DOCS = 10
 TOP_TERMS = 10
-#: Vocabulary terms that one fit may gather, about; and the share of all terms that is counted beforehand.
-PART_TERMS = 1_000_000
-SLICES = 64
+#: Vocabulary terms that one fit may gather, about.
+PART_TERMS = 2_000_000
+#: Share of the documents from which the number of terms is estimated; this steers memory, not results.
+SAMPLE = 1 / 16
 SCALE = 1_000_000_000
 #: Cells of pair matrices that a task keeps before it hands them on.
 CELLS = 1 << 21
 
 # Fixed value: what stands between terms.
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: All but characters that texts mostly have and that are no capitals beyond A-Z: Latin-1, punctuation, East Asian.
+_OTHERS = r"[^\x00-\xBF\xDF-\xFF\x{2000}-\x{206F}\x{3000}-\x{A48F}\x{AC00}-\x{D7A3}]"
 
 
-def _terms(lang: Column, text: Column) -> Column:
-    """The terms of a text, each as language, blank, term (no term holds a blank)."""
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.transform(F.array_remove(F.split(lower, SEPARATORS, -1), ""), lambda t: F.concat(lang, F.lit(" "), t))
+def ascii_lower(text: Column) -> Column:
+    """``text`` with A-Z in lower case: by ``lower``, which is fast, where it would change no other character."""
+    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_OTHERS))
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
+def _terms(text: Column) -> Column:
+    return F.array_remove(F.split(ascii_lower(text), SEPARATORS, -1), "")
 
 
 def _part(term: Column, parts: int) -> Column:
@@ -66,18 +74,19 @@ def _part(term: Column, parts: int) -> Column:
 
 
 def count_parts(docs: DataFrame, min_docs: int, part_terms: int) -> int:
-    """Into how many parts the vocabulary goes; steers memory, not results."""
-    seen = docs.select(F.explode(F.array_distinct("terms")).alias("term")).where(_part(F.col("term"), SLICES) == 0)
-    kept = seen.groupBy("term").count().where(F.col("count") >= min_docs).count()
-    return max(1, math.ceil(kept * SLICES / part_terms))
+    """Into how many parts the vocabulary goes: a term of ``min_docs`` documents is in the sample with this chance at least."""
+    sample = docs.sample(SAMPLE, 0).select(F.explode(_terms(F.col("text"))).alias("term"))
+    seen = sample.agg(F.approx_count_distinct("term")).first()[0]
+    return max(1, math.ceil(seen / (1 - (1 - SAMPLE) ** min_docs) / part_terms))
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, part_terms: int = PART_TERMS) -> tuple[DataFrame, DataFrame]:
     """Tables (lang, term) of the kept terms and (lang, source, term, count) of their counts in the groups.
 
-    ``docs`` has lang, source and terms.
+    ``docs`` has lang, source and text, no nulls.
     """
     spark, parts = docs.sparkSession, count_parts(docs, min_docs, part_terms)
+    docs = docs.select("lang", "source", _terms(F.col("text")).alias("terms"))
     kept, counted = [], []
     for part in range(parts):
         own = docs if parts == 1 else docs.withColumn("terms", F.filter("terms", lambda t: _part(t, parts) == part))
@@ -86,17 +95,15 @@ def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, part_terms: int = PA
         if not len(names):
             continue
         names["index"] = np.arange(len(names), dtype=np.int32)
-        term = F.substring_index("term", " ", -1)
-        names = spark.createDataFrame(names, "term string, index int").select(
-            F.expr("substring(term, 1, length(term) - length(substring_index(term, ' ', -1)) - 1)").alias("lang"),
-            term.alias("term"), "index")
-        names = shared_table(names, "divergence-terms")
-        vector = F.unwrap_udt(F.col("vector"))
-        cells = (model.transform(own).select("source", vector.alias("v"))
-                 .select("source", F.inline(F.arrays_zip(F.col("v.indices").alias("index"), F.col("v.values").alias("value")))))
-        sums = cells.groupBy("index", "source").agg(F.sum(F.col("value").cast("bigint")).alias("count"))
-        counted.append(shared_table(sums.join(names, "index").select("lang", "source", "term", "count"), "divergence-counts"))
-        kept.append(names.select("lang", "term"))
+        names = spark.createDataFrame(names, "term string, index int")
+        cells = (model.transform(own).select("lang", "source", F.unwrap_udt(F.col("vector")).alias("v")).select(
+            "lang", "source", F.inline(F.arrays_zip(F.col("v.indices").alias("index"), F.col("v.values").alias("value")))))
+        sums = cells.groupBy("index", "lang", "source").agg(F.sum("value").cast("bigint").alias("count"), F.count("*").alias("docs"))
+        sums = shared_table(sums, "divergence-sums")
+        terms = sums.groupBy("index", "lang").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
+        terms = shared_table(terms.join(names, "index"), "divergence-terms")
+        counted.append(sums.drop("docs").join(terms, ["index", "lang"]).select("lang", "source", "term", "count"))
+        kept.append(terms.select("lang", "term"))
     if not kept:
         kept = [spark.createDataFrame([], "lang string, term string")]
         counted = [spark.createDataFrame([], "lang string, source string, term string, count bigint")]
@@ -171,8 +178,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
     docs = docs.select(named(lang).alias("lang"), named(source).alias("source"), named(text).alias("text"))
-    kept, counts = group_counts(docs.select("lang", "source", _terms(F.col("lang"), F.col("text")).alias("terms")),
-                                min_docs, part_terms)
+    kept, counts = group_counts(docs, min_docs, part_terms)
 
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
