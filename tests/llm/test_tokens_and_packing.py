@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -89,6 +91,19 @@ def test_packing_round_trip(spark, small_dir):
     _check(packing.pack_documents(docs, PATH, max_open=3).collect(), want)
 
 
+def test_long_texts_cost_in_proportion_to_their_length():
+    def seconds(n):
+        ids = np.arange(n, dtype="<u4").tobytes()
+        began = time.perf_counter()
+        windows = list(packing.pack(iter([(1, ids)]), 4096, 2048))
+        took = time.perf_counter() - began
+        assert b"".join(p[2] for w in windows for p in w) == ids
+        return took
+
+    seconds(1_000_001)
+    assert seconds(16_000_001) < 5 * seconds(8_000_001) + 0.5
+
+
 def test_packing_odd_rows(spark, odd_docs, no_docs):
     encode = packing.encoder(PATH, 2)
     docs = odd_docs.where("doc_id is not null").withColumn("doc_id", F.monotonically_increasing_id())

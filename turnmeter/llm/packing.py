@@ -136,14 +136,13 @@ def pack(documents: Iterator[tuple[int, bytes]], capacity: int, max_open: int) -
     levels = LevelArray(capacity)
     for doc, ids in documents:
         total = len(ids) // WIDTH
-        rest = (doc, 0, ids, total)
-        while len(rest[2]) >= capacity * WIDTH:
-            whole, rest = _cut(rest, capacity)
-            yield [whole]
-        if size := len(rest[2]) // WIDTH:
+        size = total % capacity
+        for start in range(0, total - size, capacity):
+            yield [(doc, start, ids[start * WIDTH:(start + capacity) * WIDTH], total)]
+        if size:
             level = levels.best_level(size)
             window = levels.take(level)
-            window.append(rest)
+            window.append((doc, total - size, ids[(total - size) * WIDTH:], total))
             if level + size == capacity:
                 yield window
             else:
