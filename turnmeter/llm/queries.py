@@ -145,36 +145,49 @@ def _either_case_sql(word: str) -> str:
 _ASSIGN_SQL = ("(" + _either_case_sql("password|passwd|secret|token|api_?key")
                + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
 
+def _blanked(text: str) -> str:
+    """SQL for a text with the allow-list's strings replaced by blanks of their length."""
+    for pattern, blanks in (("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", 36), ("[Ee][Xx][Aa][Mm][Pp][Ll][Ee]", 7),
+                            ("[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]", 11), ("[Yy][Oo][Uu][Rr][_-]", 5),
+                            ("[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh][Ii][Jj]", 10),
+                            ("[Kk][Ll][Mm][Nn][Oo][Pp][Qq][Rr][Ss][Tt]", 10), ("0123456789", 10)):
+        text = f"regexp_replace({text}, '{pattern}', repeat(' ', {blanks}), 'g')"
+    return text
+
+
 OP10_SQL = rf"""
-WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, {_blanked("coalesce(text, '')")} AS bl
+      FROM documents),
 p AS (SELECT * FROM (VALUES ('assign', 0, '{_ASSIGN_SQL}'), ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]+'),
       ('cand', 3, '[A-Za-z0-9+/_=-]+')) v(kind, rank, re)),
 h AS (SELECT k, t, kind, rank, CASE kind WHEN 'assign' THEN regexp_extract_all(t, '{_ASSIGN_SQL}', 0)
         WHEN 'access' THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+') WHEN 'hex' THEN regexp_extract_all(t, '[0-9a-f]+')
-        ELSE regexp_extract_all(t, '[A-Za-z0-9+/_=-]+') END AS hits,
+        ELSE regexp_extract_all(bl, '[A-Za-z0-9+/_=-]+') END AS hits,
       CASE kind WHEN 'assign' THEN string_split_regex(t, '{_ASSIGN_SQL}')
         WHEN 'access' THEN string_split_regex(t, 'AKIA[A-Z0-9]+') WHEN 'hex' THEN string_split_regex(t, '[0-9a-f]+')
-        ELSE string_split_regex(t, '[A-Za-z0-9+/_=-]+') END AS gaps FROM d, p),
+        ELSE string_split_regex(bl, '[A-Za-z0-9+/_=-]+') END AS gaps FROM d, p),
 u AS (SELECT k, kind, rank, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit,
         unnest(gaps[1:len(hits)]) AS gap FROM h),
 s AS (SELECT k, kind, rank, i, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY k, kind ORDER BY i) AS e FROM u),
 base AS (SELECT k, kind, rank, (e - length(hit))::BIGINT AS b, e::BIGINT AS e FROM s WHERE
         kind = 'assign' AND length(regexp_extract(hit, '^{_ASSIGN_SQL}', 2)) >= 12
         OR kind = 'access' AND length(hit) >= 18 OR kind = 'hex' AND length(hit) >= 16),
-cand AS (SELECT k, hit, (e - length(hit))::BIGINT AS b, e::BIGINT AS e,
-        CASE WHEN regexp_matches(hit, '^[0-9]+$') OR regexp_matches(hit, '^([a-z=_/+-]+|[A-Z=_/+-]+)$') THEN NULL
-             WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') THEN 2.9
-             WHEN regexp_matches(hit, '^[A-Za-z0-9]+$') THEN 3.55
-             WHEN regexp_matches(hit, '[0-9].*[A-Z]|[A-Z].*[0-9]') THEN 3.85 END AS least
-      FROM s WHERE kind = 'cand' AND length(hit) >= 20
-        AND NOT regexp_matches(hit, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
-        AND NOT regexp_matches(hit, '^sha(1|256|384|512)[-_=]') AND NOT contains(lower(hit), 'example')
-        AND NOT contains(lower(hit), 'placeholder') AND NOT regexp_matches(lower(hit), 'your[_-]')
-        AND NOT contains(lower(hit), 'abcdefghij') AND NOT contains(hit, '0123456789')),
-c AS (SELECT row_number() OVER () AS c, * FROM cand x WHERE least IS NOT NULL
-      AND NOT EXISTS (SELECT 1 FROM base y WHERE y.k = x.k AND y.b <= x.b AND x.e <= y.e)),
-w AS (SELECT c, k, b, least, unnest(range(0, length(hit) - 19)) AS o, hit FROM c),
-ch AS (SELECT c, k, b, least, o, unnest(string_split(substring(hit, o + 1, 20), '')) AS x FROM w),
+sk AS (SELECT k, hit, e, CASE WHEN regexp_matches(hit, '^sha1[-_=]') THEN 45 WHEN regexp_matches(hit, '^sha256[-_=]') THEN 71
+        WHEN regexp_matches(hit, '^sha384[-_=]') THEN 103 WHEN regexp_matches(hit, '^sha512[-_=]') THEN 135 ELSE 0 END AS skip
+      FROM s WHERE kind = 'cand' AND length(hit) >= 20),
+cand AS (SELECT k, substring(hit, skip + 1) AS hit, (e - length(hit) + skip)::BIGINT AS b, e::BIGINT AS e
+      FROM sk WHERE length(hit) - skip >= 20),
+c AS (SELECT row_number() OVER () AS c, * FROM cand x
+      WHERE NOT EXISTS (SELECT 1 FROM base y WHERE y.k = x.k AND y.b <= x.b AND x.e <= y.e)),
+o AS (SELECT c, k, b, unnest(range(0, length(hit) - 19)) AS o, hit FROM c),
+win AS (SELECT c, k, b, o, substring(hit, o + 1, 20) AS win FROM o),
+w AS (SELECT c, k, b, o, win, CASE WHEN regexp_matches(win, '^[0-9=_/+-]+$') THEN NULL
+        WHEN regexp_matches(win, '^([a-z=_/+-]+|[A-Z=_/+-]+)$') THEN NULL
+        WHEN regexp_matches(win, '^([0-9a-f]+|[0-9A-F]+)$') THEN 2.9
+        WHEN regexp_matches(win, '^[A-Za-z=_/+-]+$') THEN 3.9 WHEN regexp_matches(win, '^[A-Za-z0-9]+$') THEN 3.55
+        WHEN length(regexp_replace(win, '[^0-9]', '', 'g')) <= 2
+          AND NOT (regexp_matches(win, '[a-z]') AND regexp_matches(win, '[A-Z]')) THEN NULL ELSE 3.85 END AS least FROM win),
+ch AS (SELECT c, k, b, least, o, unnest(string_split(win, '')) AS x FROM w WHERE least IS NOT NULL),
 n AS (SELECT c, k, b, least, o, x, count(*) AS n FROM ch GROUP BY ALL),
 ent AS (SELECT c, k, b, least, o, -sum(n / 20 * log2(n / 20)) AS h FROM n GROUP BY ALL),
 added AS (SELECT k, 'entropy' AS kind, 3 AS rank, (min(b + o))::BIGINT AS b, (max(b + o + 20))::BIGINT AS e
