@@ -88,3 +88,19 @@ def test_empty_file(spark, tmp_path):
     events, quarantine = hooks.read_events(spark, str(tmp_path))
     assert events.collect() == [] and quarantine.collect() == []
     assert set(catalog.QUERIES) >= {f"raw_{t}" for t in hooks.telemetry(events)}
+
+
+def test_lines_are_parsed_once_however_often_a_table_reads_them(spark, tmp_path):
+    path = tmp_path / "in"
+    path.mkdir()
+    (path / "events.jsonl").write_text("\n".join(GOOD))
+    events, _ = hooks.read_events(spark, str(path))
+    for name in hooks.TABLES:
+        once = hooks.parsed_once(events, name)
+        df = hooks.telemetry(once, [name])[name]
+        assert rows(df) == rows(hooks.telemetry(events, [name])[name])
+        if name in ("context_snapshots", "tool_cost_shares", "tool_latency_breakdown"):
+            assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    # the filters on what was parsed do not parse again
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

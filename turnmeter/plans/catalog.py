@@ -303,7 +303,8 @@ def _from_lines(spark: SparkSession, d: str, raw: DataFrame) -> tuple[DataFrame,
 def _lines(table: str, binding: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """A table from JSON lines."""
     def query(spark: SparkSession, d: str) -> DataFrame:
-        out = hooks.telemetry(_from_lines(spark, d, binding(spark, d))[0], [table])[table]
+        events = hooks.parsed_once(_from_lines(spark, d, binding(spark, d))[0], table)
+        out = hooks.telemetry(events, [table])[table]
         rounded = ("cost", "estimated_cost", "cost_share", "temperature", "context_utilization", "tool_output_token_pct",
                    "conversation_token_pct")
         return out.select(*[_r(c) if c in rounded else F.col(c) for c in out.columns])

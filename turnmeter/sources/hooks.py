@@ -22,6 +22,7 @@ from ..functions import text as tx
 from ..operators import messages as msg
 from ..operators import relevance as rel
 from ..operators import tools
+from ..session import shared_table
 from .tables import route
 
 TOKENS = "struct<input:bigint,output:bigint,reasoning:bigint,cache_read:bigint,cache_write:bigint>"
@@ -63,7 +64,8 @@ def parse_events(lines: DataFrame, line: str = "value") -> tuple[DataFrame, Data
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_damaged"}
     read = F.from_json(F.col(line), f"{RAW_SCHEMA}, _damaged string", options)
-    parsed = lines.where(F.trim(F.col(line)) != "").withColumn("_e", read)
+    # a row of its own: as a plain column, the parser would run once for every use of it
+    parsed = lines.where(F.trim(F.col(line)) != "").select("*", F.explode(F.array(read)).alias("_e"))
     e = F.col("_e")
     body = F.lit(False)
     for kind, name in BODIES.items():
@@ -225,6 +227,23 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Kinds of events that a table reads, for tables that read their events several times.
+READ_AGAIN = {
+    "context_snapshots": ("experimental.chat.messages.transform", "chat.params"),
+    "tool_cost_shares": ("tool.execute.before", "tool.execute.after", "message.part.updated"),
+    "tool_latency_breakdown": ("tool.execute.before", "tool.execute.after"),
+}
+
+
+def parsed_once(events: DataFrame, name: str) -> DataFrame:
+    """``events`` of ``parse_events`` for the table ``name``: stored, if each of its several reads would parse all lines anew."""
+    if name not in READ_AGAIN:
+        return events
+    kinds = READ_AGAIN[name]
+    used = events.where(F.col("kind").isin(*kinds)).select("kind", "session_id", "ts_ms", "seq", *[BODIES[k] for k in kinds])
+    return shared_table(used, f"events-{name}")
+
+
 def telemetry(raw: DataFrame, names: Iterable[str] = tuple(TABLES)) -> dict[str, DataFrame]:
     """The telemetry tables of raw events with columns of ``RAW_SCHEMA``, or those in ``names``."""
     raw = complete(raw)
