@@ -4,6 +4,7 @@ across restarts, with state that ends when it should."""
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +203,58 @@ def test_timing_rows_merge_in_any_cut(spark):
             if hi > lo:
                 states = msg.merge_timing(states, spark.createDataFrame(events[lo:hi], schema))
         assert rows(msg.timing_of_states(states)) == want
+
+
+class Trips:
+    """State of one key in memory, as a map or a value; counts the calls, each of which would be a round trip."""
+
+    def __init__(self):
+        self.rows, self.calls = {}, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            if name in ("updateValue", "update"):
+                self.rows[args[0] if len(args) > 1 else "value"] = args[-1]
+            elif name == "clear":
+                self.rows.clear()
+            return {"exists": bool(self.rows), "containsKey": args[0] in self.rows if args else None,
+                    "get": self.rows.get("value")}.get(name)
+        return call
+
+
+class Handle:
+    """A stateful processor's handle over ``Trips``."""
+
+    def __init__(self):
+        self.maps, self.values, self.timers = [], [], []
+
+    def getMapState(self, *args):
+        self.maps.append(Trips())
+        return self.maps[-1]
+
+    def getValueState(self, *args):
+        self.values.append(Trips())
+        return self.values[-1]
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_many_keys_come_in_one_call():
+    """A call answers for all keys of its bucket at once, with the earliest row of each."""
+    first, handle = state.FirstOfKey(["session_id", "content_hash"], None, 1000), Handle()
+    first.init(handle)
+
+    def give(*rows):
+        part = pd.DataFrame(rows, columns=["session_id", "content_hash", "ts_ms", "seq"])
+        out = list(first.handleInputRows((0,), iter([part.iloc[:2], part.iloc[2:]]), None))
+        assert len(out) <= 1
+        return [tuple(r) for o in out for r in o[["content_hash", "ts_ms"]].itertuples(index=False, name=None)]
+    many = [(None if i % 2 else "s", f"h{i}", 50 + i, i) for i in range(100)]
+    assert give(*many, ("s", "h0", 7, 1)) == [("h0", 7), *[(f"h{i}", 50 + i) for i in range(1, 100)]]
+    assert "containsKey" not in handle.maps[0].calls
+    assert give(("s", "h0", 1, 1), (None, "h1", 1, 1), ("s", "h1", 300, 1)) == [("h1", 300)]

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 DAY_MS = 86_400_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -157,33 +158,40 @@ def latest_params(events: DataFrame, params: DataFrame, stored: DataFrame | None
 # ---- T10: first row of a key ---------------------------------------------------------------------
 
 class FirstOfKey(StatefulProcessor):
-    """The first row of a key, whole; of what it holds, only its time is kept as state.
+    """The first row of each key, whole; of what it holds, only its time is kept as state.
 
-    Of the rows that come in one micro-batch the earliest stands; rows that come after it, late or not, are
-    dropped. A key expires ``ttl_ms`` after its row (T8) and may then come again.
+    The keys come in buckets, so that a call has many of them at a time. Of the rows that come in one micro-batch
+    the earliest stands; rows that come after it, late or not, are dropped. A key expires ``ttl_ms`` after
+    its row (T8) and may then come again.
     """
 
-    def __init__(self, ttl_ms: int):
-        self._ttl = ttl_ms
+    def __init__(self, keys: list[str], key_schema: StructType, ttl_ms: int):
+        self._keys, self._schema, self._ttl = keys, key_schema, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._first = handle.getValueState("first", "ts_ms long", self._ttl)
+        self._first = handle.getMapState("first", self._schema, "ts_ms long", self._ttl)
+
+    def _firsts(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.sort_values(["ts_ms", "seq"], kind="stable", ignore_index=True).drop_duplicates(self._keys)
 
     def handleInputRows(self, key, rows, timerValues):
-        first = None
-        known = self._first.exists()
-        for part in rows:  # one row is held, however many come
-            if not known:
-                own = part if first is None else pd.concat([first, part], ignore_index=True)
-                first = own.sort_values(["ts_ms", "seq"], kind="stable").head(1)
-        if first is not None:
-            self._first.update((int(first["ts_ms"].iloc[0]),))
+        # a row per key is held of each part, however many come
+        first = self._firsts(pd.concat([self._firsts(part) for part in rows], ignore_index=True))
+        keys = [tuple(None if pd.isna(v) else v for v in k) for k in first[self._keys].itertuples(index=False, name=None)]
+        if self._first.exists():
+            new = [not self._first.containsKey(k) for k in keys]
+            first, keys = first[new], [k for k, n in zip(keys, new) if n]
+        for k, ts in zip(keys, first["ts_ms"]):
+            self._first.updateValue(k, (int(ts),))
+        if keys:
             yield first
 
 
-def first_of_keys(rows: DataFrame, keys: list[str], ttl_ms: int = DAY_MS) -> DataFrame:
-    """The first row per key of a stream with columns ts_ms and seq."""
-    return rows.groupBy(*keys).transformWithStateInPandas(FirstOfKey(ttl_ms), rows.schema, "Append", "ProcessingTime")
+def first_of_keys(rows: DataFrame, keys: list[str], ttl_ms: int = DAY_MS, buckets: int = 1024) -> DataFrame:
+    """The first row per key of a stream with columns ts_ms and seq. ``buckets`` is fixed when the stream is made."""
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    once = FirstOfKey(list(keys), rows.select(*keys).schema, ttl_ms)
+    return dealt.groupBy("_bucket").transformWithStateInPandas(once, rows.schema, "Append", "ProcessingTime")
 
 
 # ---- T7-T9: what a session has seen, until it ends ----------------------------------------------
