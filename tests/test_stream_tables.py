@@ -244,6 +244,28 @@ class Handle:
         self.timers.remove(at)
 
 
+class NoWatermark:
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_session_asks_its_state_only_for_what_it_may_hold():
+    """Items of a session that holds none are not looked up one by one; later ones are, once each."""
+    seen, handle = state.SeenOnce(100), Handle()
+    seen.init(handle)
+
+    def give(*items):
+        part = pd.DataFrame([(i, t, t) for t, i in items], columns=["item", "ts_ms", "seq"])
+        return [r for out in seen.handleInputRows(("s",), iter([part.iloc[:2], part.iloc[2:]]), NoWatermark())
+                for r in out[["item", "ts_ms"]].itertuples(index=False, name=None)]
+    assert give((3, "b"), (1, "a"), (2, "a"), (4, None), (6, "c"), (5, "a")) == [("a", 1), ("b", 3), ("a", 5), ("c", 6)]
+    calls = handle.maps[0].calls
+    assert "containsKey" not in calls and set(handle.maps[0].rows) == {("a",), ("c",)} and handle.timers == [106]
+    assert give((7, "a"), (8, "a"), (9, "d")) == [("d", 9)]
+    assert calls.count("containsKey") == 2 and handle.timers == [109]
+    assert give((10, None)) == [] and not handle.maps[0].rows and handle.timers == []
+
+
 def test_many_keys_come_in_one_call():
     """A call answers for all keys of its bucket at once, with the earliest row of each."""
     first, handle = state.FirstOfKey(["session_id", "content_hash"], None, 1000), Handle()

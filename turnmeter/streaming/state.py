@@ -223,25 +223,28 @@ class SeenOnce(StatefulProcessor):
             self._until.clear()
 
     def handleInputRows(self, key, rows, timerValues):
-        rows = _in_order(rows)
-        idle = rows["item"].isna()
-        part = idle.cumsum().shift(fill_value=0)  # rows between two idle rows
-        out = []
-        for _, own in rows.groupby(part, sort=False):
-            ended = pd.isna(own["item"].iloc[-1])
-            first = own[own["item"].notna()].drop_duplicates("item")
-            new = [not self._seen.containsKey((item,)) for item in first["item"]]
-            first = first[new]
-            out.append(first)
-            if ended:
-                self._end()
-            else:
-                for item, ts in zip(first["item"], first["ts_ms"]):
-                    self._seen.updateValue((item,), (int(ts),))
-                self._wait(max(int(own["ts_ms"].max()), timerValues.getCurrentWatermarkInMs()) + self._quiet)
-        out = pd.concat(out) if out else rows.iloc[:0]
-        if len(out):
-            yield pd.DataFrame({"session_id": key[0], "item": out["item"], "ts_ms": out["ts_ms"], "seq": out["seq"]})
+        rows = sorted((r for part in rows for r in zip(part["ts_ms"].tolist(), part["seq"].tolist(), part["item"].tolist())),
+                      key=lambda r: r[:2])
+        stored = self._seen.exists()  # each question to the state is a round trip
+        known, fresh, last, ended, out = set(), [], None, False, []
+        for ts, seq, item in rows:
+            if pd.isna(item):
+                stored, known, fresh, last, ended = False, set(), [], None, True
+                continue
+            last = ts
+            if item not in known:
+                known.add(item)
+                if not (stored and self._seen.containsKey((item,))):
+                    fresh.append((item, ts))
+                    out.append((key[0], item, ts, seq))
+        if ended:
+            self._end()
+        for item, ts in fresh:
+            self._seen.updateValue((item,), (int(ts),))
+        if last is not None:
+            self._wait(max(int(last), timerValues.getCurrentWatermarkInMs()) + self._quiet)
+        if out:
+            yield pd.DataFrame(out, columns=["session_id", "item", "ts_ms", "seq"])
 
     def _wait(self, until: int) -> None:
         if self._until.exists():
