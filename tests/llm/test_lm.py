@@ -144,3 +144,30 @@ def test_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
     assert lm_score.score_documents(no_docs, F.lit(True)).collect() == []
     none = lm_score.score_documents(odd_docs.where("doc_id < 3"), F.lit(False)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 for r in none)
+
+
+def test_the_network_learns_from_every_training_document(spark, monkeypatch):
+    """What only documents outside the starting sample show is learnt, to the last token of a long text."""
+    monkeypatch.setattr(lm_score, "PIECE", 50)
+    monkeypatch.setattr(lm_score, "CHUNK", 300)
+    path = np.arange(1234)
+    parts = list(lm_score._pieces(type("V", (), {"codes": lambda self, t: (None, path[:-1]),
+                                                 "class_path": lambda self, c: path})(), "x"))
+    held = list(lm_score.chunks(parts))
+    assert [x for c in held for p in c for x in p.tolist()] == path.tolist() and len(held) == 5
+    docs = [(i, " ".join(["ping pong"] * 60) if i else "ping ping") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    counts = lm_score.word_counts(df)
+    head = lm_score._head(counts, 100)
+    tokens_of, weight = lm_score._class_counts(counts, head, len(docs))
+    vocabulary = spark.sparkContext.broadcast(lm_score.Vocabulary(head, weight))
+    start = gru.initial(tokens_of, lm_score.HIDDEN)
+    after = lm_score._train(df, vocabulary, start, "text")
+    paths = [vocabulary.value.class_path(vocabulary.value.codes(t)[1]) for _, t in docs]
+    assert sum(x for _, x in gru.score(after, enumerate(paths))) > sum(x for _, x in gru.score(start, enumerate(paths)))
+
+
+def test_weights_are_averaged_by_tokens():
+    a, b = (np.array(x, "<f4").tobytes() for x in ([1.0, 5.0], [4.0, -1.0]))
+    raw, n = lm_score._average([(a, 1), (b, 2)])
+    assert n == 3 and np.frombuffer(raw, "<f4").tolist() == [3.0, 1.0]

@@ -10,8 +10,10 @@ probabilities sum to one over the counted words and one unseen word per class.
 Counts come from every training document and grow with the corpus: the count
 table is shuffled by word, never collected. Its most frequent words, at most
 ``HEAD_WORDS``, are broadcast, as most tokens are among them; the rest of the
-tokens meet their counts in a join. Only the network's weights are learnt from a
-bounded random sample (``SAMPLE_DOCS`` documents, ``SAMPLE_TOKENS`` tokens).
+tokens meet their counts in a join. The network learns from every token of every
+training document: it is started on a random sample (``SAMPLE_DOCS`` documents,
+``SAMPLE_TOKENS`` tokens), then each partition goes on from there over all its
+documents, and the weights are averaged by tokens. Only weights reach the driver.
 
 Defined cases: a null text counts as empty, its only token is the end; repeated
 rows are counted and scored each; a null id belongs to training; without any
@@ -23,11 +25,12 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,10 @@ CLASSES = 1 + OWN_CLASS + ENDINGS
 HIDDEN = 24
 SAMPLE_DOCS = 4000
 SAMPLE_TOKENS = 2_000_000
+PIECE = 4096         # tokens of a document learnt in one stretch of state
+CHUNK = 2_000_000    # tokens held while a partition is learnt from
+RATE = 0.001         # first step size there
+AVERAGED = 32        # groups of partitions whose weights are averaged before the driver averages theirs
 #: Bins per doubling of the count, by which the frequent words are told apart from the rest.
 BINS = 8
 
@@ -118,8 +125,8 @@ def _class_counts(counts: DataFrame, head: list[tuple[str, int]], n_docs: int) -
     return tokens, weight
 
 
-def _train(sample: DataFrame, vocabulary, tokens: np.ndarray, text_col: str) -> gru.Params:
-    """The network, trained in one task on the sample."""
+def _start(sample: DataFrame, vocabulary, tokens: np.ndarray, text_col: str) -> gru.Params:
+    """The network that learning starts from, trained in one task on the sample."""
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = sorted((t or "" for b in batches for t in b["text"]), key=xxhash.xxh64_intdigest)
         documents, left = [], SAMPLE_TOKENS
@@ -135,6 +142,56 @@ def _train(sample: DataFrame, vocabulary, tokens: np.ndarray, text_col: str) ->
     return gru.Params.from_bytes(bytes(rows[0].params), CLASSES, HIDDEN) if rows else gru.initial(tokens, HIDDEN)
 
 
+def _average(weights: Iterable[tuple[bytes, int]]) -> tuple[bytes, int]:
+    """Mean of the weights, each by its tokens, and the tokens of all."""
+    total, n = 0.0, 0
+    for raw, tokens in weights:
+        total, n = total + np.frombuffer(raw, "<f4").astype(np.float64) * tokens, n + tokens
+    return (total / n).astype("<f4").tobytes(), n
+
+
+def _train(learn: DataFrame, vocabulary, start: gru.Params, text_col: str) -> gru.Params:
+    """The network after every training document: each partition learns from ``start``, and the weights are averaged."""
+    given = start.to_bytes()
+
+    def learnt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        params, n = gru.Params.from_bytes(given, CLASSES, HIDDEN), 0
+        for pieces in chunks(piece for b in batches for t in b["text"] for piece in _pieces(vocabulary.value, t)):
+            params = gru.train(params, pieces, epochs=1, width=256, rate=RATE)
+            n += sum(map(len, pieces))
+        if n:
+            yield pd.DataFrame({"group": [TaskContext.get().partitionId() % AVERAGED], "params": [params.to_bytes()], "n": [n]})
+
+    def averaged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "params"])  # one order of adding, whatever came first
+        return pd.DataFrame([_average(zip(rows["params"], rows["n"].tolist()))], columns=["params", "n"])
+
+    rows = (learn.select(F.col(text_col).alias("text")).mapInPandas(learnt, "group int, params binary, n bigint")
+            .groupBy("group").applyInPandas(averaged, "params binary, n bigint").collect())  # AVERAGED rows at most
+    if not rows:
+        return start
+    best, _ = _average(sorted(((bytes(r.params), r.n) for r in rows), key=lambda x: (x[1], x[0])))
+    return gru.Params.from_bytes(best, CLASSES, HIDDEN)
+
+
+def _pieces(vocabulary: Vocabulary, text: str | None) -> Iterator[np.ndarray]:
+    path = vocabulary.class_path(vocabulary.codes(text)[1])
+    return (path[i:i + PIECE] for i in range(0, len(path), PIECE))
+
+
+def chunks(pieces: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The pieces in lists of about ``CHUNK`` tokens."""
+    held, n = [], 0
+    for piece in pieces:
+        held.append(piece)
+        n += len(piece)
+        if n >= CHUNK:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of all documents, learning from those where ``training`` holds.
 
@@ -150,7 +207,7 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     total, distinct = int(tokens.sum()), counts.count() + (n_docs > 0)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(head, weight))
     sample = learn.sample(min(1.0, SAMPLE_DOCS / n_docs), 11) if n_docs else learn
-    params = _train(sample, vocabulary, tokens, text_col)
+    params = _train(learn, vocabulary, _start(sample, vocabulary, tokens, text_col), text_col)
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known_words, facts = vocabulary.value, {}
