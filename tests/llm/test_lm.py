@@ -171,3 +171,18 @@ def test_weights_are_averaged_by_tokens():
     a, b = (np.array(x, "<f4").tobytes() for x in ([1.0, 5.0], [4.0, -1.0]))
     raw, n = lm_score._average([(a, 1), (b, 2)])
     assert n == 3 and np.frombuffer(raw, "<f4").tolist() == [3.0, 1.0]
+
+
+def test_written_paths_are_those_of_the_texts(spark):
+    """Words are looked up once; learning from the written paths gives the pieces that the texts give."""
+    docs = [(None, None), (1, ""), (2, "a b A c"), (3, " ".join(f"w{i % 70}" for i in range(9000)))]
+    head = [(w, 9 - i) for i, w in enumerate("abw")] + [(f"w{i}", 1) for i in range(60)]
+    vocabulary = spark.sparkContext.broadcast(lm_score.Vocabulary(head, np.full(lm_score.CLASSES, 5.0)))
+    rows = spark.createDataFrame([(i, *d, True, d[1]) for i, d in enumerate(docs)],
+                                 "row bigint, id bigint, skip string, training boolean, text string").drop("skip")
+    got = {r.row: r for r in lm_score._coded(rows, vocabulary).collect()}
+    for i, (_, t) in enumerate(docs):
+        want = [p.tolist() for p in lm_score._pieces(vocabulary.value, t)]
+        assert [p.tolist() for p in lm_score._pieces(vocabulary.value, bytes(got[i].path))] == want
+        assert sum(map(len, want)) == got[i].n_tokens and len(got[i].rare) == got[i].n_tokens - 1 - got[i].known
+    assert got[2].rare == ["c"] and got[0].id is None

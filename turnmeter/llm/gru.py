@@ -15,6 +15,7 @@ from typing import NamedTuple
 import numpy as np
 
 WINDOW = 32
+BLOCK = 2048  # rows of class probabilities held at once: larger arrays leave the cache and are mapped anew each time
 END = 0  # the class of the end token, and what is read before the first token
 
 
@@ -57,12 +58,18 @@ def _step(p: Params, x: np.ndarray, h: np.ndarray, keep: list | None = None) ->
     """The next state; ``keep`` collects what back-propagation needs."""
     n = h.shape[1]
     given, own = p.read[x], h @ p.carry
-    gates = _sigmoid(given[:, :2 * n] + own[:, :2 * n])
+    given[:, :2 * n] += own[:, :2 * n]
+    gates = _sigmoid(given[:, :2 * n])
     z, r = gates[:, :n], gates[:, n:]
-    new = np.tanh(given[:, 2 * n:] + r * own[:, 2 * n:])
+    new = r * own[:, 2 * n:]
+    new += given[:, 2 * n:]
+    np.tanh(new, out=new)
     if keep is not None:
         keep.append((x, h, z, r, own[:, 2 * n:], new))
-    return new + z * (h - new)
+    out = h - new
+    out *= z
+    out += new
+    return out
 
 
 def _log_softmax_at(p: Params, states: np.ndarray, targets: np.ndarray, probs: bool = False):
@@ -73,11 +80,11 @@ def _log_softmax_at(p: Params, states: np.ndarray, targets: np.ndarray, probs: b
         logits -= logits.max(1, keepdims=True)
     at = logits[np.arange(len(targets)), targets]
     np.exp(logits, out=logits)
-    total = logits.sum(1)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
     found = at - np.log(total)
     if not probs:
         return found
-    logits /= total[:, None]
+    logits *= (1 / total)[:, None]
     return found, logits
 
 
@@ -155,9 +162,12 @@ def score(p: Params, documents: Iterable[tuple[object, np.ndarray]], width: int
         steps = int(mask.any(0).sum())
         for t in range(steps):
             h = states[t] = _step(p, inputs[:, t], h)
-        at = mask[:, :steps].T
-        found = np.zeros(at.shape)
-        found[at] = _log_softmax_at(p, states[:steps][at], targets[:, :steps].T[at])
+        found, size = np.zeros((steps, len(rows))), max(1, BLOCK // len(rows))
+        for t in range(0, steps, size):
+            at = mask[:, t:min(t + size, steps)].T
+            own, aim = states[t:t + len(at)], targets[:, t:t + len(at)].T
+            own, aim = (own.reshape(-1, hidden), aim.reshape(-1)) if at.all() else (own[at], aim[at])
+            found[t:t + size][at] = _log_softmax_at(p, own, aim)
         sums = sums + found.sum(0)
         for i in slots.ended:
             yield slots.live[i], float(sums[i])
@@ -170,27 +180,44 @@ def _gradients(p: Params, inputs, targets, mask, h):
     states = np.empty((WINDOW, b, hidden), np.float32)
     for t in range(WINDOW):
         h = states[t] = _step(p, inputs[:, t], h, kept)
-    flat, aim = states.reshape(-1, hidden), targets.T.reshape(-1)
-    _, d = _log_softmax_at(p, flat, aim, probs=True)
-    d[np.arange(len(aim)), aim] -= 1
-    d *= (mask.T.reshape(-1, 1) / max(mask.sum(), 1)).astype(np.float32)
-    g_out, g_bias = flat.T @ d, d.sum(0)
-    d_states = (d @ p.out.T).reshape(WINDOW, b, hidden)
-    g_carry, d_given = np.zeros_like(p.carry), np.empty((WINDOW, b, 3 * hidden), np.float32)
-    dh = np.zeros_like(h)
-    for t in reversed(range(WINDOW)):
-        x, before, z, r, own_n, new = kept[t]
-        dh = dh + d_states[t]
-        dn = dh * (1 - z) * (1 - new * new)
-        dz = dh * (before - new) * z * (1 - z)
-        dr = dn * own_n * r * (1 - r)
-        d_given[t] = np.concatenate([dz, dr, dn], 1)
-        d_own = np.concatenate([dz, dr, dn * r], 1)
-        g_carry += before.T @ d_own
-        dh = dh * z + d_own @ p.carry.T
-    one_hot = np.zeros((WINDOW * b, len(p.read)), np.float32)
-    one_hot[np.arange(WINDOW * b), inputs.T.reshape(-1)] = 1
-    g_read = one_hot.T @ d_given.reshape(-1, 3 * hidden)
+    g_read, g_carry, g_out, g_bias = (np.zeros_like(x) for x in p)
+    share = (mask.T / max(mask.sum(), 1)).astype(np.float32)
+    size, back, carried = max(1, BLOCK // b), np.ascontiguousarray(p.out.T), np.ascontiguousarray(p.carry.T)
+    dh, d_own = np.zeros_like(h), np.empty((b, 3 * hidden), np.float32)
+    for begin in reversed(range(0, WINDOW, size)):
+        end = min(begin + size, WINDOW)
+        flat, aim = states[begin:end].reshape(-1, hidden), targets[:, begin:end].T.reshape(-1)
+        _, d = _log_softmax_at(p, flat, aim, probs=True)
+        d[np.arange(len(aim)), aim] -= 1
+        d *= share[begin:end].reshape(-1, 1)
+        g_out += flat.T @ d
+        g_bias += np.ones(len(d), np.float32) @ d
+        d_states = (d @ back).reshape(end - begin, b, hidden)
+        d_given = np.empty((end - begin, b, 3 * hidden), np.float32)
+        for t in reversed(range(begin, end)):
+            x, before, z, r, own_n, new = kept[t]
+            dh += d_states[t - begin]
+            rest = 1 - z
+            dn = dh * rest
+            dn *= 1 - new * new
+            rest *= z
+            rest *= before - new
+            d_own[:, :hidden] = dh * rest
+            d_own[:, 2 * hidden:] = by_own = dn * r
+            by_own *= own_n
+            by_own *= 1 - r
+            d_own[:, hidden:2 * hidden] = by_own
+            d_given[t - begin] = d_own
+            d_given[t - begin, :, 2 * hidden:] = dn
+            g_carry += before.T @ d_own
+            dh *= z
+            dh += d_own @ carried
+        # sums by the class that was read
+        x = inputs[:, begin:end].T.reshape(-1).astype(np.int16)
+        order = np.argsort(x, kind="stable")
+        x = x[order]
+        first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+        g_read[x[first]] += np.add.reduceat(d_given.reshape(-1, 3 * hidden)[order], first, axis=0)
     return Params(g_read, g_carry, g_out, g_bias), h
 
 

@@ -11,7 +11,7 @@ Counts come from every training document and grow with the corpus: the count
 table is shuffled by word, never collected. Its most frequent words, at most
 ``HEAD_WORDS``, are broadcast, as most tokens are among them; the rest of the
 tokens meet their counts in a join. The network learns from every token of every
-training document: it is started on a random sample (``SAMPLE_DOCS`` documents,
+training document, whose classes are written once, a byte per token: it is started on a random sample (``SAMPLE_DOCS`` documents,
 ``SAMPLE_TOKENS`` tokens), then each partition goes on from there over all its
 documents, and the weights are averaged by tokens. Only weights reach the driver.
 
@@ -150,13 +150,37 @@ def _average(weights: Iterable[tuple[bytes, int]]) -> tuple[bytes, int]:
     return (total / n).astype("<f4").tobytes(), n
 
 
-def _train(learn: DataFrame, vocabulary, start: gru.Params, text_col: str) -> gru.Params:
-    """The network after every training document: each partition learns from ``start``, and the weights are averaged."""
+CODED = ("row bigint, id bigint, training boolean, n_tokens bigint, known bigint, log_count double, log_class double, "
+         "rare array<string>, path binary")  # path: the classes of the tokens, a byte each
+
+
+def _coded(rows: DataFrame, vocabulary) -> DataFrame:
+    """The words of (row, id, training, text) looked up: once for learning and scoring."""
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known_words = vocabulary.value
+        for batch in batches:
+            for start in range(0, len(batch), 1000):
+                out = []
+                for row, i, t, text in zip(*(batch[c].iloc[start:start + 1000] for c in ("row", "id", "training", "text"))):
+                    found, codes = known_words.codes(text)
+                    rare = [found[k].decode() for k in np.flatnonzero(codes >= known_words.size).tolist()]
+                    out.append((row, i, t, len(found) + 1, len(found) - len(rare), float(known_words.log_count[codes].sum()),
+                                float(known_words.log_class[codes].sum()), rare,
+                                known_words.class_path(codes).astype(np.uint8).tobytes()))
+                yield _frame(out, CODED)
+
+    return shared_table(rows.mapInPandas(coded, CODED), "coded")
+
+
+def _train(learn: DataFrame, vocabulary, start: gru.Params, column: str) -> gru.Params:
+    """The network after every training document: each partition learns from ``start``, and the weights are averaged.
+
+    ``column`` has texts, or their paths as written by ``_coded``."""
     given = start.to_bytes()
 
     def learnt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         params, n = gru.Params.from_bytes(given, CLASSES, HIDDEN), 0
-        for pieces in chunks(piece for b in batches for t in b["text"] for piece in _pieces(vocabulary.value, t)):
+        for pieces in chunks(piece for b in batches for t in b["given"] for piece in _pieces(vocabulary.value, t)):
             params = gru.train(params, pieces, epochs=1, width=256, rate=RATE)
             n += sum(map(len, pieces))
         if n:
@@ -166,7 +190,7 @@ def _train(learn: DataFrame, vocabulary, start: gru.Params, text_col: str) -> gr
         rows = rows.sort_values(["n", "params"])  # one order of adding, whatever came first
         return pd.DataFrame([_average(zip(rows["params"], rows["n"].tolist()))], columns=["params", "n"])
 
-    rows = (learn.select(F.col(text_col).alias("text")).mapInPandas(learnt, "group int, params binary, n bigint")
+    rows = (learn.select(F.col(column).alias("given")).mapInPandas(learnt, "group int, params binary, n bigint")
             .groupBy("group").applyInPandas(averaged, "params binary, n bigint").collect())  # AVERAGED rows at most
     if not rows:
         return start
@@ -174,8 +198,12 @@ def _train(learn: DataFrame, vocabulary, start: gru.Params, text_col: str) -> gr
     return gru.Params.from_bytes(best, CLASSES, HIDDEN)
 
 
-def _pieces(vocabulary: Vocabulary, text: str | None) -> Iterator[np.ndarray]:
-    path = vocabulary.class_path(vocabulary.codes(text)[1])
+def _path(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).astype(np.int16)
+
+
+def _pieces(vocabulary: Vocabulary, given: str | bytes | None) -> Iterator[np.ndarray]:
+    path = _path(given) if isinstance(given, bytes) else vocabulary.class_path(vocabulary.codes(given)[1])
     return (path[i:i + PIECE] for i in range(0, len(path), PIECE))
 
 
@@ -207,39 +235,36 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     total, distinct = int(tokens.sum()), counts.count() + (n_docs > 0)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(head, weight))
     sample = learn.sample(min(1.0, SAMPLE_DOCS / n_docs), 11) if n_docs else learn
-    params = _train(learn, vocabulary, _start(sample, vocabulary, tokens, text_col), text_col)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"),
+                       F.coalesce(training, F.lit(False)).alias("training"), F.col(text_col).alias("text"))
+    coded = _coded(rows, vocabulary)
+    params = _train(coded.where("training"), vocabulary, _start(sample, vocabulary, tokens, text_col), "path")
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known_words, facts = vocabulary.value, {}
+        facts = {}
 
         def paths():
             for batch in batches:
                 # the longest first, so that no slot is left alone with one in the end
-                batch = batch.iloc[np.argsort(-batch["text"].str.len().fillna(0).to_numpy(), kind="stable")]
-                for row, i, t, text in zip(batch["row"].tolist(), batch["id"], batch["training"], batch["text"]):
-                    found, codes = known_words.codes(text)
-                    rare = [w.decode() for w, c in zip(found, (codes >= known_words.size).tolist()) if c]
-                    facts[row] = (i, t, len(found) + 1, len(found) - len(rare), float(known_words.log_count[codes].sum()),
-                                  float(known_words.log_class[codes].sum()), rare)
-                    yield row, known_words.class_path(codes)
+                batch = batch.iloc[np.argsort(-batch["n_tokens"].to_numpy(), kind="stable")]
+                for row, i, t, n, known, log_count, log_class, path in zip(*(batch[c] for c in batch.columns)):
+                    facts[row] = i, t, n, known, log_count, log_class
+                    yield row, _path(path)
 
         out = []
         for row, natural in gru.score(params, paths()):
-            i, t, n, known, log_count, log_class, rare = facts.pop(row)
-            out.append((row, i, t, n, known, log_count, natural / math.log(10) - log_class, rare))
+            i, t, n, known, log_count, log_class = facts.pop(row)
+            out.append((row, i, t, n, known, log_count, natural / math.log(10) - log_class))
             if len(out) >= 1000:
-                yield _frame(out)
+                yield _frame(out, SCORED)
                 out = []
         if out:
-            yield _frame(out)
+            yield _frame(out, SCORED)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"),
-                       F.coalesce(training, F.lit(False)).alias("training"), F.col(text_col).alias("text"))
-    rows = shared_table(rows.mapInPandas(scored, "row bigint, id bigint, training boolean, n_tokens bigint, "
-                                                 "known bigint, log_count double, model double, rare array<string>"),
-                        "scored")
+    rows = coded.select("row", "id", "training", "n_tokens", "known", "log_count", "log_class", "path")
+    rows = shared_table(rows.mapInPandas(scored, SCORED), "scored")
     # the tokens that are not among the frequent words meet their counts here
-    rare = (rows.select("row", F.explode("rare").alias("word")).join(counts, "word")
+    rare = (coded.select("row", F.explode("rare").alias("word")).join(counts, "word")
             .groupBy("row").agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_count")))
     end = math.log10(n_docs + 1)
     log_count = F.col("log_count") + F.coalesce("rare_count", F.lit(0.0))
@@ -251,7 +276,10 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
                     (log_count + F.col("model")).alias("score")))
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["row", "id", "training", "n_tokens", "known", "log_count", "model", "rare"])
+SCORED = "row bigint, id bigint, training boolean, n_tokens bigint, known bigint, log_count double, model double"
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
     out["id"] = pd.to_numeric(out["id"]).astype("Int64")
     return out
