@@ -4,7 +4,9 @@ Documents become exact sparse count vectors by ``CountVectorizer`` (terms in at
 least ``MIN_DOCS`` documents, no limit on their number). One fit serves all
 languages: what it keeps is all that any language keeps, and the vectors also
 count in how many documents of each language a term is, exactly, so that each keeps
-its own. The vectors are summed by (language, source), as ``Summarizer``
+its own. A term in that many documents of a sample is in as many of all, so the fit
+over all documents counts only the terms that such a first fit did not find; documents are
+given by the vectors of both. The vectors are summed by (language, source), as ``Summarizer``
 sums, but sparse: a group holds only the terms it has. With N the sum of a group's counts
 over the V kept terms of its language, a term has the share
 
@@ -31,13 +33,13 @@ stand; an empty table gives no rows. Only the named columns are read.
 from __future__ import annotations
 
 import math
-import string
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizer
+from pyspark import Broadcast
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,20 +55,37 @@ SCALE = 1_000_000_000
 #: Cells of pair matrices that a task keeps before it hands them on.
 CELLS = 1 << 21
 
-# Fixed value: what stands between terms.
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: All but characters that texts mostly have and that are no capitals beyond A-Z: Latin-1, punctuation, East Asian.
-_OTHERS = r"[^\x00-\xBF\xDF-\xFF\x{2000}-\x{206F}\x{3000}-\x{A48F}\x{AC00}-\x{D7A3}]"
+#: Terms of the first fit at most, which every task keeps; the second fit finds all others.
+FIRST_TERMS = 200_000
+_LOWER = bytes(range(256)).lower()  # bytes know the capitals A-Z only
+# Fixed value: what stands between terms becomes a blank, A-Z lower case; no byte of a character beyond ASCII changes.
+_SPACED = bytes(_LOWER[c] if chr(c).isalpha() or c > 0x7F else 0x20 for c in range(256))
+
+
+def _by_bytes(text: Column, change) -> Column:
+    changed = F.pandas_udf(lambda texts: texts.map(change), "binary")
+    return changed(text.cast("binary")).cast("string")
 
 
 def ascii_lower(text: Column) -> Column:
-    """``text`` with A-Z in lower case: by ``lower``, which is fast, where it would change no other character."""
-    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_OTHERS))
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+    """``text`` with A-Z in lower case."""
+    return _by_bytes(text, bytes.lower)
+
+
+def _split(spaced: Column) -> Column:
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def _terms(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(text), SEPARATORS, -1), "")
+    return _split(_by_bytes(text, lambda t: t.translate(_SPACED)))
+
+
+def _other_terms(text: Column, known: Broadcast) -> Column:
+    """The terms that are not among the known ones, which are bytes."""
+    def others(t: bytes) -> bytes:
+        found = known.value
+        return b" ".join([w for w in t.translate(_SPACED).split() if w not in found])
+    return _split(_by_bytes(text, others))
 
 
 def _part(term: Column, parts: int) -> Column:
@@ -80,25 +99,47 @@ def count_parts(docs: DataFrame, min_docs: int, part_terms: int) -> int:
     return max(1, math.ceil(seen / (1 - (1 - SAMPLE) ** min_docs) / part_terms))
 
 
+def _fit(docs: DataFrame, column: str, min_docs: int, most: int = 2**31 - 1) -> CountVectorizerModel:
+    return CountVectorizer(inputCol=column, outputCol=f"{column}_vector", minDF=float(min_docs), vocabSize=most).fit(docs)
+
+
+def _cells(vector: str, ahead: int = 0) -> Column:
+    """(index, value) of a sparse vector, its indices after those ``ahead``."""
+    index, value = F.col(f"{vector}.indices"), F.col(f"{vector}.values")
+    return F.arrays_zip((F.transform(index, lambda i: i + ahead) if ahead else index).alias("index"), value.alias("value"))
+
+
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, part_terms: int = PART_TERMS) -> tuple[DataFrame, DataFrame]:
     """Tables (lang, term) of the kept terms and (lang, source, term, count) of their counts in the groups.
 
     ``docs`` has lang, source and text, no nulls.
     """
     spark, parts = docs.sparkSession, count_parts(docs, min_docs, part_terms)
-    docs = docs.select("lang", "source", _terms(F.col("text")).alias("terms"))
+    numbers = docs.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id())
+    numbers = shared_table(numbers, "divergence-numbers")
+
+    def own(terms: Column) -> Column:
+        return terms if parts == 1 else F.filter(terms, lambda t: _part(t, parts) == part)
+
     kept, counted = [], []
     for part in range(parts):
-        own = docs if parts == 1 else docs.withColumn("terms", F.filter("terms", lambda t: _part(t, parts) == part))
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(own)
-        names = pd.DataFrame({"term": pd.Series(model.vocabulary, dtype=object)})
+        first = _fit(docs.sample(SAMPLE, 0).select(own(_terms(F.col("text"))).alias("terms")), "terms", min_docs, FIRST_TERMS)
+        known = spark.sparkContext.broadcast({t.encode() for t in first.vocabulary})
+        vectors = docs.select("lang", "source", own(_terms(F.col("text"))).alias("terms"),
+                              own(_other_terms(F.col("text"), known)).alias("others"))
+        models = [first, _fit(vectors.select("others"), "others", min_docs)]
+        names = pd.DataFrame({"term": pd.Series([t for m in models for t in m.vocabulary], dtype=object)})
         if not len(names):
             continue
         names["index"] = np.arange(len(names), dtype=np.int32)
         names = spark.createDataFrame(names, "term string, index int")
-        cells = (model.transform(own).select("lang", "source", F.unwrap_udt(F.col("vector")).alias("v")).select(
-            "lang", "source", F.inline(F.arrays_zip(F.col("v.indices").alias("index"), F.col("v.values").alias("value")))))
-        sums = cells.groupBy("index", "lang", "source").agg(F.sum("value").cast("bigint").alias("count"), F.count("*").alias("docs"))
+        for model in models:
+            vectors = model.transform(vectors)
+        vectors = vectors.select("lang", "source", *[F.unwrap_udt(F.col(f"{c}_vector")).alias(c) for c in ("terms", "others")])
+        cells = vectors.join(numbers, ["lang", "source"]).select("group", F.inline(F.concat(
+            _cells("terms"), _cells("others", len(first.vocabulary)))))
+        sums = cells.groupBy("index", "group").agg(F.sum("value").cast("bigint").alias("count"), F.count("*").alias("docs"))
+        sums = sums.join(numbers, "group").drop("group")
         sums = shared_table(sums, "divergence-sums")
         terms = sums.groupBy("index", "lang").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
         terms = shared_table(terms.join(names, "index"), "divergence-terms")
