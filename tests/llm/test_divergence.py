@@ -112,15 +112,13 @@ def test_second_fit_counts_only_what_the_first_has_not(spark, monkeypatch, made_
     """Rows whose words the first fit knows in part, wholly or not at all, with the same result."""
     seen, fit = [], divergence._fit
 
-    def noted(docs, column, *more):
-        model = fit(docs, column, *more)
-        words = {w for (ws,) in docs.collect() for w in ws} if column == "others" else set(model.vocabulary)
-        seen.append((column, words))
-        return model
+    def noted(docs, *options):
+        seen.append((fit(docs, *options), {w for r in docs.collect() for w in r.terms}))
+        return seen[-1][0]
     monkeypatch.setattr(divergence, "_fit", noted)
     monkeypatch.setattr(divergence, "FIRST_TERMS", first_terms or 1)
     monkeypatch.setattr(divergence, "SAMPLE", 0.5 if first_terms else 1e-9)
     assert audited(spark, made_up, min_docs=10, part_terms=10**12) == plain(made_up, 10)
-    (_, known), (_, others) = seen
-    assert not known & others and len(known) == (min(first_terms, len(known)) if first_terms else 0) and others
-    assert bool(known) == bool(first_terms)
+    (first, _), (_, counted) = seen
+    assert not set(first.vocabulary) & counted and counted
+    assert 0 < len(first.vocabulary) <= first_terms if first_terms else not first.vocabulary

@@ -5,8 +5,8 @@ least ``MIN_DOCS`` documents, no limit on their number). One fit serves all
 languages: what it keeps is all that any language keeps, and the vectors also
 count in how many documents of each language a term is, exactly, so that each keeps
 its own. A term in that many documents of a sample is in as many of all, so the fit
-over all documents counts only the terms that such a first fit did not find; documents are
-given by the vectors of both. The vectors are summed by (language, source), as ``Summarizer``
+over all documents counts only the terms that such a first fit did not find; the terms of a
+document are written once, in two, and become a vector of either fit. The vectors are summed by (language, source), as ``Summarizer``
 sums, but sparse: a group holds only the terms it has. With N the sum of a group's counts
 over the V kept terms of its language, a term has the share
 
@@ -15,7 +15,7 @@ over the V kept terms of its language, a term has the share
 and two shares differ by ``floor((p - q)**2 / (p + q))``, all in integers.
 
 A fit gathers its vocabulary at the driver. The distinct terms of a sample tell
-how many there will be at most; the terms are then dealt by hash into so many
+how many there will be at most; the other terms are then dealt by hash into so many
 parts that none gathers much more than ``PART_TERMS``, and fitted part by part.
 Parts change no result: a term's counts depend on that term alone.
 
@@ -72,41 +72,40 @@ def ascii_lower(text: Column) -> Column:
     return _by_bytes(text, bytes.lower)
 
 
-def _split(spaced: Column) -> Column:
-    return F.array_remove(F.split(spaced, " ", -1), "")
+def _spaced(text: Column) -> Column:
+    """The terms of ``text``, with blanks between them."""
+    return _by_bytes(text, lambda t: b" ".join(t.translate(_SPACED).split()))
 
 
-def _terms(text: Column) -> Column:
-    return _split(_by_bytes(text, lambda t: t.translate(_SPACED)))
+def _parted(text: Column, known: Broadcast) -> Column:
+    """The same in two: ``first`` has the terms among the known ones, which are bytes, ``others`` all others."""
+    @F.pandas_udf("first binary, others binary")
+    def parted(texts: pd.Series) -> pd.DataFrame:
+        found, first, others = known.value, [], []
+        for t in texts:
+            words = t.translate(_SPACED).split()
+            first.append(b" ".join([w for w in words if w in found]))
+            others.append(b" ".join([w for w in words if w not in found]))
+        return pd.DataFrame({"first": first, "others": others}, dtype=object)
+    return parted(text.cast("binary"))
 
 
-def _other_terms(text: Column, known: Broadcast) -> Column:
-    """The terms that are not among the known ones, which are bytes."""
-    def others(t: bytes) -> bytes:
-        found = known.value
-        return b" ".join([w for w in t.translate(_SPACED).split() if w not in found])
-    return _split(_by_bytes(text, others))
+def _terms(spaced: Column) -> Column:
+    return F.when(spaced != "", F.split(spaced, " ", -1)).otherwise(F.array().cast("array<string>"))
 
 
 def _part(term: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(parts))
 
 
-def count_parts(docs: DataFrame, min_docs: int, part_terms: int) -> int:
+def count_parts(sample: DataFrame, min_docs: int, part_terms: int) -> int:
     """Into how many parts the vocabulary goes: a term of ``min_docs`` documents is in the sample with this chance at least."""
-    sample = docs.sample(SAMPLE, 0).select(F.explode(_terms(F.col("text"))).alias("term"))
-    seen = sample.agg(F.approx_count_distinct("term")).first()[0]
+    seen = sample.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
     return max(1, math.ceil(seen / (1 - (1 - SAMPLE) ** min_docs) / part_terms))
 
 
-def _fit(docs: DataFrame, column: str, min_docs: int, most: int = 2**31 - 1) -> CountVectorizerModel:
-    return CountVectorizer(inputCol=column, outputCol=f"{column}_vector", minDF=float(min_docs), vocabSize=most).fit(docs)
-
-
-def _cells(vector: str, ahead: int = 0) -> Column:
-    """(index, value) of a sparse vector, its indices after those ``ahead``."""
-    index, value = F.col(f"{vector}.indices"), F.col(f"{vector}.values")
-    return F.arrays_zip((F.transform(index, lambda i: i + ahead) if ahead else index).alias("index"), value.alias("value"))
+def _fit(docs: DataFrame, min_docs: int, most: int = 2**31 - 1) -> CountVectorizerModel:
+    return CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=most).fit(docs)
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, part_terms: int = PART_TERMS) -> tuple[DataFrame, DataFrame]:
@@ -114,30 +113,31 @@ def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, part_terms: int = PA
 
     ``docs`` has lang, source and text, no nulls.
     """
-    spark, parts = docs.sparkSession, count_parts(docs, min_docs, part_terms)
+    spark = docs.sparkSession
     numbers = docs.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id())
     numbers = shared_table(numbers, "divergence-numbers")
-
-    def own(terms: Column) -> Column:
-        return terms if parts == 1 else F.filter(terms, lambda t: _part(t, parts) == part)
+    sample = shared_table(docs.sample(SAMPLE, 0).select(_spaced(F.col("text")).alias("terms")), "divergence-sample")
+    sample = sample.select(_terms(F.col("terms")).alias("terms"))
+    parts, first = count_parts(sample, min_docs, part_terms), _fit(sample, min_docs, FIRST_TERMS)
+    known = spark.sparkContext.broadcast({t.encode() for t in first.vocabulary})
+    parted = docs.select("lang", "source", _parted(F.col("text"), known).alias("p"))
+    parted = shared_table(parted.select("lang", "source", *[F.col(f"p.{c}").cast("string").alias(c) for c in ("first", "others")]),
+                          "divergence-terms")
 
     kept, counted = [], []
-    for part in range(parts):
-        first = _fit(docs.sample(SAMPLE, 0).select(own(_terms(F.col("text"))).alias("terms")), "terms", min_docs, FIRST_TERMS)
-        known = spark.sparkContext.broadcast({t.encode() for t in first.vocabulary})
-        vectors = docs.select("lang", "source", own(_terms(F.col("text"))).alias("terms"),
-                              own(_other_terms(F.col("text"), known)).alias("others"))
-        models = [first, _fit(vectors.select("others"), "others", min_docs)]
-        names = pd.DataFrame({"term": pd.Series([t for m in models for t in m.vocabulary], dtype=object)})
+    for part in range(-1, parts):
+        own = parted.select("lang", "source", _terms(F.col("first" if part < 0 else "others")).alias("terms"))
+        if part >= 0 and parts > 1:
+            own = own.withColumn("terms", F.filter("terms", lambda t: _part(t, parts) == part))
+        model = first if part < 0 else _fit(own, min_docs)
+        names = pd.DataFrame({"term": pd.Series(model.vocabulary, dtype=object)})
         if not len(names):
             continue
         names["index"] = np.arange(len(names), dtype=np.int32)
         names = spark.createDataFrame(names, "term string, index int")
-        for model in models:
-            vectors = model.transform(vectors)
-        vectors = vectors.select("lang", "source", *[F.unwrap_udt(F.col(f"{c}_vector")).alias(c) for c in ("terms", "others")])
-        cells = vectors.join(numbers, ["lang", "source"]).select("group", F.inline(F.concat(
-            _cells("terms"), _cells("others", len(first.vocabulary)))))
+        vectors = model.transform(own).select("lang", "source", F.unwrap_udt(F.col("vector")).alias("v"))
+        cells = vectors.join(numbers, ["lang", "source"]).select(
+            "group", F.inline(F.arrays_zip(F.col("v.indices").alias("index"), F.col("v.values").alias("value"))))
         sums = cells.groupBy("index", "group").agg(F.sum("value").cast("bigint").alias("count"), F.count("*").alias("docs"))
         sums = sums.join(numbers, "group").drop("group")
         sums = shared_table(sums, "divergence-sums")
